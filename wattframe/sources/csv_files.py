@@ -32,6 +32,8 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], multiline: bool
         mode="PERMISSIVE",
         columnNameOfCorruptRecord=LINE,
         multiLine=multiline,
+        # a line's shape is only seen when all its fields are parsed
+        columnPruning=False,
     )
     paths = [paths] if isinstance(paths, str) else list(paths)
     header = reader.csv(paths).columns
@@ -42,7 +44,12 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], multiline: bool
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    fields = F.when(F.col(LINE).isNull(), F.lit(len(header))).otherwise(_count_fields(F.col(LINE)))
+    width = F.lit(len(header))
+    # a line whose last column holds a value has all fields; naming that column also
+    # keeps Spark from refusing a query that asks for nothing but odd lines
+    at_least = F.when(F.col(f"`{header[-1]}`").isNotNull(), width)
+    counted = F.greatest(_count_fields(F.col(LINE)), at_least)
+    fields = F.when(F.col(LINE).isNull(), width).otherwise(counted)
     return lines.select(
         *[F.trim(F.col(f"`{name}`")).alias(name.strip()) for name in header],
         LINE,

@@ -128,10 +128,12 @@ def _present(lines: DataFrame, columns: Sequence[tuple[str, str, str]]) -> list[
 
 
 def _shape_problems(lines: DataFrame, columns: Sequence[tuple[str, str, str]]) -> list[Column]:
-    width = len(lines.columns) - len((LINE, FIELDS, ORDER))
-    problems = [_note(lines[FIELDS] > width, "too many fields")]
+    """A column the files lack refuses every line; otherwise surplus fields refuse theirs."""
     missing = [header for header, _, _ in columns if header not in lines.columns]
-    return problems + [F.lit(f"missing column: {header}") for header in missing]
+    if missing:
+        return [F.lit(f"missing column: {missing[0]}")]
+    width = len(lines.columns) - len((LINE, FIELDS, ORDER))
+    return [_note(lines[FIELDS] > width, "too many fields")]
 
 
 def _parsed(
