@@ -1,0 +1,136 @@
+import datetime as dt
+
+import pytest
+
+from wattframe import operators as op
+from wattframe import streaming as st
+
+from .frames import dicts, sessions
+
+
+@pytest.fixture
+def feed(spark, tmp_path):
+    """A folder read as a stream, one file per batch, and a function that adds a file."""
+    folder = str(tmp_path / "feed")
+    schema = sessions(spark).schema
+
+    def add(*rows):
+        sessions(spark, *rows).coalesce(1).write.mode("append").parquet(folder)
+
+    def stream():
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+    return add, stream
+
+
+def _run(df, folder):
+    writer = df.writeStream.outputMode("append").format("parquet").trigger(availableNow=True)
+    writer.option("checkpointLocation", f"{folder}/state").start(f"{folder}/rows").awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/rows")
+
+
+def _at(day, hour=12, **more):
+    return {"charging_start_time": f"2024-01-{day:02d} {hour:02d}:00:00", **more}
+
+
+def test_overview_follows_its_input(spark, feed, tmp_path):
+    add, stream = feed
+    state = str(tmp_path / "state")
+    add(*[_at(day) for day in range(1, 13)])
+    st.start_daily_overview(stream(), "overview_a", state, interval=None).awaitTermination()
+    assert [r["date"].day for r in dicts(spark.table("overview_a"))] == list(range(12, 2, -1))
+    # a late session still counts, and the query goes on where it stopped
+    add(_at(11, energy_consumed_kwh=7), _at(13, charging_cost_eur=9))
+    st.start_daily_overview(stream(), "overview_b", state, interval=None).awaitTermination()
+    got = spark.table("overview_b")
+    everything = spark.read.parquet(str(tmp_path / "feed"))
+    assert dicts(got) == dicts(op.daily_overview(everything))
+    assert [r["sessions"] for r in dicts(got)][:4] == [1, 1, 2, 1]
+
+
+def test_overview_refreshes_on_a_timer(spark, feed, tmp_path):
+    add, stream = feed
+    add(_at(1))
+    running = st.start_daily_overview(stream(), "overview_timed", str(tmp_path / "state"), interval="1 second")
+    try:
+        running.processAllAvailable()
+        assert spark.table("overview_timed").first()["sessions"] == 1
+        add(_at(1))
+        running.processAllAvailable()
+        assert spark.table("overview_timed").first()["sessions"] == 2
+    finally:
+        running.stop()
+
+
+def test_closed_days_appear_once_and_late_rows_are_dropped(spark, feed, tmp_path):
+    add, stream = feed
+    add(_at(1), _at(1, 23), _at(2, 3))
+    days = _run(st.daily_windows(stream()), str(tmp_path / "out"))
+    assert [(r["date"], r["total_sessions"]) for r in dicts(days)] == [(dt.date(2024, 1, 1), 2)]
+    # the first day is closed: its late row is dropped, the second day stays open
+    add(_at(1, 20), _at(2, 4))
+    add(_at(3, 2))
+    days = _run(st.daily_windows(stream()), str(tmp_path / "out"))
+    got = sorted((r["date"].day, r["total_sessions"]) for r in dicts(days))
+    assert got == [(1, 2), (2, 2)]
+
+
+def test_users_are_counted_once_across_batches(spark, feed, tmp_path):
+    add, stream = feed
+    add(_at(1, 1, user_id="a"), _at(1, 2, user_id="b"), _at(1, 3, user_id=None))
+    add(_at(1, 4, user_id="a"), _at(1, 5, user_id="c"))
+    add(_at(2, 9, user_id="a"))
+    add(_at(3, 9, user_id="a"))
+    add(_at(3, 10, user_id="a"))
+    got = {r["date"].day: r["unique_users"] for r in dicts(_run(st.daily_users(stream()), str(tmp_path / "exact")))}
+    assert got == {1: 3, 2: 1}
+    rough = _run(st.daily_users_estimate(stream()), str(tmp_path / "rough"))
+    assert {r["date"].day: r["unique_users"] for r in dicts(rough)} == got
+
+
+def test_windows_agree_with_the_batch_report(spark, feed, tmp_path):
+    add, stream = feed
+    add(*[_at(1 + i % 5, i % 24, energy_consumed_kwh=i, user_id=f"U{i % 7}") for i in range(100)])
+    streamed = {r["date"]: r for r in dicts(_run(st.daily_windows(stream()), str(tmp_path / "out")))}
+    batch = {r["date"]: r for r in dicts(op.daily_trends(spark.read.parquet(str(tmp_path / "feed"))))}
+    assert set(batch) - set(streamed) == {max(batch)}
+    for day, row in streamed.items():
+        assert row == {name: batch[day][name] for name in row}
+
+
+def test_messages_of_a_topic(spark, tmp_path):
+    rows = [
+        ("topic/hello", "olá".encode(), dt.datetime(2024, 1, 1)),
+        ("topic/other", b"x", dt.datetime(2024, 1, 1)),
+        ("topic/hello", b"", dt.datetime(2024, 1, 2)),
+        ("topic/hello", None, dt.datetime(2024, 1, 3)),
+    ]
+    folder = str(tmp_path / "messages")
+    table = spark.createDataFrame(rows, "topic string, payload binary, ts timestamp")
+    table.write.parquet(folder)
+    got = _run(st.messages_of(spark.readStream.schema(table.schema).parquet(folder)), str(tmp_path / "out"))
+    assert [r["message"] for r in dicts(got.orderBy("ts"))] == ["olá", "", None]
+    assert st.messages_of(table, "topic/other").first()["message"] == "x"
+
+
+def test_chart_arrays(spark):
+    s = sessions(spark, _at(1), _at(2, charging_cost_eur=None), _at(2, charging_cost_eur=8))
+    (chart,) = dicts(st.chart_series(op.daily_overview(s)))
+    assert chart == {
+        "series": ["Sessions", "Avg Cost"],
+        "data": [[2.0, 1.0], [8.0, 5.0]],
+        "labels": [dt.date(2024, 1, 2), dt.date(2024, 1, 1)],
+    }
+    (empty,) = dicts(st.chart_series(op.daily_overview(sessions(spark))))
+    assert empty["labels"] == []
+
+
+def test_streams_do_not_widen_a_day_by_time_zone(spark, feed, tmp_path):
+    add, stream = feed
+    add(_at(1, 0), _at(1, 23), {"charging_start_time": "2024-07-02 23:00:00"}, {"charging_start_time": "2024-07-05 00:00:00"})
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        days = dicts(_run(st.daily_windows(stream()), str(tmp_path / "out")))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert sorted((r["date"], r["total_sessions"]) for r in days) == [(dt.date(2024, 1, 1), 2), (dt.date(2024, 7, 2), 1)]

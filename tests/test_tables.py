@@ -1,0 +1,104 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from wattframe import fixed_values as fixed
+from wattframe import operators as op
+from wattframe.sources import (
+    create_tables,
+    drop_tables,
+    load_all,
+    load_sessions,
+    load_stations,
+    open_sessions,
+    open_stations,
+    query,
+)
+
+from .test_ingest import STATION_HEADERS, _changed, _file, _line
+
+
+@pytest.fixture
+def tables(spark):
+    drop_tables(spark)
+    create_tables(spark)
+    yield
+    drop_tables(spark)
+
+
+def _session_file(path, *lines):
+    return _file(path, list(lines))
+
+
+def _station_file(path, *rows):
+    return _file(path, [";".join(row) for row in rows], STATION_HEADERS)
+
+
+def test_create_and_drop_twice(spark, tables):
+    create_tables(spark)
+    assert [tuple(r) for r in op.table_profile(open_sessions(spark), open_stations(spark)).collect()] == [
+        ("sessions", 0),
+        ("stations", 0),
+    ]
+    drop_tables(spark)
+    drop_tables(spark)
+    assert not spark.catalog.tableExists(fixed.SESSIONS_TABLE)
+
+
+def test_sessions_are_added_or_replaced(spark, tables, tmp_path):
+    january = _line(**{"Charging Start Time": "31/01/24 23:59"})
+    path = _session_file(tmp_path / "s.csv", _line(), january, _line(**{"Charging End Time": "never"}))
+    counts, parsed = load_sessions(spark, path)
+    assert counts == {"imported": 2, "skipped": 1}
+    assert [r["reject_reason"] for r in parsed.rejects.collect()] == ["bad time: charging_end_time"]
+    load_sessions(spark, path)
+    stored = open_sessions(spark)
+    assert stored.count() == 4
+    assert stored.select("id").distinct().count() == 4
+    assert stored.where(F.col("created_at").isNull()).count() == 0
+    assert "start_month" not in stored.columns
+    months = {str(r["start_month"]) for r in spark.table(fixed.SESSIONS_TABLE).collect()}
+    assert months == {"2024-01-01", "2024-02-01"}
+    load_sessions(spark, _session_file(tmp_path / "t.csv", _line()), replace=True)
+    assert open_sessions(spark).count() == 1
+
+
+def test_known_stations_stay_as_they_are(spark, tables, tmp_path):
+    first = _station_file(tmp_path / "a.csv", _changed(pontos_ligacao="1"), _changed(pontos_ligacao="2"))
+    counts, _ = load_stations(spark, first)
+    assert counts == {"processed": 2, "skipped": 0, "inserted": 1}
+    second = _station_file(tmp_path / "b.csv", _changed(pontos_ligacao="3"), _changed(station_id="S2"))
+    counts, _ = load_stations(spark, second)
+    assert counts == {"processed": 2, "skipped": 0, "inserted": 1}
+    stored = {r["station_id"]: r["pontos_ligacao"] for r in open_stations(spark).collect()}
+    assert stored == {"S1": 1, "S2": 4}
+
+
+def test_everything_at_once_and_reports_on_tables(spark, tables, tmp_path):
+    drop_tables(spark)
+    counts = load_all(
+        spark, _session_file(tmp_path / "s.csv", _line(), _line()), _station_file(tmp_path / "a.csv", _changed())
+    )
+    assert counts[fixed.SESSIONS_TABLE]["imported"] == 2
+    assert counts[fixed.STATIONS_TABLE]["inserted"] == 1
+    (row,) = op.usage_per_station(open_sessions(spark), open_stations(spark)).collect()
+    assert (row["distrito"], row["total_sessions"], row["total_energy_delivered"]) == ("Évora", 2, 24.7)
+    assert op.newest_sessions(open_sessions(spark), 1).count() == 1
+
+
+def test_queries_take_values(spark, tables, tmp_path):
+    load_sessions(spark, _session_file(tmp_path / "s.csv", _line(), _line(**{"User ID": "O'Hara"})))
+    text = f"SELECT count(*) AS n FROM {fixed.SESSIONS_TABLE} WHERE user_id = :user"
+    assert query(spark, text, {"user": "O'Hara"}).first()["n"] == 1
+    assert query(spark, text.replace(":user", "?"), ["U1"]).first()["n"] == 1
+    assert query(spark, f"SELECT * FROM {fixed.STATIONS_TABLE}").count() == 0
+
+
+def test_a_time_filter_reads_only_its_months(spark, tables, tmp_path):
+    lines = [_line(**{"Charging Start Time": f"05/{month:02d}/24 10:00"}) for month in range(1, 13)]
+    load_sessions(spark, _session_file(tmp_path / "s.csv", *lines))
+    march = open_sessions(spark, since=datetime(2024, 3, 1), until=datetime(2024, 4, 1))
+    assert march.count() == 1
+    plan = march._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(start_month" in plan

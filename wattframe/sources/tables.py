@@ -1,9 +1,10 @@
 """The two stored tables: create, fill, open and drop."""
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
@@ -26,8 +27,18 @@ def drop_tables(spark: SparkSession) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
-def open_sessions(spark: SparkSession) -> DataFrame:
-    return spark.table(fixed.SESSIONS_TABLE).drop(MONTH)
+def open_sessions(spark: SparkSession, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+    """The stored sessions, from one start time on and up to, not including, another.
+
+    A limit also restricts the month folders, so only those are read.
+    """
+    stored = spark.table(fixed.SESSIONS_TABLE)
+    start, month = F.col("charging_start_time"), F.col(MONTH)
+    if since is not None:
+        stored = stored.where((start >= _clock(since)) & (month >= F.lit(since.date().replace(day=1))))
+    if until is not None:
+        stored = stored.where((start < _clock(until)) & (month <= F.lit(until.date())))
+    return stored.drop(MONTH)
 
 
 def open_stations(spark: SparkSession) -> DataFrame:
@@ -61,7 +72,7 @@ def load_sessions(
         (F.monotonically_increasing_id() + F.lit(first_id)).alias("id"),
         *[name for _, name, _ in fixed.SESSION_COLUMNS],
         F.current_timestamp().alias("created_at"),
-        F.to_date(F.date_trunc("month", F.col("charging_start_time"))).alias(MONTH),
+        F.trunc(F.to_date("charging_start_time"), "month").alias(MONTH),
     )
     # balances the write by month: large months are split, small ones share a task
     balanced = stored.hint("rebalance", MONTH)
@@ -103,6 +114,11 @@ def load_all(
     return {fixed.SESSIONS_TABLE: session_counts, fixed.STATIONS_TABLE: station_counts}
 
 
+def _clock(moment: datetime) -> Column:
+    """As text, because a datetime literal would be shifted to the session's time zone."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def _highest_id(spark: SparkSession) -> int:
     highest = spark.table(fixed.SESSIONS_TABLE).agg(F.max("id").alias("id")).first()["id"]
     return -1 if highest is None else highest

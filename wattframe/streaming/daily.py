@@ -1,6 +1,6 @@
 """Daily figures on a stream of sessions."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -26,15 +26,23 @@ def start_daily_overview(
     return writer.option("checkpointLocation", checkpoint).trigger(**when).start()
 
 
-def _by_day(sessions: DataFrame, delay: str) -> DataFrame:
-    """Start time as an instant with a watermark; event time needs that type."""
-    timed = sessions.withColumn("_at", F.col(m.START).cast("timestamp"))
-    return timed.withWatermark("_at", delay)
+def _watermarked(sessions: DataFrame, delay: str) -> DataFrame:
+    """Adds the start time as an instant, which a watermark needs.
+
+    The clock time is taken as if it were UTC, whatever the session's zone, so
+    one-day windows are calendar days.
+    """
+    at = F.from_utc_timestamp(F.col(m.START).cast("timestamp"), F.current_timezone())
+    return sessions.withColumn("_at", at).withWatermark("_at", delay)
+
+
+def _date_of(window_start: str) -> Column:
+    return F.date_from_unix_date((F.unix_seconds(window_start) / F.lit(24 * 60 * 60)).cast("int"))
 
 
 def daily_windows(sessions: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Volume per day for append mode: a day appears once, after it can no longer change."""
-    days = _by_day(sessions, delay).groupBy(F.window("_at", "1 day")).agg(
+    days = _watermarked(sessions, delay).groupBy(F.window("_at", "1 day")).agg(
         m.rows("total_sessions"),
         m.total(m.ENERGY, "total_energy_kwh"),
         m.mean(m.ENERGY, "avg_energy_kwh"),
@@ -42,7 +50,7 @@ def daily_windows(sessions: DataFrame, delay: str = "1 hour") -> DataFrame:
         m.mean(m.COST, "avg_cost"),
         m.mean(m.HOURS, "avg_duration_hours"),
     )
-    return days.select(F.to_date("window.start").alias("date"), *days.columns[1:])
+    return days.select(_date_of("window.start").alias("date"), *days.columns[1:])
 
 
 def daily_users(sessions: DataFrame, delay: str = "1 hour") -> DataFrame:
@@ -51,15 +59,15 @@ def daily_users(sessions: DataFrame, delay: str = "1 hour") -> DataFrame:
     Sessions of a user and day are first reduced to one row, then counted, so
     state is spread by user and no day is one task's work.
     """
-    present = _by_day(sessions, delay).groupBy(F.window("_at", "1 day").alias("day"), m.USER).agg(m.rows("n"))
-    known = present.withColumn("_known", F.col(m.USER).isNotNull().cast("int"))
+    day_and_user = _watermarked(sessions, delay).groupBy(F.window("_at", "1 day").alias("day"), m.USER)
+    known = day_and_user.agg(m.rows("n")).withColumn("_known", F.col(m.USER).isNotNull().cast("int"))
     days = known.groupBy(F.window("day", "1 day").alias("day")).agg(F.sum("_known").alias("unique_users"))
-    return days.select(F.to_date("day.start").alias("date"), "unique_users")
+    return days.select(_date_of("day.start").alias("date"), "unique_users")
 
 
 def daily_users_estimate(sessions: DataFrame, delay: str = "1 hour", error: float = 0.05) -> DataFrame:
     """Estimated distinct users per day, with small fixed state per day."""
-    days = _by_day(sessions, delay).groupBy(F.window("_at", "1 day").alias("day")).agg(
+    days = _watermarked(sessions, delay).groupBy(F.window("_at", "1 day").alias("day")).agg(
         F.approx_count_distinct(m.USER, error).alias("unique_users")
     )
-    return days.select(F.to_date("day.start").alias("date"), "unique_users")
+    return days.select(_date_of("day.start").alias("date"), "unique_users")
