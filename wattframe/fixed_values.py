@@ -47,7 +47,7 @@ STATION_COLUMNS = [
 FIELD_SEPARATOR = ";"
 DECIMAL_MARK = ","
 # day/month/two-digit-year hour:minute; years 69-99 are 19xx, 00-68 are 20xx
-TIME_SHAPE = r"^\d{1,2}/\d{1,2}/\d{2}\s+\d{1,2}:\d{1,2}$"
+TIME_SHAPE = r"^(\d{1,2})/(\d{1,2})/(\d{2})\s+(\d{1,2}):(\d{1,2})$"
 FIRST_YEAR_OF_1900S = 69
 
 # --- labels, in report order -----------------------------------------------------

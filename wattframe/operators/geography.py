@@ -8,7 +8,7 @@ from ..functions.bands import band_of, labels_of, position_in
 from ..functions.geodesy import distance_km, inside_box
 from ..functions.rounding import count_as_decimal, mean_of_parts, published, ratio
 from ..plans import measures as m
-from ..plans.locations import collated, locate, locate_spread, per_station
+from ..plans.locations import collated, locate, locate_spread, per_station, plain
 from ..plans.shares import share_of_bands, share_of_rows
 
 # --- stations alone -----------------------------------------------------------------
@@ -27,7 +27,8 @@ def stations_by_distrito(stations: DataFrame, collation: str | None = None) -> D
         m.highest(m.POWER, "max_power_kw"),
         _points(),
     )
-    return m.ranked_by(areas, "total_stations", "distrito")
+    ranked = m.ranked_by(areas, "total_stations", "distrito")
+    return plain(ranked, collation)
 
 
 def stations_by_concelho(
@@ -40,9 +41,8 @@ def stations_by_concelho(
     areas = stations.groupBy("distrito", "concelho").agg(
         m.rows("total_stations"), m.mean(m.POWER, "avg_power_kw"), _points()
     )
-    return m.ranked_by(
-        areas, "total_stations", "distrito", "concelho", limit=None if distrito else fixed.TOP_ROWS
-    )
+    ranked = m.ranked_by(areas, "total_stations", "distrito", "concelho", limit=None if distrito else fixed.TOP_ROWS)
+    return plain(ranked, collation)
 
 
 def stations_by_freguesia(
@@ -55,9 +55,8 @@ def stations_by_freguesia(
     areas = stations.groupBy("distrito", "concelho", "freguesia").agg(
         m.rows("total_stations"), m.mean(m.POWER, "avg_power_kw")
     )
-    return m.ranked_by(
-        areas, "total_stations", "distrito", "concelho", "freguesia", limit=None if concelho else fixed.TOP_ROWS
-    )
+    ranked = m.ranked_by(areas, "total_stations", "distrito", "concelho", "freguesia", limit=None if concelho else fixed.TOP_ROWS)
+    return plain(ranked, collation)
 
 
 def power_distribution(stations: DataFrame) -> DataFrame:
@@ -151,9 +150,8 @@ def station_density_by_area(
         "stations_per_concelho_in_distrito",
         published(ratio(count_as_decimal(F.col("station_count")), count_as_decimal(F.col("_concelhos")))),
     )
-    return m.ranked_by(
-        dense.drop("_concelhos"), "station_count", "distrito", "concelho", limit=fixed.DENSITY_ROWS
-    )
+    ranked = m.ranked_by(dense.drop("_concelhos"), "station_count", "distrito", "concelho", limit=fixed.DENSITY_ROWS)
+    return plain(ranked, collation)
 
 
 # --- sessions at stations -------------------------------------------------------------
@@ -199,7 +197,8 @@ def usage_by_distrito(sessions: DataFrame, stations: DataFrame, collation: str |
         m.total_of_parts(m.COST, "total_revenue"),
         m.mean_of_summed_parts(m.COST, "avg_cost_per_session"),
     )
-    return m.ranked_by(areas, "total_sessions", "distrito")
+    ranked = m.ranked_by(areas, "total_sessions", "distrito")
+    return plain(ranked, collation)
 
 
 def usage_by_concelho(
@@ -215,9 +214,8 @@ def usage_by_concelho(
         m.total_of_parts(m.ENERGY, "total_energy_kwh"),
         m.total_of_parts(m.COST, "total_revenue"),
     )
-    return m.ranked_by(
-        areas, "total_sessions", "distrito", "concelho", limit=None if distrito else fixed.CONCELHO_USAGE_ROWS
-    )
+    ranked = m.ranked_by(areas, "total_sessions", "distrito", "concelho", limit=None if distrito else fixed.CONCELHO_USAGE_ROWS)
+    return plain(ranked, collation)
 
 
 def top_locations_by_revenue(
@@ -233,7 +231,8 @@ def top_locations_by_revenue(
         m.mean_of_summed_parts(m.COST, "avg_cost_per_session"),
         m.total_of_parts(m.ENERGY, "total_energy_kwh"),
     )
-    return m.ranked_by(areas, "total_revenue", "distrito", "concelho", limit=limit)
+    ranked = m.ranked_by(areas, "total_revenue", "distrito", "concelho", limit=limit)
+    return plain(ranked, collation)
 
 
 def stations_with_no_usage(

@@ -38,12 +38,23 @@ def locate_spread(pairs: DataFrame, stations: DataFrame, spread_by: str) -> Data
     return sliced_pairs.join(sliced_stations, matches).drop("_slice")
 
 
+_NAMES = ["distrito", "concelho", "freguesia"]
+
+
 def collated(stations: DataFrame, collation: str | None) -> DataFrame:
     """Station geography compared under a collation, e.g. ``UNICODE_CI_AI``.
 
-    Without one, names are compared byte by byte.
+    Without one, names are compared byte by byte. Of names that are equal under
+    the collation any one spelling is reported.
     """
     if collation is None:
         return stations
-    names = ["distrito", "concelho", "freguesia"]
-    return stations.withColumns({name: F.collate(F.col(name), collation) for name in names})
+    return stations.withColumns({name: F.collate(F.col(name), collation) for name in _NAMES})
+
+
+def plain(report: DataFrame, collation: str | None) -> DataFrame:
+    """Names as ordinary text again, for the caller."""
+    if collation is None:
+        return report
+    shown = [name for name in _NAMES if name in report.columns]
+    return report.withColumns({name: F.collate(F.col(name), "UTF8_BINARY") for name in shown})

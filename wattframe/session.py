@@ -7,6 +7,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # generated methods beyond this size are never compiled by the JVM; past it Spark
+    # splits a wide projection, such as that of file ingest, into small methods
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # stream state on disk instead of executor memory
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -10,14 +10,14 @@ from .. import fixed_values as fixed
 
 LINE = "_line"
 FIELDS = "_fields"
-ORDER = "_order"
+BLOCK = "_block"
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], multiline: bool = False) -> DataFrame:
     """Every non-blank line of the files, all fields as text under trimmed header names.
 
     Added columns: the line itself if its number of fields differs from the
-    header's, that number of fields, and the line's place in file order. All
+    header's, that number of fields, and the block of the file it is in. All
     files of one call share one header. ``multiline`` admits line breaks inside
     quotes, at the price that a file is read by one task.
     """
@@ -39,11 +39,7 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], multiline: bool
     header = reader.csv(paths).columns
     as_text = T.StructType([T.StructField(name, T.StringType()) for name in [*header, LINE]])
     lines = reader.schema(as_text).csv(paths)
-    place = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
+    block = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
     width = F.lit(len(header))
     # a line whose last column holds a value has all fields; naming that column also
     # keeps Spark from refusing a query that asks for nothing but odd lines
@@ -54,7 +50,7 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], multiline: bool
         *[F.trim(F.col(f"`{name}`")).alias(name.strip()) for name in header],
         LINE,
         fields.alias(FIELDS),
-        place.alias(ORDER),
+        block.alias(BLOCK),
     )
 
 

@@ -1,6 +1,6 @@
 """Files to typed rows: what is loaded, what is refused and why."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -8,14 +8,18 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
 from . import parsing
-from .csv_files import FIELDS, LINE, ORDER, read_lines
+from .csv_files import BLOCK, FIELDS, LINE, read_lines
 from .schema import text_length
 
 REASON = "reject_reason"
+ORDER = "_order"
+RAW = "_raw"
 
 # text columns in which a present but empty field stays empty text
 _KEEP_EMPTY = {"user_id", "vehicle_model", "charging_station_id", "station_id", "distrito", "concelho", "freguesia"}
 
+Declared = Sequence[tuple[str, str, str]]
+
 
 @dataclass(frozen=True)
 class Parsed:
@@ -31,7 +35,7 @@ class Parsed:
     @property
     def rejects(self) -> DataFrame:
         refused = self.lines.where(F.col(REASON).isNotNull())
-        return refused.select(REASON, f"{ORDER}.file", LINE, "raw")
+        return refused.select(REASON, f"{ORDER}.file", LINE, F.col(RAW).alias("fields"))
 
     def counts(self) -> DataFrame:
         """Loaded and skipped lines, one row per reason; loaded lines have none."""
@@ -40,27 +44,16 @@ class Parsed:
 
 def read_sessions(spark: SparkSession, paths: str | Sequence[str], multiline: bool = False) -> Parsed:
     """Session files. A line is refused if its shape, a time or a value does not fit."""
-    lines = read_lines(spark, paths, multiline)
-    problems = _shape_problems(lines, fixed.SESSION_COLUMNS)
-    values = []
-    for header, name, declared in _present(lines, fixed.SESSION_COLUMNS):
-        value, problem = _strict(lines, header, name, declared)
-        values.append(value.alias(name))
-        problems.append(problem)
-    return _parsed(lines, fixed.SESSION_COLUMNS, values, problems)
+    typed = _typed(read_lines(spark, paths, multiline), fixed.SESSION_COLUMNS, _value)
+    return _parsed(typed, fixed.SESSION_COLUMNS, _problems(typed, fixed.SESSION_COLUMNS))
 
 
 def read_stations(spark: SparkSession, paths: str | Sequence[str], multiline: bool = False) -> Parsed:
     """Station files. A value that does not fit is dropped or cut and listed in ``warnings``."""
-    lines = read_lines(spark, paths, multiline)
-    problems = _shape_problems(lines, fixed.STATION_COLUMNS)
-    values, warnings = [], []
-    for header, name, declared in _present(lines, fixed.STATION_COLUMNS):
-        value, warning = _lenient(lines, header, name, declared)
-        values.append(value.alias(name))
-        warnings.append(warning)
-    notes = F.array_compact(F.array(*warnings)) if warnings else F.array().cast("array<string>")
-    return _parsed(lines, fixed.STATION_COLUMNS, values, problems, notes.alias("warnings"))
+    typed = _typed(read_lines(spark, paths, multiline), fixed.STATION_COLUMNS, _fitted_value)
+    warnings = F.array(*_problems(typed, fixed.STATION_COLUMNS, too_long="cut")).cast("array<string>")
+    noted = typed.withColumn("warnings", F.array_compact(warnings))
+    return _parsed(noted, fixed.STATION_COLUMNS, [], "warnings")
 
 
 def first_per_station(stations: DataFrame) -> DataFrame:
@@ -73,79 +66,84 @@ def first_per_station(stations: DataFrame) -> DataFrame:
     return stations.groupBy("station_id").agg(first).select("station_id", "_first.*")
 
 
-# --- columns ----------------------------------------------------------------------------
+# --- values ------------------------------------------------------------------------------
 
-_Converted = tuple[Column, Column]
 
+def _typed(lines: DataFrame, columns: Declared, value: Callable[[Column, str, str], Column]) -> DataFrame:
+    """Typed values beside the fields as read.
 
-def _strict(lines: DataFrame, header: str, name: str, declared: str) -> _Converted:
-    """Value, and a reason to refuse the line if the text does not fit."""
-    text = _text(lines, header, name)
-    length = text_length(declared)
-    if length is not None:
-        return text, _note(F.length(text) > length, f"too long: {name}")
-    if declared == "timestamp_ntz":
-        moment = parsing.as_timestamp(text)
-        return moment, _note(moment.isNull(), f"bad time: {name}")
-    if declared == "int":
-        number = parsing.as_int(text)
-        # text that is no number is only dropped; a number beyond the type is refused
-        return number, _note(number.isNull() & parsing.is_whole_number(text), f"out of range: {name}")
-    number = parsing.as_decimal(text, declared)
-    return number, _note(number.isNull() & ~parsing.is_blank(text), f"bad number: {name}")
-
-
-def _lenient(lines: DataFrame, header: str, name: str, declared: str) -> _Converted:
-    """Value that always fits, and a warning if the text did not."""
-    text = _text(lines, header, name)
-    length = text_length(declared)
-    if length is not None:
-        if name == "station_id":
-            text = F.coalesce(text, F.lit(""))
-        return F.left(text, F.lit(length)), _note(F.length(text) > length, f"cut: {name}")
-    if declared == "int":
-        number = parsing.as_int(text)
-        return number, _note(number.isNull() & parsing.is_whole_number(text), f"out of range: {name}")
-    number = parsing.as_decimal(text, declared)
-    return number, _note(number.isNull() & ~parsing.is_blank(text), f"bad number: {name}")
+    Each value is computed once: the row number in this projection keeps later
+    conditions on the values from being moved below it and computed again.
+    """
+    values = [
+        value(_text(lines, header, name), name, kind).alias(name)
+        for header, name, kind in columns
+        if header in lines.columns
+    ]
+    fields = [lines[f"`{c}`"].alias(c) for c in lines.columns if c not in (LINE, FIELDS, BLOCK)]
+    place = F.struct(f"{BLOCK}.file", f"{BLOCK}.start", F.monotonically_increasing_id().alias("row"))
+    return lines.select(*values, LINE, FIELDS, F.struct(*fields).alias(RAW), place.alias(ORDER))
 
 
 def _text(lines: DataFrame, header: str, name: str) -> Column:
     """Field text; empty is kept for names, NULL for a field the line is too short to hold."""
     text = lines[f"`{header}`"]
+    if name not in _KEEP_EMPTY:
+        return text
     place = lines.columns.index(header)
-    if name in _KEEP_EMPTY:
-        return F.when(lines[FIELDS] > place, F.coalesce(text, F.lit("")))
-    return F.when(text != F.lit(""), text)
+    return F.when(lines[FIELDS] > place, F.coalesce(text, F.lit("")))
 
 
-def _note(condition: Column, text: str) -> Column:
-    return F.when(condition, F.lit(text))
+def _value(text: Column, name: str, kind: str) -> Column:
+    if text_length(kind) is not None:
+        return text if name in _KEEP_EMPTY else F.nullif(text, F.lit(""))
+    if kind == "timestamp_ntz":
+        return parsing.as_timestamp(text)
+    return parsing.as_int(text) if kind == "int" else parsing.as_decimal(text, kind)
+
+
+def _fitted_value(text: Column, name: str, kind: str) -> Column:
+    """As above, but text is cut to its length and a key is never missing."""
+    value = _value(text, name, kind)
+    length = text_length(kind)
+    if length is None:
+        return value
+    return F.left(F.coalesce(value, F.lit("")) if name == "station_id" else value, F.lit(length))
+
 
+# --- problems ----------------------------------------------------------------------------
 
-def _present(lines: DataFrame, columns: Sequence[tuple[str, str, str]]) -> list[tuple[str, str, str]]:
-    return [column for column in columns if column[0] in lines.columns]
+
+def _problems(typed: DataFrame, columns: Declared, too_long: str = "too long") -> list[Column]:
+    present = typed.schema[RAW].dataType.names
+    return [_problem(header, name, kind, too_long) for header, name, kind in columns if header in present]
+
+
+def _problem(header: str, name: str, kind: str, too_long: str) -> Column:
+    """What is wrong with a value, NULL if nothing."""
+    text, value = F.col(RAW).getField(header), F.col(name)
+    length = text_length(kind)
+    if length is not None:
+        return _note(F.length(text) > length, f"{too_long}: {name}")
+    if kind == "timestamp_ntz":
+        return _note(value.isNull(), f"bad time: {name}")
+    if kind == "int":
+        # text that is no number is only dropped; a number beyond the type is a problem
+        return _note(value.isNull() & parsing.is_whole_number(text), f"out of range: {name}")
+    return _note(value.isNull() & (text != F.lit("")), f"bad number: {name}")
+
+
+def _note(condition: Column, text: str) -> Column:
+    return F.when(condition, F.lit(text))
 
 
-def _shape_problems(lines: DataFrame, columns: Sequence[tuple[str, str, str]]) -> list[Column]:
+def _parsed(typed: DataFrame, columns: Declared, problems: list[Column], *extra: str) -> Parsed:
     """A column the files lack refuses every line; otherwise surplus fields refuse theirs."""
-    missing = [header for header, _, _ in columns if header not in lines.columns]
+    present = typed.schema[RAW].dataType.names
+    missing = [header for header, _, _ in columns if header not in present]
     if missing:
-        return [F.lit(f"missing column: {missing[0]}")]
-    width = len(lines.columns) - len((LINE, FIELDS, ORDER))
-    return [_note(lines[FIELDS] > width, "too many fields")]
-
-
-def _parsed(
-    lines: DataFrame,
-    columns: Sequence[tuple[str, str, str]],
-    values: list[Column],
-    problems: list[Column],
-    *extra: Column,
-) -> Parsed:
-    fields = [f"`{c}`" for c in lines.columns if c not in (LINE, FIELDS, ORDER)]
-    typed = lines.select(
-        *values, *extra, F.coalesce(*problems).alias(REASON), ORDER, LINE, F.array(*fields).alias("raw")
-    )
-    names = [name for _, name, _ in columns if name in typed.columns]
-    return Parsed(typed, [*names, *[c for c in ("warnings",) if c in typed.columns], ORDER])
+        problems = [F.lit(f"missing column: {missing[0]}")]
+    else:
+        problems = [_note(F.col(FIELDS) > len(present), "too many fields"), *problems]
+    names = [name for header, name, _ in columns if header in present]
+    return Parsed(typed.withColumn(REASON, F.coalesce(*problems)), [*names, *extra, ORDER])

@@ -6,10 +6,6 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fixed
 
 
-def is_blank(text: Column) -> Column:
-    return text.isNull() | (F.trim(text) == F.lit(""))
-
-
 def as_decimal(text: Column, decimal_type: str) -> Column:
     """Decimal comma or point; surplus digits are rounded, too large a number is NULL."""
     return F.replace(text, F.lit(fixed.DECIMAL_MARK), F.lit(".")).try_cast(decimal_type)
@@ -24,9 +20,13 @@ def is_whole_number(text: Column) -> Column:
 
 
 def as_timestamp(text: Column) -> Column:
-    """Day/month/year hour:minute without a time zone, one or two digits each."""
-    part = F.split(text, r"[/:\s]+")
-    day, month, year, hour, minute = [F.get(part, F.lit(i)).try_cast("int") for i in range(5)]
-    century = F.when(year >= F.lit(fixed.FIRST_YEAR_OF_1900S), F.lit(1900)).otherwise(F.lit(2000))
-    moment = F.try_make_timestamp_ntz(century + year, month, day, hour, minute, F.lit(0).cast("decimal(8,6)"))
-    return F.when(text.rlike(fixed.TIME_SHAPE), moment)
+    """Day/month/year hour:minute without a time zone, one or two digits each.
+
+    Text of that shape loses its slashes when it is rewritten; any other text
+    keeps them or never had them.
+    """
+    rewritten = F.regexp_replace(text, fixed.TIME_SHAPE, "20$3-$2-$1 $4:$5:00")
+    has_shape = text.contains("/") & ~rewritten.contains("/")
+    moment = F.when(has_shape, rewritten).try_cast("timestamp_ntz")
+    last_century = F.year(moment) >= F.lit(2000 + fixed.FIRST_YEAR_OF_1900S)
+    return F.when(last_century, moment - F.make_ym_interval(F.lit(100))).otherwise(moment)
