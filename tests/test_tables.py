@@ -64,6 +64,27 @@ def test_sessions_are_added_or_replaced(spark, tables, tmp_path):
     assert open_sessions(spark).count() == 1
 
 
+def test_ids_go_on_after_a_load_that_broke_off(spark, tables, tmp_path):
+    path = _session_file(tmp_path / "s.csv", _line(), _line(), _line(**{"Charging End Time": "never"}))
+    load_sessions(spark, path)
+    spark.sql(f"ALTER TABLE {fixed.SESSIONS_TABLE} UNSET TBLPROPERTIES IF EXISTS ('wattframe.next_id')")
+    load_sessions(spark, path)
+    load_sessions(spark, _session_file(tmp_path / "none.csv"))
+    load_sessions(spark, path)
+    stored = open_sessions(spark)
+    assert stored.count() == stored.select("id").distinct().count() == 6
+
+
+def test_files_without_a_column_load_nothing(spark, tables, tmp_path):
+    headers = [h for h, _, _ in fixed.SESSION_COLUMNS if h != "Day of Week"]
+    counts, parsed = load_sessions(spark, _file(tmp_path / "s.csv", [_line(headers)] * 2, headers))
+    assert counts == {"imported": 0, "skipped": 2}
+    assert parsed.counts().collect() == [("missing column: Day of Week", 2)]
+    headers = STATION_HEADERS[1:]
+    counts, _ = load_stations(spark, _file(tmp_path / "t.csv", [";".join(_changed()[1:])], headers))
+    assert counts == {"processed": 0, "skipped": 1, "inserted": 0}
+
+
 def test_known_stations_stay_as_they_are(spark, tables, tmp_path):
     first = _station_file(tmp_path / "a.csv", _changed(pontos_ligacao="1"), _changed(pontos_ligacao="2"))
     counts, _ = load_stations(spark, first)

@@ -75,18 +75,16 @@ def _typed(lines: DataFrame, columns: Declared, value: Callable[[Column, str, st
     Each value is computed once: the row number in this projection keeps later
     conditions on the values from being moved below it and computed again.
     """
-    values = [
-        value(_text(lines, header, name), name, kind).alias(name)
-        for header, name, kind in columns
-        if header in lines.columns
-    ]
+    values = [value(_text(lines, header, name), name, kind).alias(name) for header, name, kind in columns]
     fields = [lines[f"`{c}`"].alias(c) for c in lines.columns if c not in (LINE, FIELDS, BLOCK)]
     place = F.struct(f"{BLOCK}.file", f"{BLOCK}.start", F.monotonically_increasing_id().alias("row"))
     return lines.select(*values, LINE, FIELDS, F.struct(*fields).alias(RAW), place.alias(ORDER))
 
 
 def _text(lines: DataFrame, header: str, name: str) -> Column:
-    """Field text; empty is kept for names, NULL for a field the line is too short to hold."""
+    """Field text; empty is kept for names, NULL for a field the line or the file lacks."""
+    if header not in lines.columns:
+        return F.lit(None).cast("string")
     text = lines[f"`{header}`"]
     if name not in _KEEP_EMPTY:
         return text
@@ -142,8 +140,9 @@ def _parsed(typed: DataFrame, columns: Declared, problems: list[Column], *extra:
     present = typed.schema[RAW].dataType.names
     missing = [header for header, _, _ in columns if header not in present]
     if missing:
-        problems = [F.lit(f"missing column: {missing[0]}")]
+        # a condition on the line, so that refused lines are still read and counted
+        problems = [_note(F.col(FIELDS) > 0, f"missing column: {missing[0]}")]
     else:
         problems = [_note(F.col(FIELDS) > len(present), "too many fields"), *problems]
-    names = [name for header, name, _ in columns if header in present]
+    names = [name for _, name, _ in columns]
     return Parsed(typed.withColumn(REASON, F.coalesce(*problems)), [*names, *extra, ORDER])

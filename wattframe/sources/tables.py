@@ -11,6 +11,9 @@ from .. import fixed_values as fixed
 from .ingest import REASON, Parsed, first_per_station, read_sessions, read_stations
 from .schema import MONTH, SESSION_DDL, STATION_DDL
 
+# table property: the first session id that is not used yet
+NEXT_ID = "wattframe.next_id"
+
 
 def create_tables(spark: SparkSession) -> None:
     """Creates both tables if absent. Sessions are kept in one folder per start month."""
@@ -56,28 +59,31 @@ def load_sessions(
     """Adds the session files to the table, or puts them in place of its rows.
 
     There is no key to recognise a session by: adding a file twice stores it
-    twice. Loaded and skipped lines are counted while writing. Either all lines
-    of a call become visible or none.
+    twice. Either all lines of a call become visible or none.
     """
     parsed = read_sessions(spark, paths, multiline)
-    seen = Observation("sessions")
-    observed = parsed.lines.observe(
-        seen,
-        F.count_if(F.col(REASON).isNull()).alias("imported"),
-        F.count_if(F.col(REASON).isNotNull()).alias("skipped"),
-    )
-    first_id = 0 if replace else _highest_id(spark) + 1
-    rows = Parsed(observed, parsed.columns).loaded
-    stored = rows.select(
+    first_id = _take_next_id(spark, replace)
+    rows = parsed.lines.select(
         (F.monotonically_increasing_id() + F.lit(first_id)).alias("id"),
         *[name for _, name, _ in fixed.SESSION_COLUMNS],
         F.current_timestamp().alias("created_at"),
         F.trunc(F.to_date("charging_start_time"), "month").alias(MONTH),
+        REASON,
     )
     # balances the write by month: large months are split, small ones share a task
-    balanced = stored.hint("rebalance", MONTH)
-    balanced.write.insertInto(fixed.SESSIONS_TABLE, overwrite=replace)
-    return dict(seen.get), parsed
+    balanced = rows.hint("rebalance", MONTH)
+    # counted in the writing stage, where each row is counted once even if tasks are repeated
+    seen = Observation("sessions")
+    counted = balanced.observe(
+        seen,
+        F.count_if(F.col(REASON).isNull()).alias("imported"),
+        F.count_if(F.col(REASON).isNotNull()).alias("skipped"),
+        F.coalesce(F.max("id"), F.lit(first_id - 1)).alias("last_id"),
+    )
+    counted.where(F.col(REASON).isNull()).drop(REASON).write.insertInto(fixed.SESSIONS_TABLE, overwrite=replace)
+    counts = dict(seen.get)
+    _note_next_id(spark, counts.pop("last_id") + 1)
+    return counts, parsed
 
 
 def load_stations(
@@ -85,20 +91,17 @@ def load_stations(
 ) -> tuple[dict[str, int], Parsed]:
     """Adds stations whose id is not stored yet; of several rows with one id the first stays."""
     parsed = read_stations(spark, paths, multiline)
-    seen = Observation("stations")
-    observed = parsed.lines.observe(
-        seen,
-        F.count_if(F.col(REASON).isNull()).alias("processed"),
-        F.count_if(F.col(REASON).isNotNull()).alias("skipped"),
-    )
-    written = Observation("new stations")
-    unique = first_per_station(Parsed(observed, parsed.columns).loaded)
     known = open_stations(spark).select("station_id")
-    new = unique.join(known, "station_id", "left_anti").observe(written, F.count(F.lit(1)).alias("inserted"))
+    new = first_per_station(parsed.loaded).join(known, "station_id", "left_anti")
+    written = Observation("stations")
     new.select(
         *[name for _, name, _ in fixed.STATION_COLUMNS], F.current_timestamp().alias("created_at")
-    ).write.insertInto(fixed.STATIONS_TABLE)
-    return {**seen.get, **written.get}, parsed
+    ).observe(written, F.count(F.lit(1)).alias("inserted")).write.insertInto(fixed.STATIONS_TABLE)
+    lines = parsed.lines.agg(
+        F.count_if(F.col(REASON).isNull()).alias("processed"),
+        F.count_if(F.col(REASON).isNotNull()).alias("skipped"),
+    ).first()
+    return {**lines.asDict(), **written.get}, parsed
 
 
 def load_all(
@@ -119,6 +122,21 @@ def _clock(moment: datetime) -> Column:
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _highest_id(spark: SparkSession) -> int:
+def _take_next_id(spark: SparkSession, replace: bool) -> int:
+    """The first free session id, which the last load has noted at the table.
+
+    The note is taken away until this load has written its rows. If it is
+    missing because a load broke off, the stored ids are read instead.
+    """
+    notes = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {fixed.SESSIONS_TABLE}").collect()}
+    spark.sql(f"ALTER TABLE {fixed.SESSIONS_TABLE} UNSET TBLPROPERTIES IF EXISTS ('{NEXT_ID}')")
+    if replace:
+        return 0
+    if NEXT_ID in notes:
+        return int(notes[NEXT_ID])
     highest = spark.table(fixed.SESSIONS_TABLE).agg(F.max("id").alias("id")).first()["id"]
-    return -1 if highest is None else highest
+    return 0 if highest is None else highest + 1
+
+
+def _note_next_id(spark: SparkSession, free: int) -> None:
+    spark.sql(f"ALTER TABLE {fixed.SESSIONS_TABLE} SET TBLPROPERTIES ('{NEXT_ID}' = '{free}')")
