@@ -5,6 +5,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .staging import staged
+
 _MOST_SLICES = 256
 
 
@@ -12,14 +14,19 @@ def with_ranks(top: DataFrame, groups: DataFrame, metrics: Mapping[str, str]) ->
     """Adds to ``top`` the descending rank its rows have among all ``groups``.
 
     ``metrics`` maps metric column to rank column. ``groups`` is read several
-    times and should be staged; ``top`` is a part of its rows.
+    times and should be staged; ``top`` is a part of its rows. The ranks of all
+    values meet only the values that ``top`` has; what is joined in the end is
+    no larger than ``top``.
     """
     edges = _edges(groups, list(metrics))
+    ranked = top = staged(top)
     for metric, name in metrics.items():
-        ranks = _rank_of_values(groups, metric, name, edges[metric])
         value = f"_{metric}_value"
-        top = top.join(ranks.withColumnRenamed(metric, value), F.col(metric).eqNullSafe(F.col(value))).drop(value)
-    return top
+        shown = top.select(F.col(metric).alias(value)).distinct()
+        ranks = _rank_of_values(groups, metric, name, edges[metric])
+        found = ranks.join(shown, F.col(metric).eqNullSafe(F.col(value))).select(value, name)
+        ranked = ranked.join(found, F.col(metric).eqNullSafe(F.col(value))).drop(value)
+    return ranked
 
 
 def _edges(groups: DataFrame, metrics: list[str]) -> dict[str, list[float]]:
