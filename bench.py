@@ -124,7 +124,7 @@ def main() -> None:
     for name, report in _reports(sessions, stations).items():
         spent[name] = _timed(lambda: _run(report()))
     queries = registry.queries()
-    for name in (n for n in queries if n.startswith("ingest") or n.endswith("_streamed")):
+    for name in (n for n in queries if n.startswith(("ingest", "loaded")) or n.endswith("_streamed")):
         spent[name] = _timed(lambda: _run(queries[name](spark, SF_DIR)))
     print(
         json.dumps(

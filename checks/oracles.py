@@ -5,7 +5,7 @@ all rounding is integer arithmetic, half away from zero on amounts that are
 never negative.
 """
 
-from .registry import CONCELHO, DENSE, DISTRITO, POINT, STATION, TOPIC, USER
+from .registry import CONCELHO, DEAR, DENSE, DISTRITO, MODEL, POINT, STATION, TOPIC, USER
 
 _SES = """ses AS (
   SELECT l_orderkey*10 + l_linenumber AS id, concat('U', o_custkey) AS user_id, o_orderpriority AS vehicle_model,
@@ -525,4 +525,17 @@ SELECT reject_reason, count(*) AS lines FROM lines GROUP BY ALL""",
   CASE WHEN pontos_ligacao = 8 THEN 'bad number: longitude' ELSE '' END AS warnings
 FROM sta"""
         ),
+        "loaded_tables": f"""WITH {_SES}, {_STA}, {_SESSION_LINES},
+loaded AS (SELECT * FROM lines WHERE reject_reason IS NULL)
+SELECT 'sessions' AS metric, count(*) AS value FROM loaded
+UNION ALL SELECT 'users', count(DISTINCT user_id) FROM loaded
+UNION ALL SELECT 'stations_used', count(DISTINCT charging_station_id) FROM loaded
+UNION ALL SELECT 'vehicle_models', count(DISTINCT vehicle_model) FROM loaded
+UNION ALL SELECT 'stations', count(*) FROM sta
+UNION ALL SELECT 'distritos', count(DISTINCT distrito) FROM sta
+UNION ALL SELECT 'concelhos', count(DISTINCT concelho) FROM sta""",
+        "bound_query": _ses(
+            f"""SELECT charging_station_id, count(*) AS sessions, {one_c('max(cost_c)')} AS dearest
+FROM ses WHERE vehicle_model = '{MODEL}' AND cost_c >= {DEAR * 100} GROUP BY ALL"""
+        ),
     }

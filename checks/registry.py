@@ -9,7 +9,15 @@ from pyspark.sql import types as T
 from wattframe import operators as op
 from wattframe import streaming as st
 from wattframe.plans.staging import new_folder
-from wattframe.sources import first_per_station, read_sessions, read_stations
+from wattframe.sources import (
+    first_per_station,
+    load_all,
+    open_sessions,
+    open_stations,
+    query,
+    read_sessions,
+    read_stations,
+)
 
 from . import files, views
 
@@ -22,6 +30,8 @@ CONCELHO = "NATION_11"
 POINT = (38.7, -9.1, 60)
 DENSE = 4
 TOPIC = "topic/click"
+MODEL = "1-URGENT"
+DEAR = 50000
 
 
 def _sessions(report, **arguments) -> Query:
@@ -110,6 +120,33 @@ def _ingested_stations(spark: SparkSession, d: str) -> DataFrame:
     return _doubles(kept.withColumn("warnings", F.array_join("warnings", ",")))
 
 
+def _loaded_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Files to stored tables in a database of their own, then the profile of the tables."""
+    folder = new_folder(spark, "load")
+    files.write(files.session_lines(views.sessions(spark, d)), f"{folder}/session-files")
+    files.write(files.station_lines(views.stations(spark, d)), f"{folder}/station-files")
+    database = "checks_" + folder.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/tables'")
+    before = spark.catalog.currentDatabase()
+    spark.catalog.setCurrentDatabase(database)
+    try:
+        load_all(spark, f"{folder}/session-files", f"{folder}/station-files")
+        return op.table_profile(open_sessions(spark), open_stations(spark))
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
+# --- SQL text with bound values ----------------------------------------------------------------
+
+
+def _bound_query(spark: SparkSession, d: str) -> DataFrame:
+    text = """
+        SELECT charging_station_id, count(*) AS sessions, CAST(max(charging_cost_eur) AS DOUBLE) AS dearest
+        FROM {sessions} WHERE vehicle_model = :model AND charging_cost_eur >= :least GROUP BY charging_station_id
+    """
+    return query(spark, text, {"model": MODEL, "least": DEAR}, sessions=views.sessions(spark, d))
+
+
 def queries() -> dict[str, Query]:
     return {
         # over time
@@ -196,4 +233,7 @@ def queries() -> dict[str, Query]:
         "ingested_sessions": _ingested_sessions,
         "ingest_outcome": _ingest_outcome,
         "ingested_stations": _ingested_stations,
+        "loaded_tables": _loaded_tables,
+        # SQL text
+        "bound_query": _bound_query,
     }

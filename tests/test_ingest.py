@@ -166,6 +166,21 @@ def test_columns_are_found_by_name(spark, tmp_path):
     assert parsed.rejects.select("reject_reason").collect() == [("too many fields",)]
 
 
+def test_files_with_different_headers_are_not_mixed_up(spark, tmp_path):
+    turned = list(reversed(HEADERS))
+    paths = [_file(tmp_path / "a.csv", [_line()]), _file(tmp_path / "b.csv", [_line(turned)], turned)]
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_sessions(spark, paths).loaded.collect()
+    same = [_file(tmp_path / "c.csv", [_line()], bom=False, pad="")]
+    assert read_sessions(spark, paths[:1] + same).loaded.count() == 2
+
+
+def test_file_without_a_header(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    with pytest.raises(ValueError, match="no header line"):
+        read_sessions(spark, str(tmp_path / "empty.csv"))
+
+
 def test_missing_column_refuses_every_line(spark, tmp_path):
     headers = [h for h in HEADERS if h != "Temperature (C)"]
     parsed = read_sessions(spark, _file(tmp_path / "s.csv", [_line(headers)] * 3, headers))

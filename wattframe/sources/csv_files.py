@@ -34,9 +34,13 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], multiline: bool
         multiLine=multiline,
         # a line's shape is only seen when all its fields are parsed
         columnPruning=False,
+        # a file whose header differs from the first one's is an error, not read by position
+        enforceSchema=False,
     )
     paths = [paths] if isinstance(paths, str) else list(paths)
     header = reader.csv(paths).columns
+    if not header:
+        raise ValueError(f"no header line in {', '.join(paths)}")
     as_text = T.StructType([T.StructField(name, T.StringType()) for name in [*header, LINE]])
     lines = reader.schema(as_text).csv(paths)
     block = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))

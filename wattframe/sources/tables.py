@@ -48,9 +48,14 @@ def open_stations(spark: SparkSession) -> DataFrame:
     return spark.table(fixed.STATIONS_TABLE)
 
 
-def query(spark: SparkSession, text: str, values: Mapping[str, Any] | Sequence[Any] | None = None) -> DataFrame:
-    """SQL over the tables. Values are bound (``:name`` or ``?``), never pasted into the text."""
-    return spark.sql(text, args=values)
+def query(
+    spark: SparkSession, text: str, values: Mapping[str, Any] | Sequence[Any] | None = None, **frames: DataFrame
+) -> DataFrame:
+    """SQL over the tables, and over frames named in braces.
+
+    Values are bound (``:name`` or ``?``), never pasted into the text.
+    """
+    return spark.sql(text, args=values, **frames)
 
 
 def load_sessions(
