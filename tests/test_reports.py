@@ -161,6 +161,12 @@ def test_connection_shares_are_of_all_stations(spark):
     assert rows == [(2, 50.0), (4, 25.0)]
 
 
+@pytest.mark.parametrize("least,expected", [(150, 2), (149.991, 2), (149.99, 3), ("150.01", 1), (10**9, 0), (0, 3)])
+def test_power_limit_between_storable_amounts(spark, least, expected):
+    t = stations(spark, *[{"station_id": p, "potencia_maxima_kw": p} for p in ("149.99", "150", "150.01")])
+    assert op.high_power_stations(t, min_power=least).count() == expected
+
+
 def test_density_without_distrito_has_no_ratio(spark):
     t = stations(
         spark,

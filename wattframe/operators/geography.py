@@ -1,5 +1,7 @@
 """Where stations are and how places are used."""
 
+from decimal import ROUND_CEILING, Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +43,8 @@ def stations_by_concelho(
     areas = stations.groupBy("distrito", "concelho").agg(
         m.rows("total_stations"), m.mean(m.POWER, "avg_power_kw"), _points()
     )
-    ranked = m.ranked_by(areas, "total_stations", "distrito", "concelho", limit=None if distrito else fixed.TOP_ROWS)
+    limit = None if distrito else fixed.TOP_ROWS
+    ranked = m.ranked_by(areas, "total_stations", "distrito", "concelho", limit=limit)
     return plain(ranked, collation)
 
 
@@ -55,7 +58,8 @@ def stations_by_freguesia(
     areas = stations.groupBy("distrito", "concelho", "freguesia").agg(
         m.rows("total_stations"), m.mean(m.POWER, "avg_power_kw")
     )
-    ranked = m.ranked_by(areas, "total_stations", "distrito", "concelho", "freguesia", limit=None if concelho else fixed.TOP_ROWS)
+    limit = None if concelho else fixed.TOP_ROWS
+    ranked = m.ranked_by(areas, "total_stations", "distrito", "concelho", "freguesia", limit=limit)
     return plain(ranked, collation)
 
 
@@ -74,8 +78,9 @@ def high_power_stations(
     stations: DataFrame, min_power: float = fixed.HIGH_POWER_KW, limit: int = fixed.TOP_ROWS
 ) -> DataFrame:
     """Strongest stations from a minimum power up."""
-    # compared in the stored type, so the condition reaches the file scan
-    strong = stations.where(F.col(m.POWER) >= F.lit(min_power).cast("decimal(8,2)"))
+    # compared with the next amount that can be stored, so the bare column reaches the file scan
+    least = Decimal(str(min_power)).quantize(Decimal("0.01"), ROUND_CEILING)
+    strong = stations.where(F.col(m.POWER) >= F.lit(least))
     return m.ranked_by(strong, m.POWER, "station_id", limit=limit).select(
         "station_id",
         "distrito",
@@ -214,7 +219,8 @@ def usage_by_concelho(
         m.total_of_parts(m.ENERGY, "total_energy_kwh"),
         m.total_of_parts(m.COST, "total_revenue"),
     )
-    ranked = m.ranked_by(areas, "total_sessions", "distrito", "concelho", limit=None if distrito else fixed.CONCELHO_USAGE_ROWS)
+    limit = None if distrito else fixed.CONCELHO_USAGE_ROWS
+    ranked = m.ranked_by(areas, "total_sessions", "distrito", "concelho", limit=limit)
     return plain(ranked, collation)
 
 

@@ -27,7 +27,8 @@ def locate_spread(pairs: DataFrame, stations: DataFrame, spread_by: str) -> Data
     """Joins many rows per station with few station columns.
 
     Rows of one station are spread over slices by a second key and the station
-    row is repeated per slice, so a busy station is not one task's work.
+    row is repeated per slice, so a busy station is not one task's work; adaptive
+    execution splits a slice further if it is still much larger than others.
     """
     slices = F.sequence(F.lit(0), F.lit(_SLICES - 1))
     sliced_stations = stations.withColumn("_slice", F.explode(slices))

@@ -7,6 +7,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # staged rows are deleted once no frame refers to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # generated methods beyond this size are never compiled by the JVM; past it Spark
     # splits a wide projection, such as that of file ingest, into small methods
     "spark.sql.codegen.hugeMethodLimit": "8000",
