@@ -75,6 +75,34 @@ def test_ids_go_on_after_a_load_that_broke_off(spark, tables, tmp_path):
     assert stored.count() == stored.select("id").distinct().count() == 6
 
 
+@pytest.mark.parametrize("replace", [False, True])
+def test_a_failed_load_changes_nothing(spark, tables, tmp_path, replace):
+    load_sessions(spark, _session_file(tmp_path / "a.csv", _line(), _line()))
+    before = sorted(open_sessions(spark).collect())
+    turned = [h for h, _, _ in reversed(fixed.SESSION_COLUMNS)]
+    other = _file(tmp_path / "b.csv", [_line(turned)], turned)
+    with pytest.raises(Exception, match="header does not conform"):
+        load_sessions(spark, [str(tmp_path / "a.csv"), other], replace=replace)
+    assert sorted(open_sessions(spark).collect()) == before
+    counts, _ = load_sessions(spark, other, replace=replace)
+    assert counts == {"imported": 1, "skipped": 0}
+    stored = open_sessions(spark)
+    assert stored.count() == stored.select("id").distinct().count() == (1 if replace else 3)
+    load_sessions(spark, other)
+    stored = open_sessions(spark)
+    assert stored.count() == stored.select("id").distinct().count() == (2 if replace else 4)
+
+
+def test_replacing_drops_other_months_under_any_setting(spark, tables, tmp_path):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        load_sessions(spark, _session_file(tmp_path / "a.csv", _line(**{"Charging Start Time": "31/01/24 23:59"})))
+        load_sessions(spark, _session_file(tmp_path / "b.csv", _line()), replace=True)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [str(r["charging_start_time"]) for r in open_sessions(spark).collect()] == ["2024-02-01 03:05:00"]
+
+
 def test_files_without_a_column_load_nothing(spark, tables, tmp_path):
     headers = [h for h, _, _ in fixed.SESSION_COLUMNS if h != "Day of Week"]
     counts, parsed = load_sessions(spark, _file(tmp_path / "s.csv", [_line(headers)] * 2, headers))

@@ -16,8 +16,6 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
-    # replacing sessions replaces all of them, not only the months of the file
-    "spark.sql.sources.partitionOverwriteMode": "static",
 }
 
 

@@ -13,20 +13,25 @@ from .schema import MONTH, SESSION_DDL, STATION_DDL
 
 # table property: the first session id that is not used yet
 NEXT_ID = "wattframe.next_id"
+# holds replacing sessions until they are complete
+REPLACEMENT = f"{fixed.SESSIONS_TABLE}_replacement"
 
 
 def create_tables(spark: SparkSession) -> None:
     """Creates both tables if absent. Sessions are kept in one folder per start month."""
+    _create_session_table(spark, fixed.SESSIONS_TABLE)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {fixed.STATIONS_TABLE} ({STATION_DDL}) USING parquet")
+
+
+def _create_session_table(spark: SparkSession, name: str) -> None:
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {fixed.SESSIONS_TABLE} ({SESSION_DDL}, {MONTH} date) "
-        f"USING parquet PARTITIONED BY ({MONTH})"
+        f"CREATE TABLE IF NOT EXISTS {name} ({SESSION_DDL}, {MONTH} date) USING parquet PARTITIONED BY ({MONTH})"
     )
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {fixed.STATIONS_TABLE} ({STATION_DDL}) USING parquet")
 
 
 def drop_tables(spark: SparkSession) -> None:
-    """Drops both tables if present."""
-    for table in (fixed.SESSIONS_TABLE, fixed.STATIONS_TABLE):
+    """Drops both tables if present, and what a broken replacement has left."""
+    for table in (fixed.SESSIONS_TABLE, fixed.STATIONS_TABLE, REPLACEMENT):
         spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
@@ -64,10 +69,11 @@ def load_sessions(
     """Adds the session files to the table, or puts them in place of its rows.
 
     There is no key to recognise a session by: adding a file twice stores it
-    twice. Either all lines of a call become visible or none.
+    twice. Either all lines of a call become visible or none. A replacement is
+    written to a table of its own, which takes the name once it is complete.
     """
     parsed = read_sessions(spark, paths, multiline)
-    first_id = _take_next_id(spark, replace)
+    first_id = 0 if replace else _take_next_id(spark)
     rows = parsed.lines.select(
         (F.monotonically_increasing_id() + F.lit(first_id)).alias("id"),
         *[name for _, name, _ in fixed.SESSION_COLUMNS],
@@ -85,7 +91,15 @@ def load_sessions(
         F.count_if(F.col(REASON).isNotNull()).alias("skipped"),
         F.coalesce(F.max("id"), F.lit(first_id - 1)).alias("last_id"),
     )
-    counted.where(F.col(REASON).isNull()).drop(REASON).write.insertInto(fixed.SESSIONS_TABLE, overwrite=replace)
+    good = counted.where(F.col(REASON).isNull()).drop(REASON)
+    if replace:
+        spark.sql(f"DROP TABLE IF EXISTS {REPLACEMENT}")
+        _create_session_table(spark, REPLACEMENT)
+        good.write.insertInto(REPLACEMENT)
+        spark.sql(f"DROP TABLE IF EXISTS {fixed.SESSIONS_TABLE}")
+        spark.sql(f"ALTER TABLE {REPLACEMENT} RENAME TO {fixed.SESSIONS_TABLE}")
+    else:
+        good.write.insertInto(fixed.SESSIONS_TABLE)
     counts = dict(seen.get)
     _note_next_id(spark, counts.pop("last_id") + 1)
     return counts, parsed
@@ -127,7 +141,7 @@ def _clock(moment: datetime) -> Column:
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _take_next_id(spark: SparkSession, replace: bool) -> int:
+def _take_next_id(spark: SparkSession) -> int:
     """The first free session id, which the last load has noted at the table.
 
     The note is taken away until this load has written its rows. If it is
@@ -135,8 +149,6 @@ def _take_next_id(spark: SparkSession, replace: bool) -> int:
     """
     notes = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {fixed.SESSIONS_TABLE}").collect()}
     spark.sql(f"ALTER TABLE {fixed.SESSIONS_TABLE} UNSET TBLPROPERTIES IF EXISTS ('{NEXT_ID}')")
-    if replace:
-        return 0
     if NEXT_ID in notes:
         return int(notes[NEXT_ID])
     highest = spark.table(fixed.SESSIONS_TABLE).agg(F.max("id").alias("id")).first()["id"]
