@@ -18,10 +18,15 @@ def _comma(number: Column) -> Column:
     return F.replace(number.cast("string"), F.lit("."), F.lit(fixed.DECIMAL_MARK))
 
 
+def _moment(clock: Column) -> Column:
+    """Put together from its parts; formatting as a whole would go through the session's time zone."""
+    day = F.date_format(F.to_date(clock), "d/M/yy")
+    return F.concat(day, F.lit(" "), F.hour(clock), F.lit(":"), F.lpad(F.minute(clock).cast("string"), 2, "0"))
+
+
 def session_lines(sessions: DataFrame) -> DataFrame:
     """All session columns as text. Some end times and costs are unreadable."""
     key = F.col("id")
-    shape = "d/M/yy H:mm"
     start = F.col("charging_start_time")
     end = F.timestamp_add("MINUTE", F.lit(45), start)
     decimals = ["battery_capacity_kwh", "energy_consumed_kwh", "charging_duration_hours", "charging_rate_kw"]
@@ -29,8 +34,8 @@ def session_lines(sessions: DataFrame) -> DataFrame:
         "user_id",
         "vehicle_model",
         "charging_station_id",
-        F.date_format(start, shape).alias("charging_start_time"),
-        F.when(key % 97 == 5, "soon").otherwise(F.date_format(end, shape)).alias("charging_end_time"),
+        _moment(start).alias("charging_start_time"),
+        F.when(key % 97 == 5, "soon").otherwise(_moment(end)).alias("charging_end_time"),
         *[_comma(F.col(name)).alias(name) for name in decimals],
         F.when(key % 101 == 3, "1.234,5").otherwise(_comma(F.col("charging_cost_eur"))).alias("charging_cost_eur"),
         "time_of_day",
