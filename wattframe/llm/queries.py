@@ -2,11 +2,15 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import exact_groups
 from .mixing import mix, training_order
+from .packing import pack_documents
+from .token_counts import token_counts
+from .token_files import read_back, write_ids
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +18,21 @@ Query = Callable[[SparkSession, str], DataFrame]
 CURRICULUM = (((0.0, 7.5), (1.0, 2.5)), ((0.0, 2.0), (1.0, 2.0)), ((0.0, 0.5), (1.0, 1.5)))
 
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_back(write_ids(table(spark, sf_dir, "documents"), TOKENIZER, end_id=0))
+
+
+def _token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), TOKENIZER, limit=512)
+
+
+def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, capacity=1024, end_id=2)
+
+
 def _exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -24,7 +43,10 @@ def _mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_token_files": _token_files,
         "op5_exact_dedup": _exact_dedup,
+        "op6_token_counts": _token_counts,
+        "op8_best_fit_packing": _packing,
         "op10_mix_sources": _mix,
     }
 

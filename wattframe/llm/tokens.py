@@ -19,7 +19,7 @@ import pyarrow as pa
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Bytes of a part that the table can hold; longer parts are kept by a dictionary.
-_WIDTH = 23
+PART_BYTES = 23
 #: Text bytes looked up at once.
 _AT_ONCE = 4_000_000
 #: Parts that one call of the library takes as one text.
@@ -82,6 +82,58 @@ def part_starts(padded: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins)
 
 
+class PartTable:
+    """An open-addressed table from parts of up to 23 bytes to numbers."""
+
+    def __init__(self) -> None:
+        self._keys, self._numbers, self.used = np.zeros((3, 1024), np.uint64), np.zeros(1024, np.int64), 0
+        self._resize()
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The numbers of keys; -1 for unknown ones."""
+        found = np.full(keys.shape[1], -1, np.int64)
+        open_, slot = np.arange(keys.shape[1]), self._slot(keys)
+        while len(open_):
+            row = self._slots[slot]
+            some = row >= 0
+            open_, slot, row = open_[some], slot[some], row[some]
+            same = (self._keys[0][row] == keys[0][open_]) & (self._keys[1][row] == keys[1][open_])
+            same &= self._keys[2][row] == keys[2][open_]
+            found[open_[same]] = self._numbers[row[same]]
+            open_, slot = open_[~same], (slot[~same] + 1) & (len(self._slots) - 1)
+        return found
+
+    def insert(self, keys: np.ndarray, numbers: np.ndarray) -> None:
+        """Adds distinct unknown keys."""
+        size, used = keys.shape[1], self.used
+        if used + size > self._keys.shape[1]:
+            more = max(used + size, 2 * self._keys.shape[1]) - used
+            self._keys = np.concatenate([self._keys[:, :used], np.zeros((3, more), np.uint64)], axis=1)
+            self._numbers = np.concatenate([self._numbers[:used], np.zeros(more, np.int64)])
+            self._resize()
+        self._keys[:, used : used + size] = keys
+        self._numbers[used : used + size] = numbers
+        self.used += size
+        self._enter(np.arange(used, used + size))
+
+    def _resize(self) -> None:
+        bits = (2 * self._keys.shape[1] - 1).bit_length()
+        self._shift = np.uint64(64 - bits)
+        self._slots = np.full(1 << bits, -1, np.int32)
+        self._enter(np.arange(self.used))
+
+    def _enter(self, rows: np.ndarray) -> None:
+        slot = self._slot(self._keys[:, rows])
+        while len(rows):
+            free = self._slots[slot] < 0
+            self._slots[slot[free]] = rows[free]
+            left = self._slots[slot] != rows
+            rows, slot = rows[left], (slot[left] + 1) & (len(self._slots) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (key_hash(keys) >> self._shift).astype(np.int64)
+
+
 class Encoder:
     """Ids of texts from a tokenizer file of the tokenizers library; without added special tokens."""
 
@@ -89,9 +141,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
-        self._by_parts = cuts_at_blanks(path)
+        self.by_parts = cuts_at_blanks(path)
         self._most = most_parts
-        if self._by_parts:
+        if self.by_parts:
             blank = self._library.encode(" ", add_special_tokens=False).tokens[0]
             vocabulary = self._library.get_vocab()
             self._begins = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -105,124 +157,58 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For runs of texts, their ids in a row and the number of ids of each; NULL counts as empty."""
-        if not self._by_parts:
+        if not self.by_parts:
             for at in range(0, len(texts), 64):
                 ids = self.whole([t or "" for t in texts[at : at + 64].to_pylist()])
                 yield np.concatenate(ids), np.array([len(x) for x in ids], np.int64)
             return
         for padded, bounds in text_slices(texts):
-            starts, place = self.look_up(padded, bounds)
+            starts = part_starts(padded, bounds)
+            place = self.places(padded, starts, np.diff(starts, append=bounds[-1]))
             count = self._count[place]
             ends = np.concatenate([[0], np.cumsum(count)])
             from_pool = np.repeat(self._first[place] - ends[:-1], count) + np.arange(ends[-1])
             yield self._pool[from_pool], np.diff(ends[np.searchsorted(starts, bounds)])
 
-    def lengths(self, texts: pa.Array) -> np.ndarray:
-        """The number of ids of each text."""
-        if not self._by_parts:
-            return np.concatenate([np.zeros(0, np.int64), *(n for _, n in self.encode(texts))])
-        found = [np.zeros(0, np.int64)]
-        for padded, bounds in text_slices(texts):
-            starts, place = self.look_up(padded, bounds)
-            ends = np.concatenate([[0], np.cumsum(self._count[place])])
-            found.append(np.diff(ends[np.searchsorted(starts, bounds)]))
-        return np.concatenate(found)
-
-    def look_up(self, padded: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where the parts begin, and the place of each in the table; new parts are learned."""
-        if self._used + len(self._long) > self._most:
+    def lengths(self, padded: np.ndarray, starts: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The number of ids of each part."""
+        place = self.places(padded, starts, length)
+        return self._count[place]
+
+    def places(self, padded: np.ndarray, starts: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Where the ids of each part are; new parts are learned, and if there are too many, old ones forgotten."""
+        if self._table.used + len(self._long) > self._most:
             self._forget()
-        starts = part_starts(padded, bounds)
-        length = np.diff(starts, append=bounds[-1])
         place = np.full(len(starts), -1, np.int64)
-        short = np.flatnonzero(length <= _WIDTH)
-        keys = _keys(padded, starts[short], length[short])
-        place[short] = self._find(keys)
+        short = np.flatnonzero(length <= PART_BYTES)
+        keys = part_keys(padded, starts[short], length[short])
+        place[short] = self._table.find(keys)
         data = padded.tobytes()
         missing = short[place[short] < 0]
         if len(missing):
             own = keys[:, place[short] < 0]
-            _, first, again = np.unique(own.T, axis=0, return_index=True, return_inverse=True)
-            at, size = starts[missing[first]], length[missing[first]]
-            new = self._learn([data[a : a + n] for a, n in zip(at.tolist(), size.tolist(), strict=True)])
-            self._insert(own[:, first], new)
-            place[missing] = new[again.reshape(-1)]
-        long = np.flatnonzero(length > _WIDTH)
+            order = np.lexsort(own)
+            new = np.concatenate([[True], (own[:, order[1:]] != own[:, order[:-1]]).any(axis=0)])
+            first = order[new]
+            at, size = starts[missing[first]].tolist(), length[missing[first]].tolist()
+            learned = self._learn([data[a : a + n] for a, n in zip(at, size, strict=True)])
+            self._table.insert(own[:, first], learned)
+            place[missing[order]] = learned[np.cumsum(new) - 1]
+        long = np.flatnonzero(length > PART_BYTES)
         if len(long):
             at, size = starts[long].tolist(), length[long].tolist()
             texts = [data[a : a + n] for a, n in zip(at, size, strict=True)]
             unknown = list({t for t in texts if t not in self._long})
             self._long.update(zip(unknown, self._learn(unknown).tolist(), strict=True))
             place[long] = [self._long[t] for t in texts]
-        return starts, place
-
-    def preload(self, parts: list[bytes]) -> None:
-        """Learns these parts before any text comes."""
-        for part in parts:
-            padded = np.zeros(len(part) + 2 * _PAD, np.uint8)
-            padded[_PAD:-_PAD] = np.frombuffer(part, np.uint8)
-            self.look_up(padded, np.array([_PAD, _PAD + len(part)]))
+        return place
 
     def _forget(self) -> None:
-        bits = max(10, int(self._most).bit_length() + 1)
-        self._shift = np.uint64(64 - bits)
-        self._slots = np.full(1 << bits, -1, np.int32)
-        self._keys = np.zeros((3, 1024), np.uint64)
-        self._place = np.zeros(1024, np.int64)
-        self._used = 0
+        self._table = PartTable()
         self._long: dict[bytes, int] = {}
         self._first, self._count = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self._pool = np.zeros(0, np.uint32)
 
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        mixed = keys[0] * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= (keys[1] ^ (mixed >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
-        mixed ^= (keys[2] ^ (mixed >> np.uint64(31))) * np.uint64(0x165667B19E3779F9)
-        mixed ^= mixed >> np.uint64(32)
-        return ((mixed * np.uint64(0xD6E8FEB86659FD93)) >> self._shift).astype(np.int64)
-
-    def _find(self, keys: np.ndarray) -> np.ndarray:
-        """The places of keys; -1 for unknown ones."""
-        found = np.full(keys.shape[1], -1, np.int64)
-        open_, slot = np.arange(keys.shape[1]), self._slot(keys)
-        while len(open_):
-            row = self._slots[slot]
-            some = row >= 0
-            open_, slot, row = open_[some], slot[some], row[some]
-            same = (self._keys[0][row] == keys[0][open_]) & (self._keys[1][row] == keys[1][open_])
-            same &= self._keys[2][row] == keys[2][open_]
-            found[open_[same]] = self._place[row[same]]
-            open_, slot = open_[~same], (slot[~same] + 1) & (len(self._slots) - 1)
-        return found
-
-    def _insert(self, keys: np.ndarray, places: np.ndarray) -> None:
-        """Adds distinct unknown keys."""
-        size, used = keys.shape[1], self._used
-        if used + size > self._keys.shape[1]:
-            room = max(used + size, 2 * self._keys.shape[1])
-            self._keys = np.concatenate([self._keys[:, :used], np.zeros((3, room - used), np.uint64)], axis=1)
-            self._place = np.concatenate([self._place[:used], np.zeros(room - used, np.int64)])
-            if 2 * room > len(self._slots):
-                self._widen()
-        self._keys[:, used : used + size] = keys
-        self._place[used : used + size] = places
-        self._used += size
-        self._enter(np.arange(used, used + size))
-
-    def _enter(self, rows: np.ndarray) -> None:
-        slot = self._slot(self._keys[:, rows])
-        while len(rows):
-            free = self._slots[slot] < 0
-            self._slots[slot[free]] = rows[free]
-            left = self._slots[slot] != rows
-            rows, slot = rows[left], (slot[left] + 1) & (len(self._slots) - 1)
-
-    def _widen(self) -> None:
-        bits = int(2 * self._keys.shape[1]).bit_length()
-        self._shift = np.uint64(64 - bits)
-        self._slots = np.full(1 << bits, -1, np.int32)
-        self._enter(np.arange(self._used))
-
     def _learn(self, parts: list[bytes]) -> np.ndarray:
         """Encodes parts by the library and keeps their ids; returns their places."""
         if not parts:
@@ -265,7 +251,7 @@ class Encoder:
                 yield self.whole(group)
 
 
-def _keys(padded: np.ndarray, starts: np.ndarray, length: np.ndarray) -> np.ndarray:
+def part_keys(padded: np.ndarray, starts: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Short parts as three numbers each: their bytes, and their length in the last byte."""
     eight = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
     keys = np.empty((3, len(starts)), np.uint64)
@@ -275,3 +261,22 @@ def _keys(padded: np.ndarray, starts: np.ndarray, length: np.ndarray) -> np.ndar
         keys[k] = eight[starts + 8 * k] & mask
     keys[2] |= length.astype(np.uint64) << np.uint64(56)
     return keys
+
+
+def key_hash(keys: np.ndarray) -> np.ndarray:
+    mixed = keys[0] * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= (keys[1] ^ (mixed >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed ^= (keys[2] ^ (mixed >> np.uint64(31))) * np.uint64(0x165667B19E3779F9)
+    mixed ^= mixed >> np.uint64(32)
+    return mixed * np.uint64(0xD6E8FEB86659FD93)
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of this Python worker, which keeps its parts from task to task."""
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
