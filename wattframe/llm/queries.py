@@ -11,6 +11,7 @@ from .mixing import mix, training_order
 from .packing import pack_documents
 from .token_counts import token_counts
 from .token_files import read_back, write_ids
+from .warc import read_archives, write_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +34,12 @@ def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, capacity=1024, end_id=2)
 
 
+def _warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = write_archives(table(spark, sf_dir, "pages"), revisit_from=0)
+    read = read_archives(files, payloads=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "complete")
+
+
 def _exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -44,6 +51,7 @@ def _mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_token_files": _token_files,
+        "op4_warc_segments": _warc,
         "op5_exact_dedup": _exact_dedup,
         "op6_token_counts": _token_counts,
         "op8_best_fit_packing": _packing,
