@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import exact_groups
+from .fingerprints import fingerprints
+from .html_text import main_texts
 from .mixing import mix, training_order
 from .packing import pack_documents
 from .token_counts import token_counts
@@ -22,6 +24,14 @@ CURRICULUM = (((0.0, 7.5), (1.0, 2.5)), ((0.0, 2.0), (1.0, 2.0)), ((0.0, 0.5), (
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+def _main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(write_ids(table(spark, sf_dir, "documents"), TOKENIZER, end_id=0))
 
@@ -50,11 +60,13 @@ def _mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_prefix_fingerprints": _fingerprints,
         "op2_token_files": _token_files,
         "op4_warc_segments": _warc,
         "op5_exact_dedup": _exact_dedup,
         "op6_token_counts": _token_counts,
         "op8_best_fit_packing": _packing,
+        "op9_html_text": _main_texts,
         "op10_mix_sources": _mix,
     }
 
