@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 
 from .common import lower_ascii, shuffle_partitions, written
 
+#: Characters of a text that splitters can tell apart; texts that begin alike are told apart by a hash.
+PREFIX = 64
+
 
 def exact_groups(docs: DataFrame, keep: str = "largest") -> DataFrame:
     """One row per row of ``docs`` (doc_id, text), with the group of equal texts it is in.
@@ -15,11 +18,14 @@ def exact_groups(docs: DataFrame, keep: str = "largest") -> DataFrame:
     stays. Other columns are ignored. An empty table gives an empty result.
 
     Sampled splitters deal the normalised texts over ranges, each range is
-    sorted, and equal neighbours, compared in full, form the groups. A text that
-    has more copies than a quarter of a mean range is dealt over several: a salt
-    from the doc_id is part of its sort key, and the partial groups, one row
-    each, are joined by the digest of the text. A count of 64-bit hashes finds
-    such texts; there are at most four to a partition, whatever the data.
+    sorted, and equal neighbours, compared in full, form the groups. Splitters
+    and the sort take the first ``PREFIX`` characters, then a hash, then the
+    whole text: the sample that goes to the driver stays small, and a beginning
+    that many texts share is split. A text that has more copies than a quarter
+    of a mean range is dealt over several: a salt from the doc_id is part of its
+    sort key, and the partial groups, one row each, are joined by the digest of
+    the text. A count of the hashes finds such texts; there are at most four to
+    a partition, whatever the data.
 
     Returns doc_id, keep_id, group_size, kept and text_sha256.
     """
@@ -31,12 +37,13 @@ def exact_groups(docs: DataFrame, keep: str = "largest") -> DataFrame:
     hot = hot.select("h", F.ceil(F.col("count") / most).cast("int").alias("spread"))
     salt = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("spread")), F.lit(-1)).cast("int")
     rows = rows.withColumn("h", F.xxhash64("norm")).join(F.broadcast(hot), "h", "left")
-    rows = rows.select("doc_id", "norm", F.when(F.col("spread").isNull(), -1).otherwise(salt).alias("salt"))
+    salt = F.when(F.col("spread").isNull(), -1).otherwise(salt).alias("salt")
+    rows = rows.select("doc_id", F.substring("norm", 1, PREFIX).alias("prefix"), "h", "norm", salt)
 
     order = F.desc_nulls_last("doc_id") if keep == "largest" else F.asc_nulls_last("doc_id")
-    group = Window.partitionBy("norm", "salt")
+    group = Window.partitionBy("prefix", "h", "norm", "salt")
     ordered = group.orderBy(order)
-    grouped = rows.repartitionByRange("norm", "salt").select(
+    grouped = rows.repartitionByRange("prefix", "h", "salt").select(
         "doc_id",
         "salt",
         F.sha2("norm", 256).alias("text_sha256"),
