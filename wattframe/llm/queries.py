@@ -10,6 +10,7 @@ from .exact_dedup import exact_groups
 from .fingerprints import fingerprints
 from .html_text import main_texts
 from .mixing import mix, training_order
+from .ngram_join import similar_documents
 from .packing import pack_documents
 from .token_counts import token_counts
 from .token_files import read_back, write_ids
@@ -40,6 +41,10 @@ def _token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), TOKENIZER, limit=512)
 
 
+def _ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents"), words=4, least=85, of=100)
+
+
 def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, capacity=1024, end_id=2)
 
@@ -65,6 +70,7 @@ def queries() -> dict[str, Query]:
         "op4_warc_segments": _warc,
         "op5_exact_dedup": _exact_dedup,
         "op6_token_counts": _token_counts,
+        "op7_ngram_join": _ngram_join,
         "op8_best_fit_packing": _packing,
         "op9_html_text": _main_texts,
         "op10_mix_sources": _mix,
