@@ -12,6 +12,7 @@ from .html_text import main_texts
 from .mixing import mix, training_order
 from .ngram_join import similar_documents
 from .packing import pack_documents
+from .quality import classify
 from .token_counts import token_counts
 from .token_files import read_back, write_ids
 from .warc import read_archives, write_archives
@@ -45,6 +46,10 @@ def _ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents"), words=4, least=85, of=100)
 
 
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"))
+
+
 def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, capacity=1024, end_id=2)
 
@@ -67,6 +72,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_prefix_fingerprints": _fingerprints,
         "op2_token_files": _token_files,
+        "op3_quality_classifier": _quality,
         "op4_warc_segments": _warc,
         "op5_exact_dedup": _exact_dedup,
         "op6_token_counts": _token_counts,
