@@ -9,7 +9,7 @@ from .common import lower_ascii, shuffle_partitions, written
 PREFIX = 64
 
 
-def exact_groups(docs: DataFrame, keep: str = "largest") -> DataFrame:
+def exact_groups(docs: DataFrame, keep: str = "largest", carry: bool = False) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text), with the group of equal texts it is in.
 
     Texts are equal when they are identical after lower-casing A-Z; NULL counts
@@ -27,10 +27,13 @@ def exact_groups(docs: DataFrame, keep: str = "largest") -> DataFrame:
     the text. A count of the hashes finds such texts; there are at most four to
     a partition, whatever the data.
 
-    Returns doc_id, keep_id, group_size, kept and text_sha256.
+    Returns doc_id, keep_id, group_size, kept and text_sha256, and with
+    ``carry`` all columns of the row as ``row``.
     """
     spark = docs.sparkSession
-    rows = docs.select("doc_id", lower_ascii(F.col("text")).alias("norm"))
+    carried = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if carry else []
+    rows = docs.select("doc_id", lower_ascii(F.col("text")).alias("norm"), *carried)
+    carried = ["row"] if carry else []
     most = max(64, docs.count() // (4 * shuffle_partitions(spark)))
     hashed = rows.select(F.xxhash64("norm").alias("h"))
     hot = hashed.groupBy("h").count().where(F.col("count") > most)
@@ -38,7 +41,7 @@ def exact_groups(docs: DataFrame, keep: str = "largest") -> DataFrame:
     salt = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("spread")), F.lit(-1)).cast("int")
     rows = rows.withColumn("h", F.xxhash64("norm")).join(F.broadcast(hot), "h", "left")
     salt = F.when(F.col("spread").isNull(), -1).otherwise(salt).alias("salt")
-    rows = rows.select("doc_id", F.substring("norm", 1, PREFIX).alias("prefix"), "h", "norm", salt)
+    rows = rows.select("doc_id", F.substring("norm", 1, PREFIX).alias("prefix"), "h", "norm", salt, *carried)
 
     order = F.desc_nulls_last("doc_id") if keep == "largest" else F.asc_nulls_last("doc_id")
     group = Window.partitionBy("prefix", "h", "norm", "salt")
@@ -50,6 +53,7 @@ def exact_groups(docs: DataFrame, keep: str = "largest") -> DataFrame:
         F.first("doc_id").over(ordered).alias("keep_id"),
         F.row_number().over(ordered).alias("place"),
         F.count("*").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("size"),
+        *carried,
     )
     grouped = written(grouped, "exact-groups")
 
@@ -68,4 +72,10 @@ def exact_groups(docs: DataFrame, keep: str = "largest") -> DataFrame:
         F.when(split, F.col("all")).otherwise(F.col("size")).alias("group_size"),
         ((F.col("place") == 1) & (~split | (F.col("salt") == F.col("at")))).alias("kept"),
         "text_sha256",
+        *carried,
     )
+
+
+def drop_copies(docs: DataFrame, keep: str = "largest") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stay of each group of equal texts."""
+    return exact_groups(docs, keep, carry=True).where("kept").select("row.*")

@@ -87,7 +87,8 @@ def mix(docs: DataFrame, schedules: Sequence[Schedule], most_passes: int = 3) ->
 
     Returns doc_id, source, size, source_size, target, taken (words used, all
     passes), passes, and position: the progress (0 to 1) of the first use, NULL
-    if there is none. Each further use comes when the source has given as many
+    if there is none; also nth, the source's number, and start, the words of its
+    source before it. Each further use comes when the source has given as many
     words more as it has. Prefix sums within a source go in two steps, first
     over slices by the key, so a source with a third of all rows is spread.
     """
@@ -108,10 +109,6 @@ def mix(docs: DataFrame, schedules: Sequence[Schedule], most_passes: int = 3) ->
     rest = F.col("target") - whole * F.col("source_size")
     more = start + F.col("size") / 2 <= rest
     passes = F.least(F.lit(most_passes), whole + F.when(more, 1).otherwise(0)).cast("long")
-    share = F.least(F.lit(1.0), (start + F.col("size") / 2) / F.greatest("target", F.lit(1.0)))
-    position = F.coalesce(
-        *(F.when(F.pmod("nth", F.lit(len(schedules))) == k, progress_at(share, s)) for k, s in enumerate(schedules))
-    )
     return rows.withColumn("passes", passes).select(
         "doc_id",
         "source",
@@ -120,10 +117,38 @@ def mix(docs: DataFrame, schedules: Sequence[Schedule], most_passes: int = 3) ->
         "target",
         (F.col("passes") * F.col("size")).alias("taken"),
         "passes",
-        F.when(F.col("passes") > 0, position).alias("position"),
+        F.when(F.col("passes") > 0, _position(start, schedules)).alias("position"),
+        "nth",
+        start.alias("start"),
+    )
+
+
+def _position(start: Column, schedules: Sequence[Schedule]) -> Column:
+    """Where in training a source's words from ``start`` on are used."""
+    share = F.least(F.lit(1.0), (start + F.col("size") / 2) / F.greatest("target", F.lit(1.0)))
+    return F.coalesce(
+        *(F.when(F.pmod("nth", F.lit(len(schedules))) == k, progress_at(share, s)) for k, s in enumerate(schedules))
     )
 
 
+def mixed_documents(docs: DataFrame, schedules: Sequence[Schedule], most_passes: int = 3) -> DataFrame:
+    """The rows of ``docs``, with all their columns, once per use in training and in the order of use.
+
+    Rows are matched with their uses by doc_id, source and size; rows that share
+    all three are used alike. A row without use is left out.
+    """
+    mixed = mix(docs, schedules, most_passes)
+    by = ("doc_id", "source", "size")
+    mixed = mixed.groupBy(*by).agg(*(F.max(c).alias(c) for c in ("passes", "source_size", "target", "nth", "start")))
+    mixed = mixed.where("passes > 0").withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("passes").cast("int") - 1)))
+    begin = F.col("turn") * F.col("source_size") + F.col("start")
+    uses = mixed.select(*(F.col(c).alias(f"of_{c}") for c in by), _position(begin, schedules).alias("position"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("of_doc_id")) & F.col("row.source").eqNullSafe(F.col("of_source"))
+    rows = rows.withColumn("size", word_count(F.col("row.text"))).join(uses, same & (F.col("size") == F.col("of_size")))
+    return rows.orderBy("position", "row.doc_id").select("row.*")
+
+
 def training_order(mixed: DataFrame) -> DataFrame:
     """The rows of :func:`mix` sorted by position over ranges, unused documents last."""
     return mixed.orderBy(F.asc_nulls_last("position"), "doc_id")

@@ -17,6 +17,8 @@ SKETCH = 8
 _BAND_RATIO = 1.6
 #: Classes of which a task remembers that their signatures are out.
 _REMEMBERED = 1_000_000
+#: Ids (8 bytes) that are sent to all tasks instead of shuffling texts to them.
+MOST_SENT = 1_000_000
 
 _FEATURES = "doc_id long, n_shingles long, c1 long, c2 long, " + ", ".join(f"s{k} long" for k in range(SKETCH))
 
@@ -253,11 +255,23 @@ def similar_documents(docs: DataFrame, words: int = 4, least: int = 85, of: int
     return result.unionByName(rest).unionByName(none)
 
 
+def drop_similar(docs: DataFrame, words: int = 5, least: int = 80, of: int = 100) -> DataFrame:
+    """The rows of ``docs``, with all their columns, without those of a group of similar documents but its smallest doc_id."""
+    groups = similar_documents(docs, words, least, of)
+    gone = written(groups.where("doc_id <> component_id").select("doc_id").distinct(), "similar")
+    return docs.join(_few(gone), "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def _few(ids: DataFrame) -> DataFrame:
+    """The ids, marked to be sent to all tasks if there are few enough."""
+    return F.broadcast(ids) if ids.count() <= MOST_SENT else ids
+
+
 def _verify(rows: DataFrame, pairs: DataFrame, words: int, least: int, of: int) -> DataFrame:
     """The pairs (a, b) of doc_ids whose documents are similar."""
     pairs = written(pairs, "candidates")
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = rows.join(wanted, "doc_id", "left_semi")
+    wanted = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "wanted")
+    texts = rows.join(_few(wanted), "doc_id", "left_semi")
     # rows that share a doc_id have a set each; a pair is verified on any of them
     sets = written(texts.mapInArrow(_sets(words), "id long, elements binary"), "sets")
     one, other = (sets.select(F.col("id").alias(n), F.col("elements").alias(f"of_{n}")) for n in ("a", "b"))

@@ -65,7 +65,7 @@ def _exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training_order(mix(table(spark, sf_dir, "documents"), CURRICULUM)).drop("source")
+    return training_order(mix(table(spark, sf_dir, "documents"), CURRICULUM)).drop("source", "nth", "start")
 
 
 def queries() -> dict[str, Query]:
