@@ -211,7 +211,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     shares = [k / number for k in range(1, number)]
     cuts = rows.agg(F.percentile_approx("doc_id", shares, 20 * number).alias("cuts")).first().cuts or []
-    splits = [-float("inf"), *sorted({float(c) for c in cuts}), float("inf")]
+    splits = [-float("inf"), *sorted({float(c) for c in cuts} or {0.0}), float("inf")]
     at = F.coalesce(F.col("doc_id").cast("double"), F.lit(-float("inf")))
     buckets = Bucketizer(splits=splits, inputCol="at", outputCol="bucket")
     rows = buckets.transform(rows.withColumn("at", at)).drop("at")
