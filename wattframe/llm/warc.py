@@ -133,7 +133,8 @@ def write_archives(
     copies = copies.select("sha1", "first", salts.alias("salt"))
     rows = rows.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("page_id"), F.lit(_SALTS)), F.lit(0)).cast("int"))
     same = Window.partitionBy("sha1", "salt", "page_id").orderBy(F.asc_nulls_first("url"))
-    rows = rows.withColumn("nth", F.row_number().over(same) - 1).join(copies, ["sha1", "salt"], "left")
+    # joined first: the window then finds the pages dealt out as it needs them, so they are shuffled once
+    rows = rows.join(copies, ["sha1", "salt"], "left").withColumn("nth", F.row_number().over(same) - 1)
     rows = rows.select("page_id", "url", "html", "first", "nth")
     files = rows.mapInArrow(_writer(folder, segment_bytes), "path string, records long")
     return written(files, "archive-manifest")
