@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wattframe import fixed_values as fixed
 from wattframe import operators as op
 from wattframe import streaming as st
 from wattframe.plans.staging import new_folder
@@ -180,7 +181,7 @@ def queries() -> dict[str, Query]:
         "cost_trends_by_time_of_day": _sessions(op.cost_trends_by_time_of_day),
         # users
         "usage_per_user": _sessions(op.usage_per_user),
-        "usage_per_user_chart": lambda spark, d: op.usage_per_user(views.sessions(spark, d)).limit(10),
+        "usage_per_user_chart": lambda spark, d: op.usage_per_user(views.sessions(spark, d)).limit(fixed.CHART_ROWS),
         "user_charging_frequency": _sessions(op.user_charging_frequency),
         "user_daily_usage": _sessions(op.user_daily_usage),
         "user_daily_usage_of_one": _sessions(op.user_daily_usage, user_id=USER),
@@ -194,7 +195,7 @@ def queries() -> dict[str, Query]:
         "station_peak_hours": _sessions(op.station_peak_hours, station_id=STATION),
         # geography
         "stations_by_distrito": _stations(op.stations_by_distrito),
-        "stations_by_distrito_chart": lambda spark, d: op.stations_by_distrito(views.stations(spark, d)).limit(10),
+        "stations_by_distrito_chart": lambda spark, d: op.stations_by_distrito(views.stations(spark, d)).limit(fixed.CHART_ROWS),
         "stations_by_concelho": _stations(op.stations_by_concelho),
         "stations_by_concelho_in_distrito": _stations(op.stations_by_concelho, distrito=DISTRITO),
         "stations_by_concelho_any_case": _stations(

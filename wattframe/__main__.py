@@ -15,6 +15,7 @@ def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="wattframe", description=__doc__.splitlines()[0])
     parser.add_argument("--sessions", nargs="+", help="session files or folders to load")
     parser.add_argument("--stations", nargs="+", help="station files or folders to load")
+    parser.add_argument("--tables", help="folder of the stored tables; by default that of the current database")
     parser.add_argument("--replace", action="store_true", help="loaded sessions take the place of stored ones")
     parser.add_argument("--report", default="power_distribution", choices=sorted(operators.__all__))
     parser.add_argument("--set", nargs="+", default=[], metavar="NAME=VALUE", help="arguments of the report")
@@ -40,7 +41,7 @@ def _converted(parameter: inspect.Parameter, text: str):
 def main() -> None:
     given = _arguments()
     spark = build_session(master=given.master)
-    create_tables(spark)
+    create_tables(spark, given.tables)
     if given.sessions:
         print("sessions:", load_sessions(spark, given.sessions, given.replace)[0])
     if given.stations:

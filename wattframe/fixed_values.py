@@ -9,6 +9,7 @@ here by the rest of the package.
 # --- table names -----------------------------------------------------------
 SESSIONS_TABLE = "ev_charging_data"
 STATIONS_TABLE = "ev_stations"
+REJECTS_TABLE = "ev_rejected_lines"
 
 # --- session file: header, column, type (text length or decimal p,s) ---------
 SESSION_COLUMNS = [
@@ -46,6 +47,11 @@ STATION_COLUMNS = [
 # --- file format ---------------------------------------------------------------
 FIELD_SEPARATOR = ";"
 DECIMAL_MARK = ","
+# white space that goes at both ends of a header name or value
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 # day/month/two-digit-year hour:minute; years 69-99 are 19xx, 00-68 are 20xx
 TIME_SHAPE = r"^(\d{1,2})/(\d{1,2})/(\d{2})\s+(\d{1,2}):(\d{1,2})$"
 FIRST_YEAR_OF_1900S = 69
@@ -103,7 +109,7 @@ NEAR_KM = 10
 NEAR_ROWS = 50
 NEWEST_ROWS = 100
 OVERVIEW_DAYS = 10
-DASHBOARD_CHART_ROWS = 10
+CHART_ROWS = 10
 
 # --- messages and charts ----------------------------------------------------------------
 REFRESH_INTERVAL = "30 seconds"

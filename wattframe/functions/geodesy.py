@@ -23,9 +23,22 @@ def inside_box(latitude: Column, longitude: Column, at_latitude: float, at_longi
     """Plain comparisons that hold for every point within ``km``.
 
     They compare a bare column with literals, so the file scan can skip blocks.
-    Where the circle covers a pole every longitude qualifies; where it crosses
+    Rows whose stored coordinates lie beyond the usual ranges are all kept: the
+    distance takes them as angles, which repeat. Where the circle covers a pole every longitude qualifies; where it crosses
     the date line the longitudes form two ranges.
     """
+    usual = _box(latitude, longitude, at_latitude, at_longitude, km)
+    beyond = (longitude < _coordinate(-180)) | (longitude > _coordinate(180))
+    return usual | beyond | (latitude < _coordinate(-90)) | (latitude > _coordinate(90))
+
+
+def _box(latitude: Column, longitude: Column, at_latitude: float, at_longitude: float, km: float) -> Column:
+    """The box for rows with usual coordinates, around a point that is brought into the usual ranges."""
+    up = (at_latitude + 180) % 360 - 180
+    if abs(up) > 90:
+        # past a pole the same place has another latitude and the opposite longitude
+        up, at_longitude = math.copysign(180, up) - up, at_longitude + 180
+    at_latitude, at_longitude = up, (at_longitude + 180) % 360 - 180
     radius = km / EARTH_RADIUS_KM
     reach = math.degrees(radius)
     slack = 1e-6

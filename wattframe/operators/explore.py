@@ -42,16 +42,18 @@ def headline_figures(sessions: DataFrame, stations: DataFrame) -> DataFrame:
 
 
 def newest_sessions(sessions: DataFrame, limit: int = fixed.NEWEST_ROWS) -> DataFrame:
-    """All columns of the newest sessions.
+    """All columns of the newest sessions; those without a start time come last.
 
     The start time of the last row is found from that one column first; the
-    wide read then keeps only rows at or above it.
+    wide read then keeps only rows at or above it. Rows without a start time are
+    read only if there are too few others.
     """
-    newest = sessions.select(m.START).orderBy(F.desc(m.START)).limit(limit)
-    oldest_shown = newest.agg(F.min(m.START)).scalar()
-    shown = sessions.where(F.col(m.START) >= oldest_shown)
+    newest = sessions.select(m.START).where(F.col(m.START).isNotNull()).orderBy(F.desc(m.START)).limit(limit)
+    found = newest.agg(F.min(m.START).alias("oldest"), F.count(F.lit(1)).alias("rows"))
+    timed = sessions.where(F.col(m.START) >= found.select("oldest").scalar())
+    untimed = sessions.where(F.col(m.START).isNull() & (found.select("rows").scalar() < F.lit(limit)))
     ties = [c for c in sessions.columns if c != m.START]
-    return shown.orderBy(F.desc(m.START), *ties).limit(limit)
+    return timed.unionByName(untimed).orderBy(F.desc_nulls_last(m.START), *ties).limit(limit)
 
 
 def daily_overview(sessions: DataFrame, days: int = fixed.OVERVIEW_DAYS) -> DataFrame:

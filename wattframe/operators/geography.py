@@ -34,31 +34,37 @@ def stations_by_distrito(stations: DataFrame, collation: str | None = None) -> D
 
 
 def stations_by_concelho(
-    stations: DataFrame, distrito: str | None = None, collation: str | None = None
+    stations: DataFrame,
+    distrito: str | None = None,
+    collation: str | None = None,
+    limit: int | None = fixed.TOP_ROWS,
 ) -> DataFrame:
-    """Stations per concelho: all of one distrito, or the largest of the country."""
+    """Stations per concelho: all of one distrito, or the largest of the country (without a limit all)."""
     stations = collated(stations, collation)
     if distrito:
         stations = stations.where(F.col("distrito") == F.lit(distrito))
     areas = stations.groupBy("distrito", "concelho").agg(
         m.rows("total_stations"), m.mean(m.POWER, "avg_power_kw"), _points()
     )
-    limit = None if distrito else fixed.TOP_ROWS
+    limit = None if distrito else limit
     ranked = m.ranked_by(areas, "total_stations", "distrito", "concelho", limit=limit)
     return plain(ranked, collation)
 
 
 def stations_by_freguesia(
-    stations: DataFrame, concelho: str | None = None, collation: str | None = None
+    stations: DataFrame,
+    concelho: str | None = None,
+    collation: str | None = None,
+    limit: int | None = fixed.TOP_ROWS,
 ) -> DataFrame:
-    """Stations per freguesia: all of one concelho, or the largest of the country."""
+    """Stations per freguesia: all of one concelho, or the largest of the country (without a limit all)."""
     stations = collated(stations, collation)
     if concelho:
         stations = stations.where(F.col("concelho") == F.lit(concelho))
     areas = stations.groupBy("distrito", "concelho", "freguesia").agg(
         m.rows("total_stations"), m.mean(m.POWER, "avg_power_kw")
     )
-    limit = None if concelho else fixed.TOP_ROWS
+    limit = None if concelho else limit
     ranked = m.ranked_by(areas, "total_stations", "distrito", "concelho", "freguesia", limit=limit)
     return plain(ranked, collation)
 
@@ -105,9 +111,13 @@ def connection_points_analysis(stations: DataFrame) -> DataFrame:
 
 
 def stations_near_coordinates(
-    stations: DataFrame, latitude: float, longitude: float, max_distance_km: float = fixed.NEAR_KM
+    stations: DataFrame,
+    latitude: float,
+    longitude: float,
+    max_distance_km: float = fixed.NEAR_KM,
+    limit: int | None = fixed.NEAR_ROWS,
 ) -> DataFrame:
-    """Stations within a distance, nearest first.
+    """Stations within a distance, nearest first; without a limit all.
 
     A box around the point is tested first with comparisons the file scan can
     use. It is wider by half of the last reported digit, because the rounded
@@ -121,25 +131,27 @@ def stations_near_coordinates(
         .withColumn("distance_km", distance)
         .where(F.col("distance_km") <= F.lit(float(max_distance_km)))
     )
-    return (
-        near.orderBy("distance_km", "station_id")
-        .limit(fixed.NEAR_ROWS)
-        .select(
-            "station_id",
-            "distrito",
-            "concelho",
-            "freguesia",
-            published(F.col(m.POWER)).alias("power_kw"),
-            m.POINTS,
-            published(lat, 6).alias("lat"),
-            published(lon, 6).alias("lon"),
-            "distance_km",
-        )
+    ranked = near.orderBy("distance_km", "station_id")
+    if limit is not None:
+        ranked = ranked.limit(limit)
+    return ranked.select(
+        "station_id",
+        "distrito",
+        "concelho",
+        "freguesia",
+        published(F.col(m.POWER)).alias("power_kw"),
+        m.POINTS,
+        published(lat, 6).alias("lat"),
+        published(lon, 6).alias("lon"),
+        "distance_km",
     )
 
 
 def station_density_by_area(
-    stations: DataFrame, min_stations: int = fixed.DENSITY_MIN_STATIONS, collation: str | None = None
+    stations: DataFrame,
+    min_stations: int = fixed.DENSITY_MIN_STATIONS,
+    collation: str | None = None,
+    limit: int | None = fixed.DENSITY_ROWS,
 ) -> DataFrame:
     """Dense concelhos, with their stations relative to the concelhos of the distrito.
 
@@ -155,7 +167,7 @@ def station_density_by_area(
         "stations_per_concelho_in_distrito",
         published(ratio(count_as_decimal(F.col("station_count")), count_as_decimal(F.col("_concelhos")))),
     )
-    ranked = m.ranked_by(dense.drop("_concelhos"), "station_count", "distrito", "concelho", limit=fixed.DENSITY_ROWS)
+    ranked = m.ranked_by(dense.drop("_concelhos"), "station_count", "distrito", "concelho", limit=limit)
     return plain(ranked, collation)
 
 
@@ -207,9 +219,13 @@ def usage_by_distrito(sessions: DataFrame, stations: DataFrame, collation: str |
 
 
 def usage_by_concelho(
-    sessions: DataFrame, stations: DataFrame, distrito: str | None = None, collation: str | None = None
+    sessions: DataFrame,
+    stations: DataFrame,
+    distrito: str | None = None,
+    collation: str | None = None,
+    limit: int | None = fixed.CONCELHO_USAGE_ROWS,
 ) -> DataFrame:
-    """Usage per concelho: all of one distrito, or the busiest of the country."""
+    """Usage per concelho: all of one distrito, or the busiest of the country (without a limit all)."""
     places = collated(stations, collation).where(F.col("concelho").isNotNull())
     if distrito:
         places = places.where(F.col("distrito") == F.lit(distrito))
@@ -219,7 +235,7 @@ def usage_by_concelho(
         m.total_of_parts(m.ENERGY, "total_energy_kwh"),
         m.total_of_parts(m.COST, "total_revenue"),
     )
-    limit = None if distrito else fixed.CONCELHO_USAGE_ROWS
+    limit = None if distrito else limit
     ranked = m.ranked_by(areas, "total_sessions", "distrito", "concelho", limit=limit)
     return plain(ranked, collation)
 

@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 
 from . import measures as m
 
-_SLICES = 16
-
-
 def per_station(sessions: DataFrame, *aggregates: Column) -> DataFrame:
     return sessions.groupBy(m.STATION).agg(*aggregates)
 
@@ -27,12 +24,13 @@ def locate_spread(pairs: DataFrame, stations: DataFrame, spread_by: str) -> Data
     """Joins many rows per station with few station columns.
 
     Rows of one station are spread over slices by a second key and the station
-    row is repeated per slice, so a busy station is not one task's work; adaptive
-    execution splits a slice further if it is still much larger than others.
+    row is repeated per slice, so a busy station is not one task's work. There
+    are as many slices as the session's shuffle partitions.
     """
-    slices = F.sequence(F.lit(0), F.lit(_SLICES - 1))
+    number = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = F.sequence(F.lit(0), F.lit(number - 1))
     sliced_stations = stations.withColumn("_slice", F.explode(slices))
-    sliced_pairs = pairs.withColumn("_slice", F.pmod(F.hash(spread_by), F.lit(_SLICES)))
+    sliced_pairs = pairs.withColumn("_slice", F.pmod(F.hash(spread_by), F.lit(number)))
     matches = (sliced_pairs[m.STATION] == sliced_stations["station_id"]) & (
         sliced_pairs["_slice"] == sliced_stations["_slice"]
     )
@@ -46,11 +44,18 @@ def collated(stations: DataFrame, collation: str | None) -> DataFrame:
     """Station geography compared under a collation, e.g. ``UNICODE_CI_AI``.
 
     Without one, names are compared byte by byte. Of names that are equal under
-    the collation any one spelling is reported.
+    the collation the smallest spelling is reported, so row order doesn't matter.
+    Spellings are found on one row per name.
     """
     if collation is None:
         return stations
-    return stations.withColumns({name: F.collate(F.col(name), collation) for name in _NAMES})
+    spelled = stations
+    for name in _NAMES:
+        alike = F.collate(F.col(name), collation)
+        smallest = stations.groupBy(alike.alias("_alike")).agg(F.min(name).alias("_spelling"))
+        spelled = spelled.join(smallest, alike == F.col("_alike"), "left")
+        spelled = spelled.withColumn(name, F.collate(F.col("_spelling"), collation)).drop("_alike", "_spelling")
+    return spelled
 
 
 def plain(report: DataFrame, collation: str | None) -> DataFrame:

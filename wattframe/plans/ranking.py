@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from .staging import staged
 
-_MOST_SLICES = 256
-
-
 def with_ranks(top: DataFrame, groups: DataFrame, metrics: Mapping[str, str]) -> DataFrame:
     """Adds to ``top`` the descending rank its rows have among all ``groups``.
 
@@ -36,7 +33,7 @@ def _edges(groups: DataFrame, metrics: list[str]) -> dict[str, list[float]]:
     they put a value into the same slice in every run of a task.
     """
     wanted = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slices = max(2, min(_MOST_SLICES, wanted))
+    slices = max(2, wanted)
     points = [i / slices for i in range(1, slices)]
     found = groups.approxQuantile(metrics, points, 0.25 / slices)
     return {metric: sorted(set(edges)) for metric, edges in zip(metrics, found)}
@@ -52,14 +49,14 @@ def _rank_of_values(groups: DataFrame, metric: str, name: str, edges: list[float
     ties = groups.groupBy(metric).agg(F.count(F.lit(1)).alias("_ties"))
     sliced = ties.withColumn("_slice", F.coalesce(_slice_of(F.col(metric).cast("double"), edges), F.lit(-1)))
 
-    # at most one row per slice from here on
+    # one row per slice from here on, as many as the session has shuffle partitions
     heights = sliced.groupBy("_slice").agg(F.sum("_ties").alias("_rows"))
     above = Window.orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = heights.select("_slice", F.coalesce(F.sum("_rows").over(above), F.lit(0)).alias("_above"))
 
     higher = Window.partitionBy("_slice").orderBy(F.desc(metric)).rowsBetween(Window.unboundedPreceding, -1)
     running = sliced.withColumn("_higher", F.coalesce(F.sum("_ties").over(higher), F.lit(0)))
-    # the offsets have one row per slice, a few hundred at most
+    # the offsets have one row per slice
     return running.join(F.broadcast(offsets), "_slice").select(
         metric, (F.col("_above") + F.col("_higher") + 1).alias(name)
     )

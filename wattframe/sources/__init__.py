@@ -7,6 +7,7 @@ from .tables import (
     load_all,
     load_sessions,
     load_stations,
+    open_rejects,
     open_sessions,
     open_stations,
     query,
@@ -20,6 +21,7 @@ __all__ = [
     "load_all",
     "load_sessions",
     "load_stations",
+    "open_rejects",
     "open_sessions",
     "open_stations",
     "query",

@@ -14,7 +14,7 @@ BLOCK = "_block"
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], multiline: bool = False) -> DataFrame:
-    """Every non-blank line of the files, all fields as text under trimmed header names.
+    """Every line of the files that isn't empty, all fields as text under trimmed header names.
 
     Added columns: the line itself if its number of fields differs from the
     header's, that number of fields, and the block of the file it is in. All
@@ -51,7 +51,7 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], multiline: bool
     counted = F.greatest(_count_fields(F.col(LINE)), at_least)
     fields = F.when(F.col(LINE).isNull(), width).otherwise(counted)
     return lines.select(
-        *[F.trim(F.col(f"`{name}`")).alias(name.strip()) for name in header],
+        *[F.btrim(F.col(f"`{name}`"), F.lit(fixed.WHITE_SPACE)).alias(name.strip()) for name in header],
         LINE,
         fields.alias(FIELDS),
         block.alias(BLOCK),

@@ -1,7 +1,7 @@
 """Files to typed rows: what is loaded, what is refused and why."""
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +27,9 @@ class Parsed:
 
     lines: DataFrame
     columns: Sequence[str]
+    # the reasons there can be, and how many lines a load has refused for each
+    reasons: Sequence[str] = ()
+    refused: Mapping[str, int] = field(default_factory=dict)
 
     @property
     def loaded(self) -> DataFrame:
@@ -35,7 +38,7 @@ class Parsed:
     @property
     def rejects(self) -> DataFrame:
         refused = self.lines.where(F.col(REASON).isNotNull())
-        return refused.select(REASON, f"{ORDER}.file", LINE, F.col(RAW).alias("fields"))
+        return refused.select(REASON, f"{ORDER}.file", f"{ORDER}.start", LINE, F.col(RAW).alias("fields"))
 
     def counts(self) -> DataFrame:
         """Loaded and skipped lines, one row per reason; loaded lines have none."""
@@ -119,16 +122,24 @@ def _problems(typed: DataFrame, columns: Declared, too_long: str = "too long") -
 
 def _problem(header: str, name: str, kind: str, too_long: str) -> Column:
     """What is wrong with a value, NULL if nothing."""
+    note = _reason(name, kind, too_long)
     text, value = F.col(RAW).getField(header), F.col(name)
     length = text_length(kind)
     if length is not None:
-        return _note(F.length(text) > length, f"{too_long}: {name}")
+        return _note(F.length(text) > length, note)
     if kind == "timestamp_ntz":
-        return _note(value.isNull(), f"bad time: {name}")
+        return _note(value.isNull(), note)
     if kind == "int":
         # text that is no number is only dropped; a number beyond the type is a problem
-        return _note(value.isNull() & parsing.is_whole_number(text), f"out of range: {name}")
-    return _note(value.isNull() & (text != F.lit("")), f"bad number: {name}")
+        return _note(value.isNull() & parsing.is_whole_number(text), note)
+    return _note(value.isNull() & (text != F.lit("")), note)
+
+
+def _reason(name: str, kind: str, too_long: str = "too long") -> str:
+    if text_length(kind) is not None:
+        return f"{too_long}: {name}"
+    kinds = {"timestamp_ntz": "bad time", "int": "out of range"}
+    return f"{kinds.get(kind, 'bad number')}: {name}"
 
 
 def _note(condition: Column, text: str) -> Column:
@@ -145,4 +156,7 @@ def _parsed(typed: DataFrame, columns: Declared, problems: list[Column], *extra:
     else:
         problems = [_note(F.col(FIELDS) > len(present), "too many fields"), *problems]
     names = [name for _, name, _ in columns]
-    return Parsed(typed.withColumn(REASON, F.coalesce(*problems)), [*names, *extra, ORDER])
+    reasons = [f"missing column: {missing[0]}"] if missing else ["too many fields"]
+    if not missing and len(problems) > 1:
+        reasons += [_reason(name, kind) for _, name, kind in columns]
+    return Parsed(typed.withColumn(REASON, F.coalesce(*problems)), [*names, *extra, ORDER], reasons)

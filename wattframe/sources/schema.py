@@ -21,3 +21,6 @@ def _columns(declared: list[tuple[str, str, str]]) -> list[str]:
 
 SESSION_DDL = ", ".join(["id bigint", *_columns(fixed.SESSION_COLUMNS), "created_at timestamp"])
 STATION_DDL = ", ".join([*_columns(fixed.STATION_COLUMNS), "created_at timestamp"])
+REJECT_DDL = (
+    "for_table string, reject_reason string, file string, block_start bigint, line string, fields string, created_at timestamp"
+)

@@ -1,6 +1,7 @@
 """The two stored tables: create, fill, open and drop."""
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace as replaced
 from datetime import datetime
 from typing import Any
 
@@ -9,30 +10,90 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
 from .ingest import REASON, Parsed, first_per_station, read_sessions, read_stations
-from .schema import MONTH, SESSION_DDL, STATION_DDL
+from .schema import MONTH, REJECT_DDL, SESSION_DDL, STATION_DDL
 
 # table property: the first session id that is not used yet
 NEXT_ID = "wattframe.next_id"
-# holds replacing sessions until they are complete
-REPLACEMENT = f"{fixed.SESSIONS_TABLE}_replacement"
+# beside the folder of the sessions: a replacement in the making, and what it takes the place of
+REPLACEMENT, PREVIOUS = "_replacement", "_previous"
 
 
-def create_tables(spark: SparkSession) -> None:
-    """Creates both tables if absent. Sessions are kept in one folder per start month."""
-    _create_session_table(spark, fixed.SESSIONS_TABLE)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {fixed.STATIONS_TABLE} ({STATION_DDL}) USING parquet")
+def create_tables(spark: SparkSession, location: str | None = None) -> None:
+    """Creates the tables if absent, or adopts what is stored in their folders.
 
-
-def _create_session_table(spark: SparkSession, name: str) -> None:
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({SESSION_DDL}, {MONTH} date) USING parquet PARTITIONED BY ({MONTH})"
-    )
+    Tables live in folders below ``location``, by default that of the current
+    database, and outlast the session; another process finds them there.
+    Sessions are kept in one folder per start month. A replacement that broke
+    off is finished or undone first.
+    """
+    base = (location or spark.catalog.getDatabase(spark.catalog.currentDatabase()).locationUri).rstrip("/")
+    sessions = f"{base}/{fixed.SESSIONS_TABLE}"
+    if spark.catalog.tableExists(fixed.SESSIONS_TABLE):
+        sessions = _folder(spark, fixed.SESSIONS_TABLE)
+    settle(spark, sessions)
+    _declare(spark, fixed.SESSIONS_TABLE, f"{SESSION_DDL}, {MONTH} date", sessions, f"PARTITIONED BY ({MONTH})")
+    _declare(spark, fixed.STATIONS_TABLE, STATION_DDL, f"{base}/{fixed.STATIONS_TABLE}")
+    _declare(spark, fixed.REJECTS_TABLE, REJECT_DDL, f"{base}/{fixed.REJECTS_TABLE}")
+
+
+def _declare(spark: SparkSession, name: str, columns: str, folder: str, partitioned: str = "") -> None:
+    if spark.catalog.tableExists(name):
+        return
+    _files(spark, folder).mkdirs(_path(spark, folder))
+    place = folder.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {partitioned} LOCATION '{place}'")
+    if partitioned:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+
+def settle(spark: SparkSession, sessions: str) -> None:
+    """Brings the folder of the sessions to either the old or the new rows, whole, after a broken replacement.
+
+    The new rows stay once their files are complete and the old ones were put
+    aside; before that the old ones stay.
+    """
+    files = _files(spark, sessions)
+    here, new, old = (_path(spark, sessions + end) for end in ("", REPLACEMENT, PREVIOUS))
+    if not files.exists(here):
+        if files.exists(_path(spark, f"{sessions}{REPLACEMENT}/_SUCCESS")):
+            files.rename(new, here)
+        elif files.exists(old):
+            files.rename(old, here)
+    for left in (new, old):
+        if files.exists(left):
+            files.delete(left, True)
+
+
+def _swap(spark: SparkSession, sessions: str) -> None:
+    """Puts a complete replacement in the place of the stored sessions, in steps that :func:`settle` can go on from."""
+    files = _files(spark, sessions)
+    here, new, old = (_path(spark, sessions + end) for end in ("", REPLACEMENT, PREVIOUS))
+    files.rename(here, old)
+    files.rename(new, here)
+    files.delete(old, True)
 
 
 def drop_tables(spark: SparkSession) -> None:
-    """Drops both tables if present, and what a broken replacement has left."""
-    for table in (fixed.SESSIONS_TABLE, fixed.STATIONS_TABLE, REPLACEMENT):
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    """Drops the tables if present, with their files, and what a broken replacement has left."""
+    for table in (fixed.SESSIONS_TABLE, fixed.STATIONS_TABLE, fixed.REJECTS_TABLE):
+        if spark.catalog.tableExists(table):
+            folder = _folder(spark, table)
+            spark.sql(f"DROP TABLE {table}")
+            for end in ("", REPLACEMENT, PREVIOUS):
+                _files(spark, folder).delete(_path(spark, folder + end), True)
+
+
+def _folder(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0].data_type
+
+
+def _path(spark: SparkSession, folder: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(folder)
+
+
+def _files(spark: SparkSession, folder: str):
+    return _path(spark, folder).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def open_sessions(spark: SparkSession, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
@@ -69,8 +130,14 @@ def load_sessions(
     """Adds the session files to the table, or puts them in place of its rows.
 
     There is no key to recognise a session by: adding a file twice stores it
-    twice. Either all lines of a call become visible or none. A replacement is
-    written to a table of its own, which takes the name once it is complete.
+    twice. Added rows become visible month by month when the write commits; a
+    write that fails before that adds none. A replacement is written to a folder
+    of its own, which takes the place of the other once it is complete; whenever
+    it breaks, the next call finds all old or all new rows. One load at a time:
+    two at once could take the same ids.
+
+    Returns the number of imported and skipped lines, and the lines with the
+    number refused for each reason; all are counted in the writing pass.
     """
     parsed = read_sessions(spark, paths, multiline)
     first_id = 0 if replace else _take_next_id(spark)
@@ -81,8 +148,11 @@ def load_sessions(
         F.trunc(F.to_date("charging_start_time"), "month").alias(MONTH),
         REASON,
     )
-    # balances the write by month: large months are split, small ones share a task
+    # balances the write by month: large months are split, small ones share a task; the hint needs adaptive execution
+    if spark.conf.get("spark.sql.adaptive.enabled") != "true":
+        raise RuntimeError("set spark.sql.adaptive.enabled, or a large month is written by one task")
     balanced = rows.hint("rebalance", MONTH)
+    reasons = {f"reason_{k}": reason for k, reason in enumerate(parsed.reasons)}
     # counted in the writing stage, where each row is counted once even if tasks are repeated
     seen = Observation("sessions")
     counted = balanced.observe(
@@ -90,19 +160,24 @@ def load_sessions(
         F.count_if(F.col(REASON).isNull()).alias("imported"),
         F.count_if(F.col(REASON).isNotNull()).alias("skipped"),
         F.coalesce(F.max("id"), F.lit(first_id - 1)).alias("last_id"),
+        *[F.count_if(F.col(REASON) == F.lit(reason)).alias(key) for key, reason in reasons.items()],
     )
     good = counted.where(F.col(REASON).isNull()).drop(REASON)
     if replace:
-        spark.sql(f"DROP TABLE IF EXISTS {REPLACEMENT}")
-        _create_session_table(spark, REPLACEMENT)
-        good.write.insertInto(REPLACEMENT)
-        spark.sql(f"DROP TABLE IF EXISTS {fixed.SESSIONS_TABLE}")
-        spark.sql(f"ALTER TABLE {REPLACEMENT} RENAME TO {fixed.SESSIONS_TABLE}")
+        folder = _folder(spark, fixed.SESSIONS_TABLE)
+        settle(spark, folder)
+        good.write.partitionBy(MONTH).parquet(folder + REPLACEMENT)
+        _swap(spark, folder)
+        # the table knows its months anew
+        spark.sql(f"DROP TABLE {fixed.SESSIONS_TABLE}")
+        columns = f"{SESSION_DDL}, {MONTH} date"
+        _declare(spark, fixed.SESSIONS_TABLE, columns, folder, f"PARTITIONED BY ({MONTH})")
     else:
         good.write.insertInto(fixed.SESSIONS_TABLE)
     counts = dict(seen.get)
     _note_next_id(spark, counts.pop("last_id") + 1)
-    return counts, parsed
+    by_reason = {reason: n for key, reason in reasons.items() if (n := counts.pop(key))}
+    return counts, replaced(parsed, refused=by_reason)
 
 
 def load_stations(
@@ -116,11 +191,9 @@ def load_stations(
     new.select(
         *[name for _, name, _ in fixed.STATION_COLUMNS], F.current_timestamp().alias("created_at")
     ).observe(written, F.count(F.lit(1)).alias("inserted")).write.insertInto(fixed.STATIONS_TABLE)
-    lines = parsed.lines.agg(
-        F.count_if(F.col(REASON).isNull()).alias("processed"),
-        F.count_if(F.col(REASON).isNotNull()).alias("skipped"),
-    ).first()
-    return {**lines.asDict(), **written.get}, parsed
+    lines = {row[REASON]: row.lines for row in parsed.counts().collect()}
+    counts = {"processed": lines.pop(None, 0), "skipped": sum(lines.values()), **written.get}
+    return counts, replaced(parsed, refused=lines)
 
 
 def load_all(
@@ -128,14 +201,38 @@ def load_all(
     session_paths: str | Sequence[str],
     station_paths: str | Sequence[str],
     replace: bool = False,
-) -> dict[str, dict[str, int]]:
-    """Creates the tables if needed and loads both kinds of files."""
+) -> dict[str, dict[str, Any]]:
+    """Creates the tables if needed, loads both kinds of files and keeps the lines it refuses."""
     create_tables(spark)
-    session_counts, _ = load_sessions(spark, session_paths, replace)
-    station_counts, _ = load_stations(spark, station_paths)
+    session_counts, sessions = load_sessions(spark, session_paths, replace)
+    station_counts, stations = load_stations(spark, station_paths)
+    for table, counts, parsed in (
+        (fixed.SESSIONS_TABLE, session_counts, sessions),
+        (fixed.STATIONS_TABLE, station_counts, stations),
+    ):
+        if counts["skipped"]:
+            keep_rejects(spark, table, parsed)
+            counts["reasons"] = dict(parsed.refused)
     return {fixed.SESSIONS_TABLE: session_counts, fixed.STATIONS_TABLE: station_counts}
 
 
+def keep_rejects(spark: SparkSession, table: str, parsed: Parsed) -> None:
+    """Adds the refused lines of a read to the table of rejects: why, from where, and what the line held.
+
+    Files with refused lines are read once more for that; loads without any
+    don't come here.
+    """
+    fields = F.to_json("fields", {"ignoreNullFields": "false"})
+    rows = parsed.rejects.select(
+        F.lit(table).alias("for_table"), REASON, "file", "start", "_line", fields.alias("fields"), F.current_timestamp()
+    )
+    rows.write.insertInto(fixed.REJECTS_TABLE)
+
+
+def open_rejects(spark: SparkSession) -> DataFrame:
+    return spark.table(fixed.REJECTS_TABLE)
+
+
 def _clock(moment: datetime) -> Column:
     """As text, because a datetime literal would be shifted to the session's time zone."""
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
