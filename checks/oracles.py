@@ -213,17 +213,17 @@ GROUP BY ALL ORDER BY total_sessions DESC, distrito, concelho {limit}"""
     )
 
 
-def _near() -> str:
-    latitude, longitude, km = POINT
+def _near(km: int = POINT[2], limit: str = "LIMIT 50", lon_c: str = "lon_c") -> str:
+    latitude, longitude, _ = POINT
     return _sta(
         f"""SELECT * FROM (
   SELECT station_id, distrito, concelho, freguesia, {one_c('power_c')} AS power_kw, pontos_ligacao,
-    lat_c/100.0 AS lat, lon_c/100.0 AS lon,
+    lat_c/100.0 AS lat, {lon_c}/100.0 AS lon,
     round(6371*2*asin(sqrt(least(1.0, power(sin((radians(lat_c/100.0) - radians({latitude}))/2), 2)
       + cos(radians({latitude}))*cos(radians(lat_c/100.0))
-      * power(sin((radians(lon_c/100.0) - radians({longitude}))/2), 2)))), 2) AS distance_km
+      * power(sin((radians({lon_c}/100.0) - radians({longitude}))/2), 2)))), 2) AS distance_km
   FROM sta)
-WHERE distance_km <= {km} ORDER BY distance_km, station_id LIMIT 50"""
+WHERE distance_km <= {km} ORDER BY distance_km, station_id {limit}"""
     )
 
 
@@ -236,6 +236,47 @@ _SESSION_LINES = """lines AS (
   FROM ses)"""
 
 
+_INGESTED = f"""WITH {_SES}, {_SESSION_LINES}
+SELECT user_id, vehicle_model, battery_c/100.0 AS battery_capacity_kwh, charging_station_id, charging_start_time,
+  charging_start_time + INTERVAL 45 MINUTE AS charging_end_time, energy_c/100.0 AS energy_consumed_kwh,
+  hours_m/1000.0 AS charging_duration_hours, rate_c/100.0 AS charging_rate_kw, cost_c/100.0 AS charging_cost_eur,
+  time_of_day, day_of_week, (id % 60*10 + 5)/10.0 AS state_of_charge_start_pct,
+  ((id % 40 + 60)*100 + 25)/100.0 AS state_of_charge_end_pct, (id % 1000*100 + 13)/100.0 AS distance_driven_km,
+  CAST(id % 55 - 20 AS DOUBLE) AS temperature_c,
+  CASE WHEN id % 13 <> 0 THEN CAST(id % 12 AS INTEGER) END AS vehicle_age_years
+FROM lines WHERE reject_reason IS NULL"""
+
+_LOADED = f"""WITH {_SES}, {_STA}, {_SESSION_LINES},
+loaded AS (SELECT * FROM lines WHERE reject_reason IS NULL)
+SELECT 'sessions' AS metric, count(*) AS value FROM loaded
+UNION ALL SELECT 'users', count(DISTINCT user_id) FROM loaded
+UNION ALL SELECT 'stations_used', count(DISTINCT charging_station_id) FROM loaded
+UNION ALL SELECT 'vehicle_models', count(DISTINCT vehicle_model) FROM loaded
+UNION ALL SELECT 'stations', count(*) FROM sta
+UNION ALL SELECT 'distritos', count(DISTINCT distrito) FROM sta
+UNION ALL SELECT 'concelhos', count(DISTINCT concelho) FROM sta"""
+
+
+def _newest(start: str) -> str:
+    return _ses(
+        f"""SELECT id, user_id, vehicle_model, battery_c/100.0 AS battery_capacity_kwh, charging_station_id,
+  {start} AS charging_start_time, energy_c/100.0 AS energy_consumed_kwh, hours_m/1000.0 AS charging_duration_hours,
+  rate_c/100.0 AS charging_rate_kw, cost_c/100.0 AS charging_cost_eur, time_of_day, day_of_week
+FROM ses
+ORDER BY {start} DESC NULLS LAST, id, user_id, vehicle_model, battery_c, charging_station_id,
+  energy_c NULLS FIRST, hours_m NULLS FIRST, rate_c, cost_c NULLS FIRST, time_of_day NULLS FIRST, day_of_week
+LIMIT 100"""
+    )
+
+
+_BY_DISTRITO = _both(
+    f"""SELECT distrito, {STATIONS_USED}, count(*) AS total_sessions, {USERS},
+  {sum_c('energy_c')} AS total_energy_kwh, {avg_c('energy_c')} AS avg_energy_per_session,
+  {sum_c('cost_c')} AS total_revenue, {avg_c('cost_c')} AS avg_cost_per_session
+FROM ses JOIN sta ON charging_station_id = station_id WHERE distrito IS NOT NULL GROUP BY ALL"""
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "daily_trends": _ses(f"SELECT day AS date, {VOLUME}, {USERS}, {STATIONS_USED} FROM ses GROUP BY ALL"),
@@ -429,6 +470,11 @@ FROM sta WHERE power_c >= 15000 ORDER BY power_c DESC, station_id LIMIT 50"""
 FROM sta WHERE pontos_ligacao IS NOT NULL GROUP BY 1"""
         ),
         "stations_near_coordinates": _near(),
+        "stations_near_coordinates_wrapped": _near(
+            lon_c="(CASE WHEN pontos_ligacao = 3 THEN lon_c + 36000 ELSE lon_c END)"
+        ),
+        "stations_near_coordinates_all": _near(400, ""),
+        "stations_by_distrito_any_spelling": _distritos(),
         "station_density_by_area": _density(10),
         "station_density_by_area_from_4": _density(DENSE),
         "charging_sessions_with_location": _both(
@@ -439,12 +485,9 @@ FROM ses LEFT JOIN sta ON charging_station_id = station_id
 GROUP BY charging_station_id, distrito, concelho, freguesia, power_c, pontos_ligacao
 ORDER BY sessions DESC, charging_station_id LIMIT 100"""
         ),
-        "usage_by_distrito": _both(
-            f"""SELECT distrito, {STATIONS_USED}, count(*) AS total_sessions, {USERS},
-  {sum_c('energy_c')} AS total_energy_kwh, {avg_c('energy_c')} AS avg_energy_per_session,
-  {sum_c('cost_c')} AS total_revenue, {avg_c('cost_c')} AS avg_cost_per_session
-FROM ses JOIN sta ON charging_station_id = station_id WHERE distrito IS NOT NULL GROUP BY ALL"""
-        ),
+        "usage_by_distrito": _BY_DISTRITO,
+        "usage_by_distrito_any_spelling": _BY_DISTRITO,
+        "usage_by_concelho_all": _concelho_usage("", ""),
         "usage_by_concelho": _concelho_usage("", "LIMIT 30"),
         "usage_by_concelho_in_distrito": _concelho_usage(f"AND distrito = '{DISTRITO}'", ""),
         "stations_with_no_usage": _both(
@@ -487,15 +530,8 @@ UNION ALL SELECT 'concelhos', count(DISTINCT concelho) FROM sta"""
   (SELECT count(*) FROM sta) AS total_stations, CAST((sum(energy_c) + 50)//100 AS DOUBLE) AS total_energy_kwh
 FROM ses"""
         ),
-        "newest_sessions": _ses(
-            """SELECT id, user_id, vehicle_model, battery_c/100.0 AS battery_capacity_kwh, charging_station_id,
-  charging_start_time, energy_c/100.0 AS energy_consumed_kwh, hours_m/1000.0 AS charging_duration_hours,
-  rate_c/100.0 AS charging_rate_kw, cost_c/100.0 AS charging_cost_eur, time_of_day, day_of_week
-FROM ses
-ORDER BY charging_start_time DESC, id, user_id, vehicle_model, battery_c, charging_station_id,
-  energy_c NULLS FIRST, hours_m NULLS FIRST, rate_c, cost_c NULLS FIRST, time_of_day NULLS FIRST, day_of_week
-LIMIT 100"""
-        ),
+        "newest_sessions": _newest("charging_start_time"),
+        "newest_sessions_untimed": _newest("CASE WHEN id % 1000 = 11 THEN charging_start_time END"),
         "daily_overview": _ses(_OVERVIEW),
         "daily_overview_chart": f"""WITH {_SES}, days AS ({_OVERVIEW})
 SELECT 'Sessions' AS series, date AS label, CAST(sessions AS DOUBLE) AS value FROM days
@@ -505,17 +541,16 @@ UNION ALL SELECT 'Avg Cost', date, avg_cost FROM days""",
         "daily_users_streamed": _evt(
             "SELECT day AS date, count(DISTINCT user_id) AS unique_users FROM closed GROUP BY ALL"
         ),
+        "daily_users_estimate_checked": _evt(
+            "SELECT day AS date, count(DISTINCT user_id) AS unique_users, true AS estimate_is_near FROM closed GROUP BY ALL"
+        ),
+        "messages_streamed_with_bad_payloads": f"""SELECT concat('topic/', event_type) AS topic, ts,
+  CASE WHEN event_id % 7 <> 0 THEN props END AS message, CASE WHEN event_id % 7 = 0 THEN concat('FF', hex(props)) END AS undecoded
+FROM events WHERE concat('topic/', event_type) = '{TOPIC}'""",
         "messages_streamed": f"""SELECT concat('topic/', event_type) AS topic, props AS message, ts
 FROM events WHERE concat('topic/', event_type) = '{TOPIC}'""",
-        "ingested_sessions": f"""WITH {_SES}, {_SESSION_LINES}
-SELECT user_id, vehicle_model, battery_c/100.0 AS battery_capacity_kwh, charging_station_id, charging_start_time,
-  charging_start_time + INTERVAL 45 MINUTE AS charging_end_time, energy_c/100.0 AS energy_consumed_kwh,
-  hours_m/1000.0 AS charging_duration_hours, rate_c/100.0 AS charging_rate_kw, cost_c/100.0 AS charging_cost_eur,
-  time_of_day, day_of_week, (id % 60*10 + 5)/10.0 AS state_of_charge_start_pct,
-  ((id % 40 + 60)*100 + 25)/100.0 AS state_of_charge_end_pct, (id % 1000*100 + 13)/100.0 AS distance_driven_km,
-  CAST(id % 55 - 20 AS DOUBLE) AS temperature_c,
-  CASE WHEN id % 13 <> 0 THEN CAST(id % 12 AS INTEGER) END AS vehicle_age_years
-FROM lines WHERE reject_reason IS NULL""",
+        "ingested_sessions": _INGESTED,
+        "ingested_sessions_padded": _INGESTED,
         "ingest_outcome": f"""WITH {_SES}, {_SESSION_LINES}
 SELECT reject_reason, count(*) AS lines FROM lines GROUP BY ALL""",
         "ingested_stations": _sta(
@@ -525,15 +560,12 @@ SELECT reject_reason, count(*) AS lines FROM lines GROUP BY ALL""",
   CASE WHEN pontos_ligacao = 8 THEN 'bad number: longitude' ELSE '' END AS warnings
 FROM sta"""
         ),
-        "loaded_tables": f"""WITH {_SES}, {_STA}, {_SESSION_LINES},
-loaded AS (SELECT * FROM lines WHERE reject_reason IS NULL)
-SELECT 'sessions' AS metric, count(*) AS value FROM loaded
-UNION ALL SELECT 'users', count(DISTINCT user_id) FROM loaded
-UNION ALL SELECT 'stations_used', count(DISTINCT charging_station_id) FROM loaded
-UNION ALL SELECT 'vehicle_models', count(DISTINCT vehicle_model) FROM loaded
-UNION ALL SELECT 'stations', count(*) FROM sta
-UNION ALL SELECT 'distritos', count(DISTINCT distrito) FROM sta
-UNION ALL SELECT 'concelhos', count(DISTINCT concelho) FROM sta""",
+        "loaded_tables": _LOADED,
+        "replaced_tables": _LOADED,
+        "recreated_tables": _LOADED,
+        "rejected_lines": f"""WITH {_SES}, {_SESSION_LINES}
+SELECT 'ev_charging_data' AS for_table, reject_reason, count(*) AS lines
+FROM lines WHERE reject_reason IS NOT NULL GROUP BY ALL""",
         "bound_query": _ses(
             f"""SELECT charging_station_id, count(*) AS sessions, {one_c('max(cost_c)')} AS dearest
 FROM ses WHERE vehicle_model = '{MODEL}' AND cost_c >= {DEAR * 100} GROUP BY ALL"""

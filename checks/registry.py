@@ -11,8 +11,11 @@ from wattframe import operators as op
 from wattframe import streaming as st
 from wattframe.plans.staging import new_folder
 from wattframe.sources import (
+    create_tables,
+    drop_tables,
     first_per_station,
     load_all,
+    open_rejects,
     open_sessions,
     open_stations,
     query,
@@ -47,6 +50,22 @@ def _both(report, **arguments) -> Query:
     return lambda spark, d: report(views.sessions(spark, d), views.stations(spark, d), **arguments)
 
 
+def _mixed_spelling(stations: DataFrame) -> DataFrame:
+    """Some distritos in small letters."""
+    return stations.withColumn("distrito", F.when(F.col("pontos_ligacao") == 2, F.lower("distrito")).otherwise(F.col("distrito")))
+
+
+def _wrapped(stations: DataFrame) -> DataFrame:
+    """Some longitudes a whole turn further."""
+    turned = (F.col("longitude") + 360).cast("decimal(10,7)")
+    return stations.withColumn("longitude", F.when(F.col("pontos_ligacao") == 3, turned).otherwise(F.col("longitude")))
+
+
+def _untimed(sessions: DataFrame) -> DataFrame:
+    """Few sessions have a start time."""
+    return sessions.withColumn("charging_start_time", F.when(F.col("id") % 1000 == 11, F.col("charging_start_time")))
+
+
 def _newest_sessions(spark: SparkSession, d: str) -> DataFrame:
     return _doubles(op.newest_sessions(views.sessions(spark, d)))
 
@@ -81,11 +100,28 @@ def _on_events(report, **arguments) -> Query:
 
 
 def _messages(spark: SparkSession, d: str) -> DataFrame:
-    decoded = st.messages_of(views.messages_from_events(views.streamed(spark, d, "events")), TOPIC)
+    decoded = st.messages_of(views.messages_from_events(views.streamed(spark, d, "events")), TOPIC).drop("undecoded")
     # an instant is compared as local time
     return _appended(spark, decoded.withColumn("ts", F.col("ts").cast("timestamp_ntz")))
 
 
+def _bad_messages(spark: SparkSession, d: str) -> DataFrame:
+    """Some payloads are not UTF-8; these come without a message, as they were."""
+    events = views.streamed(spark, d, "events")
+    decoded = st.messages_of(views.messages_from_events(events, spoilt=F.col("event_id") % 7 == 0), TOPIC)
+    shown = decoded.select("topic", "message", F.col("ts").cast("timestamp_ntz").alias("ts"), F.hex("undecoded").alias("undecoded"))
+    return _appended(spark, shown)
+
+
+def _estimate_checked(spark: SparkSession, d: str) -> DataFrame:
+    """Per day the exact users, and whether the estimate is within three times its stated error."""
+    error = 0.05
+    exact = _on_events(st.daily_users)(spark, d)
+    guess = _on_events(st.daily_users_estimate, error=error)(spark, d).withColumnRenamed("unique_users", "estimate")
+    near = F.abs(F.col("estimate") - F.col("unique_users")) <= F.col("unique_users") * (3 * error)
+    return exact.join(guess, "date").select("date", "unique_users", near.alias("estimate_is_near"))
+
+
 def _chart(spark: SparkSession, d: str) -> DataFrame:
     """The chart arrays, unfolded to one row per series and label."""
     chart = st.chart_series(op.daily_overview(views.sessions(spark, d)))
@@ -121,8 +157,19 @@ def _ingested_stations(spark: SparkSession, d: str) -> DataFrame:
     return _doubles(kept.withColumn("warnings", F.array_join("warnings", ",")))
 
 
-def _loaded_tables(spark: SparkSession, d: str) -> DataFrame:
-    """Files to stored tables in a database of their own, then the profile of the tables."""
+def _padded_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """Values with white space of many kinds around them, and empty lines' worth of it."""
+    lines = files.session_lines(views.sessions(spark, d))
+    around = {"charging_station_id": "{}\u00a0", "charging_cost_eur": "\u00a0{}\u2003", "time_of_day": "\u3000{}\u0085"}
+    around |= {"user_id": "\u2009{}", "vehicle_model": "{}\u202f"}
+    padded = {name: F.concat(F.lit(how.split("{}")[0]), name, F.lit(how.split("{}")[1])) for name, how in around.items()}
+    folder = new_folder(spark, "padded-files")
+    files.write(lines.withColumns(padded), folder)
+    return _doubles(read_sessions(spark, folder).loaded.drop("_order"))
+
+
+def _stored(spark: SparkSession, d: str, work) -> DataFrame:
+    """Files for both tables in a database of their own; ``work`` loads them and says what is seen there."""
     folder = new_folder(spark, "load")
     files.write(files.session_lines(views.sessions(spark, d)), f"{folder}/session-files")
     files.write(files.station_lines(views.stations(spark, d)), f"{folder}/station-files")
@@ -131,12 +178,58 @@ def _loaded_tables(spark: SparkSession, d: str) -> DataFrame:
     before = spark.catalog.currentDatabase()
     spark.catalog.setCurrentDatabase(database)
     try:
-        load_all(spark, f"{folder}/session-files", f"{folder}/station-files")
-        return op.table_profile(open_sessions(spark), open_stations(spark))
+        return work(f"{folder}/session-files", f"{folder}/station-files")
     finally:
         spark.catalog.setCurrentDatabase(before)
 
 
+def _loaded_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Files to stored tables, then the profile of the tables."""
+
+    def work(sessions, stations):
+        load_all(spark, sessions, stations)
+        return op.table_profile(open_sessions(spark), open_stations(spark))
+
+    return _stored(spark, d, work)
+
+
+def _replaced_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Loaded twice, the second time in place of the first, and opened as by another process."""
+
+    def work(sessions, stations):
+        load_all(spark, sessions, stations)
+        load_all(spark, sessions, stations, replace=True)
+        for name in (fixed.SESSIONS_TABLE, fixed.STATIONS_TABLE, fixed.REJECTS_TABLE):
+            spark.sql(f"DROP TABLE {name}")
+        create_tables(spark)
+        return op.table_profile(open_sessions(spark), open_stations(spark))
+
+    return _stored(spark, d, work)
+
+
+def _recreated_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Loaded, dropped, created and loaded: nothing of the first load is left."""
+
+    def work(sessions, stations):
+        load_all(spark, sessions, stations)
+        drop_tables(spark)
+        create_tables(spark)
+        load_all(spark, sessions, stations)
+        return op.table_profile(open_sessions(spark), open_stations(spark))
+
+    return _stored(spark, d, work)
+
+
+def _rejected_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The refused lines that a load has kept, by reason."""
+
+    def work(sessions, stations):
+        load_all(spark, sessions, stations)
+        return open_rejects(spark).groupBy("for_table", "reject_reason").agg(F.count(F.lit(1)).alias("lines"))
+
+    return _stored(spark, d, work)
+
+
 # --- SQL text with bound values ----------------------------------------------------------------
 
 
@@ -207,12 +300,23 @@ def queries() -> dict[str, Query]:
         "high_power_stations": _stations(op.high_power_stations),
         "connection_points_analysis": _stations(op.connection_points_analysis),
         "stations_near_coordinates": _stations(op.stations_near_coordinates, *POINT),
+        "stations_near_coordinates_wrapped": lambda spark, d: op.stations_near_coordinates(
+            _wrapped(views.stations(spark, d)), *POINT
+        ),
+        "stations_near_coordinates_all": _stations(op.stations_near_coordinates, *POINT[:2], 400, limit=None),
+        "stations_by_distrito_any_spelling": lambda spark, d: op.stations_by_distrito(
+            _mixed_spelling(views.stations(spark, d)), collation="UNICODE_CI_AI"
+        ),
         "station_density_by_area": _stations(op.station_density_by_area),
         "station_density_by_area_from_4": _stations(op.station_density_by_area, min_stations=DENSE),
         # sessions at stations
         "charging_sessions_with_location": _both(op.charging_sessions_with_location),
         "usage_by_distrito": _both(op.usage_by_distrito),
         "usage_by_concelho": _both(op.usage_by_concelho),
+        "usage_by_concelho_all": _both(op.usage_by_concelho, limit=None),
+        "usage_by_distrito_any_spelling": lambda spark, d: op.usage_by_distrito(
+            views.sessions(spark, d), _mixed_spelling(views.stations(spark, d)), collation="UNICODE_CI_AI"
+        ),
         "usage_by_concelho_in_distrito": _both(op.usage_by_concelho, distrito=DISTRITO),
         "stations_with_no_usage": _both(op.stations_with_no_usage),
         "power_vs_usage_analysis": _both(op.power_vs_usage_analysis),
@@ -222,6 +326,7 @@ def queries() -> dict[str, Query]:
         "table_profile": _both(op.table_profile),
         "headline_figures": _both(op.headline_figures),
         "newest_sessions": _newest_sessions,
+        "newest_sessions_untimed": lambda spark, d: _doubles(op.newest_sessions(_untimed(views.sessions(spark, d)))),
         "daily_overview": _sessions(op.daily_overview),
         "daily_overview_chart": _chart,
         # streams
@@ -229,12 +334,18 @@ def queries() -> dict[str, Query]:
         "daily_windows_streamed": _on_events(st.daily_windows),
         "daily_users_streamed": _on_events(st.daily_users),
         "daily_users_estimate_streamed": _on_events(st.daily_users_estimate),
+        "daily_users_estimate_checked": _estimate_checked,
         "messages_streamed": _messages,
+        "messages_streamed_with_bad_payloads": _bad_messages,
         # files
         "ingested_sessions": _ingested_sessions,
         "ingest_outcome": _ingest_outcome,
         "ingested_stations": _ingested_stations,
+        "ingested_sessions_padded": _padded_sessions,
         "loaded_tables": _loaded_tables,
+        "replaced_tables": _replaced_tables,
+        "recreated_tables": _recreated_tables,
+        "rejected_lines": _rejected_lines,
         # SQL text
         "bound_query": _bound_query,
     }

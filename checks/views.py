@@ -94,10 +94,13 @@ def sessions_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def messages_from_events(events: DataFrame) -> DataFrame:
-    """One message per event, its topic named after the event type."""
+def messages_from_events(events: DataFrame, spoilt: Column | None = None) -> DataFrame:
+    """One message per event, its topic named after the event type; spoilt payloads begin with a byte that no text has."""
+    payload = F.encode("props", "UTF-8")
+    if spoilt is not None:
+        payload = F.when(spoilt, F.concat(F.unhex(F.lit("FF")), payload)).otherwise(payload)
     return events.select(
         F.concat(F.lit("topic/"), "event_type").alias("topic"),
-        F.encode("props", "UTF-8").alias("payload"),
+        payload.alias("payload"),
         F.col("ts").cast("timestamp").alias("ts"),
     )
