@@ -131,8 +131,12 @@ def test_bands_leave_equal_parts():
         below = bands.band(b)
         assert ((over == below) | ((over == below + 1) & bands.reaches_next(b))).all()
         compared = bands.parts[over] > 0
-        assert (bands.parts[over] - bands.differing(a + b) > bands.spare[over])[compared].all()
-        assert (bands.differing(a + b)[~compared] == 0).all()
+        assert (2 * a * (100 - least) // (100 + least) == 0)[~compared].all()
+        # full parts of a set that isn't thin are more than can differ
+        n = np.arange(1, 5000)
+        differing = (n + n * 100 // least) * (100 - least) // (100 + least)
+        assert (~bands.thin(differing + 1, n) | (differing + 1 <= n * (100 - least) / least)).all()
+        assert bands.thin(differing, n).all()
     with pytest.raises(ValueError):
         SizeBands(50, 100, 10)
 

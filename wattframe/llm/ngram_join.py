@@ -15,21 +15,25 @@ from .shingles import mixed, shingle_sets
 SKETCH = 8
 #: Upper by lower edge of a size band.
 _BAND_RATIO = 1.6
+#: Parts of a band by the number of elements that can differ.
+_PARTS = 1.2
 #: Classes of which a task remembers that their signatures are out.
 _REMEMBERED = 1_000_000
 #: Ids (8 bytes) that are sent to all tasks instead of shuffling texts to them.
 MOST_SENT = 1_000_000
 
-_FEATURES = "doc_id long, n_shingles long, c1 long, c2 long, " + ", ".join(f"s{k} long" for k in range(SKETCH))
+_FEATURES = "doc_id long, n_shingles long, c1 long, c2 long, spare long, " + ", ".join(f"s{k} long" for k in range(SKETCH))
 
 
 class SizeBands:
-    """Size bands, and the parts of a set that documents of a band are compared by.
-
-    Two sets of a and b elements with ``of`` * common >= ``least`` * all differ in
-    at most (a + b) * (of - least) / (of + least) elements. Elements are dealt to
-    parts by a hash; each that differs changes one part. With ``parts`` one more
-    than can change, and ``spare`` more, at least ``spare`` + 1 parts are equal.
+    """Size bands, and the number of parts that sets of a band are compared by.
+
+    Elements are dealt to parts by a hash. If two sets have ``of`` * common >=
+    ``least`` * all elements, no more than n * (of - least) / least elements
+    are in one of them only, n being the size of either. Each of these changes
+    one part. So if more parts of a set have elements, one of these is the same
+    in the other set. There are enough parts for that to hold for nearly all
+    sets; :meth:`thin` tells for which it doesn't.
     """
 
     def __init__(self, least: int, of: int, largest: int) -> None:
@@ -40,12 +44,15 @@ class SizeBands:
         while edges[-1] <= largest:
             edges.append(max(edges[-1] + 1, int(edges[-1] * _BAND_RATIO)))
         self.edges = np.array(edges, np.int64)
-        most = self.differing(2 * (self.edges[1:] - 1))
-        self.spare = np.append(3 + most // 20, 0)
-        self.parts = np.append(np.where(most > 0, most + 1 + self.spare[:-1], 0), 0)
+        last = self.edges[1:] - 1
+        alike = 2 * last * (of - least) // (of + least) == 0
+        parts = np.ceil(_PARTS * last * (of - least) / least).astype(np.int64) + 4
+        # sets of a band that can only be similar if they are equal need no parts
+        self.parts = np.append(np.where(alike, 0, parts), 0)
 
-    def differing(self, both: np.ndarray) -> np.ndarray:
-        return both * (self.of - self.least) // (self.of + self.least)
+    def thin(self, full: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Whether so few parts of a set have elements that all of them may differ in a similar set."""
+        return full * self.least <= sizes * (self.of - self.least)
 
     def band(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.edges, sizes, "right") - 1
@@ -70,7 +77,7 @@ def _class_hashes(sets: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out[0], out[1]
 
 
-def _features(words: int):
+def _features(words: int, least: int, of: int):
     def find(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in _FEATURES.split(", ")]
         for frame in frames:
@@ -84,6 +91,7 @@ def _features(words: int):
                 np.bitwise_xor.at(sketch, word, np.uint64(1) << (bit & np.uint64(63)))
                 columns = [frame.column(0).slice(done, len(size)), pa.array(size, pa.int64())]
                 columns += [pa.array(x.view(np.int64)) for x in (c1, c2)]
+                columns.append(pa.array(_spare(sets, size, SizeBands(least, of, 2 * int(size.max(initial=1))))))
                 columns += [pa.array(np.ascontiguousarray(s)) for s in sketch.view(np.int64).reshape(-1, SKETCH).T]
                 yield pa.RecordBatch.from_arrays(columns, names)
                 done += len(size)
@@ -113,24 +121,51 @@ def _signatures(words: int, bands: SizeBands):
     return find
 
 
+def _dealt(scrambled: np.ndarray, size: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """The place of each element's part, the parts of all sets in a row."""
+    part = ((scrambled >> np.uint64(32)) * np.repeat(parts, size).astype(np.uint64)) >> np.uint64(32)
+    return np.repeat(np.cumsum(parts) - parts, size) + part.astype(np.int64)
+
+
+def _spare(sets: np.ndarray, size: np.ndarray, bands: SizeBands) -> np.ndarray:
+    """How many of its parts that have elements a set can do without and still meet each similar set in another."""
+    out = np.zeros(len(size), np.int64)
+    band = bands.band(np.maximum(size, 1))
+    scrambled = _scrambled(sets)
+    full = np.full((2, len(size)), np.iinfo(np.int64).max)
+    for row, some, of in ((0, size > 0, band), (1, bands.reaches_next(np.maximum(size, 1)) & (size > 0), band + 1)):
+        some = some & (bands.parts[of] > 0)
+        if some.any():
+            parts = bands.parts[of[some]]
+            has = np.zeros(int(parts.sum()), np.int64)
+            has[_dealt(scrambled[np.repeat(some, size)], size[some], parts)] = 1
+            full[row, some] = np.add.reduceat(has, np.cumsum(parts) - parts)
+    least = full.min(axis=0)
+    given = least < np.iinfo(np.int64).max
+    out[given] = least[given] - size[given] * (bands.of - bands.least) // bands.least - 1
+    return np.maximum(out, 0)
+
+
+def _scrambled(sets: np.ndarray) -> np.ndarray:
+    return mixed(sets ^ np.uint64(0x165667B19E3779F9))
+
+
 def _part_keys(
     sets: np.ndarray, size: np.ndarray, band: np.ndarray, c1: np.ndarray, bands: SizeBands
 ) -> pa.RecordBatch:
     """A key for each part of each set: equal when the band, the part's number and its elements are.
 
-    A part is the exclusive or of its elements' hashes. Empty parts say little, so
-    only sets with more than ``spare`` of them give these too; any other set has
-    an equal part that isn't empty with each set that is similar.
+    A part is the exclusive or of its elements' hashes. Only thin sets give their
+    empty parts too, by which they meet each other.
     """
     parts = bands.parts[band]
     first = np.cumsum(parts) - parts
-    scrambled = mixed(sets ^ np.uint64(0x165667B19E3779F9))
-    part = ((scrambled >> np.uint64(32)) * np.repeat(parts, size).astype(np.uint64)) >> np.uint64(32)
+    scrambled = _scrambled(sets)
     parity = np.zeros(int(parts.sum()), np.uint64)
-    np.bitwise_xor.at(parity, np.repeat(first, size) + part.astype(np.int64), mixed(scrambled))
+    np.bitwise_xor.at(parity, _dealt(scrambled, size, parts), mixed(scrambled))
     full = parity != 0
-    empty = parts - np.add.reduceat(full.astype(np.int64), first)
-    given = full | np.repeat(empty > bands.spare[band], parts)
+    thin = bands.thin(np.add.reduceat(full.astype(np.int64), first), size)
+    given = full | np.repeat(thin, parts)
     number = np.arange(len(parity)) - np.repeat(first, parts)
     place = (np.repeat(band, parts) << 40 | number).astype(np.uint64)
     keys = mixed(parity + mixed(place))[given]
@@ -190,9 +225,11 @@ def similar_documents(docs: DataFrame, words: int = 4, least: int = 85, of: int
 
     Equal sets form a class first, so copies take no further part. Classes meet
     in a pigeonhole join on the parity of parts of their sets, per size band
-    (:class:`SizeBands`). In each group that meets, all are compared with one;
+    (:class:`SizeBands`). A set shares several parts with a similar one, and can
+    leave out as many of the commonest but one, so passages that many documents
+    have bring few together. In each group that meets, all are compared with one;
     then those that are still in different components with each other. Sizes and
-    parity sketches, whose distance is at most that of the sets, rule out most
+    parity sketches, whose distance is at most that of the sets, rule out more
     pairs; the others are verified on their sets. Only classes that are left to
     verify are read again.
 
@@ -200,22 +237,27 @@ def similar_documents(docs: DataFrame, words: int = 4, least: int = 85, of: int
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    features = written(rows.mapInArrow(_features(words), _FEATURES), "set-features")
+    features = written(rows.mapInArrow(_features(words, least, of), _FEATURES), "set-features")
     sketch = [F.first(f"s{k}").alias(f"s{k}") for k in range(SKETCH)]
     by_set = features.where("n_shingles > 0").groupBy("c1", "c2", "n_shingles")
-    classes = by_set.agg(F.min("doc_id").alias("id"), F.count("*").alias("members"), *sketch)
+    classes = by_set.agg(F.min("doc_id").alias("id"), F.count("*").alias("members"), F.min("spare").alias("spare"), *sketch)
     classes = written(classes.withColumnRenamed("n_shingles", "n"), "set-classes")
 
     largest = classes.agg(F.max("n")).first()[0] or 1
     bands = SizeBands(least, of, largest)
     keys = rows.select("text").mapInArrow(_signatures(words, bands), "key long, c1 long")
-    group = Window.partitionBy("key").orderBy("c1")
-    keys = keys.withColumns(
-        {"before": F.lag("c1").over(group), "after": F.lead("c1").over(group), "least": F.first("c1").over(group)}
-    )
-    # the members of each group but its first class, without the copies that other tasks gave
-    new = F.col("before") != F.col("c1")
-    meets = written(keys.where(new).select("key", F.col("least").alias("lead"), "c1"), "set-groups")
+    group = Window.partitionBy("key")
+    # copies that other tasks gave count once; a key of one class joins nothing
+    before = F.lag("c1").over(group.orderBy("c1"))
+    keys = keys.withColumn("new", (before.isNull() | (before != F.col("c1"))).cast("int"))
+    keys = keys.withColumn("classes", F.sum("new").over(group)).where("new = 1 AND classes > 1")
+    # each class leaves out the keys that most classes have, as many as it can spare: of the keys that two similar
+    # sets share, the rarest is left to both
+    spare = classes.groupBy("c1").agg(F.min("spare").alias("spare"))
+    common = Window.partitionBy("c1").orderBy(F.desc("classes"), "key")
+    keys = keys.join(spare, "c1").withColumn("rank", F.row_number().over(common)).where("rank > spare")
+    meets = keys.select("key", "c1", F.min("c1").over(group).alias("lead"))
+    meets = written(meets.where("lead <> c1"), "set-groups")
 
     linkable = classes.where("id IS NOT NULL")
     sketches = [f"s{k}" for k in range(SKETCH)]
