@@ -1,5 +1,11 @@
 """Helpers that several operators share."""
 
+import os
+import sysconfig
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +19,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table; only Spark's readers open its path."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -46,3 +53,21 @@ def word_count(text: Column) -> Column:
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, everything else as it is; NULL counts as empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends the library to Python workers that would not find it on the path they start with."""
+    root = Path(__file__).resolve().parents[2]
+    found = [os.getcwd(), sysconfig.get_paths()["purelib"], *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED or root in (Path(p).resolve() for p in found if p):
+        return
+    bundle = os.path.join(tempfile.mkdtemp(prefix="wattframe-"), "wattframe.zip")
+    with zipfile.ZipFile(bundle, "w") as out:
+        for file in sorted((root / "wattframe").rglob("*.py")):
+            out.write(file, file.relative_to(root))
+    spark.sparkContext.addPyFile(bundle)
+    _SHIPPED.add(application)
