@@ -25,9 +25,9 @@ def locate_spread(pairs: DataFrame, stations: DataFrame, spread_by: str) -> Data
 
     Rows of one station are spread over slices by a second key and the station
     row is repeated per slice, so a busy station is not one task's work. There
-    are as many slices as the session's shuffle partitions.
+    are four slices to a shuffle partition of the session, so that each gets some.
     """
-    number = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    number = 4 * int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slices = F.sequence(F.lit(0), F.lit(number - 1))
     sliced_stations = stations.withColumn("_slice", F.explode(slices))
     sliced_pairs = pairs.withColumn("_slice", F.pmod(F.hash(spread_by), F.lit(number)))
