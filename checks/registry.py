@@ -119,7 +119,7 @@ def _estimate_checked(spark: SparkSession, d: str) -> DataFrame:
     exact = _on_events(st.daily_users)(spark, d)
     guess = _on_events(st.daily_users_estimate, error=error)(spark, d).withColumnRenamed("unique_users", "estimate")
     near = F.abs(F.col("estimate") - F.col("unique_users")) <= F.col("unique_users") * (3 * error)
-    return exact.join(guess, "date").select("date", "unique_users", near.alias("estimate_is_near"))
+    return exact.join(guess, "date").select("date", "unique_users", near.cast("int").alias("estimate_is_near"))
 
 
 def _chart(spark: SparkSession, d: str) -> DataFrame:
