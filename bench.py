@@ -125,6 +125,8 @@ def main() -> None:
         spent[name] = _timed(lambda: _run(report()))
     queries = registry.queries()
     for name in (n for n in queries if n.startswith(("ingest", "loaded")) or n.endswith("_streamed")):
+        if name.endswith("_padded"):  # the same work as without padding
+            continue
         spent[name] = _timed(lambda: _run(queries[name](spark, SF_DIR)))
     print(
         json.dumps(
