@@ -227,11 +227,11 @@ def similar_documents(docs: DataFrame, words: int = 4, least: int = 85, of: int
     in a pigeonhole join on the parity of parts of their sets, per size band
     (:class:`SizeBands`). A set shares several parts with a similar one, and can
     leave out as many of the commonest but one, so passages that many documents
-    have bring few together. In each group that meets, all are compared with one;
-    then those that are still in different components with each other. Sizes and
-    parity sketches, whose distance is at most that of the sets, rule out more
-    pairs; the others are verified on their sets. Only classes that are left to
-    verify are read again.
+    have bring few together. In each group that meets, all are compared with one
+    and with a neighbour in a mixed order; then those that are still in different
+    components with each other. Sizes and parity sketches, whose distance is at
+    most that of the sets, rule out more pairs; the others are verified on their
+    sets. Only classes that are left to verify are read again.
 
     Returns doc_id, n_shingles and component_id.
     """
@@ -256,12 +256,16 @@ def similar_documents(docs: DataFrame, words: int = 4, least: int = 85, of: int
     spare = classes.groupBy("c1").agg(F.min("spare").alias("spare"))
     common = Window.partitionBy("c1").orderBy(F.desc("classes"), "key")
     keys = keys.join(spare, "c1").withColumn("rank", F.row_number().over(common)).where("rank > spare")
-    meets = keys.select("key", "c1", F.min("c1").over(group).alias("lead"))
+    mixed_up = group.orderBy(F.xxhash64("c1", "key"), "c1")
+    meets = keys.select("key", "c1", F.min("c1").over(group).alias("lead"), F.lag("c1").over(mixed_up).alias("beside"))
     meets = written(meets.where("lead <> c1"), "set-groups")
 
     linkable = classes.where("id IS NOT NULL")
     sketches = [f"s{k}" for k in range(SKETCH)]
-    pairs = meets.select("lead", F.col("c1").alias("other")).distinct()
+    # each member with the first, and with the one before it in an order that differs from group to group
+    pairs = meets.select("lead", F.col("c1").alias("other"))
+    beside = F.least("beside", "c1").alias("lead"), F.greatest("beside", "c1").alias("other")
+    pairs = pairs.union(meets.where("beside IS NOT NULL").select(*beside)).distinct()
     leads = linkable.select(F.col("c1").alias("lead"), F.struct("id", "n", *sketches).alias("x"))
     others = linkable.select(F.col("c1").alias("other"), F.struct("id", "n", *sketches).alias("y"))
     pairs = pairs.join(leads, "lead").join(others, "other").where(_can_link(least, of))
