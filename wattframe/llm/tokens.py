@@ -21,7 +21,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: Bytes of a part that the table can hold; longer parts are kept by a dictionary.
 PART_BYTES = 23
 #: Text bytes looked up at once.
-_AT_ONCE = 4_000_000
+_AT_ONCE = 1_000_000
 #: Parts that one call of the library takes as one text.
 _JOINED = 64
 #: Marks that may follow a word as a piece of their own. No apostrophe, which can start a suffix, and no angle
@@ -137,7 +137,7 @@ class PartTable:
 class Encoder:
     """Ids of texts from a tokenizer file of the tokenizers library; without added special tokens."""
 
-    def __init__(self, path: str, most_parts: int = 1_500_000) -> None:
+    def __init__(self, path: str, most_parts: int = 400_000) -> None:
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
