@@ -19,7 +19,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table; only Spark's readers open its path."""
-    ship(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -55,9 +55,20 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())
 
 
+#: Rows that go to a Python worker at once, unless the session says otherwise. Spark's own default, 10,000, holds
+#: too much text for small executors: the batch is kept outside the heap, and once more in Python.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _SHIPPED: set[str] = set()
 
 
+def prepare(spark: SparkSession) -> None:
+    """Makes the session fit for Python work on texts: smaller batches, and the library on all workers."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+    ship(spark)
+
+
 def ship(spark: SparkSession) -> None:
     """Sends the library to Python workers that would not find it on the path they start with."""
     root = Path(__file__).resolve().parents[2]
