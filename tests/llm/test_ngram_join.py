@@ -7,7 +7,8 @@ import pyarrow as pa
 import pytest
 
 from wattframe.llm.components import components
-from wattframe.llm.ngram_join import SizeBands, drop_similar, similar_documents
+from wattframe.llm import ngram_join
+from wattframe.llm.ngram_join import SizeBands, drop_similar, similar_documents, similarity
 from wattframe.llm.shingles import shingle_sets
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -84,6 +85,44 @@ def test_groups_are_those_of_brute_force(spark, near_rows, k, least):
     assert len(set(component.values())) < len(near_rows) - 100
 
 
+def brute_links(rows, k, least, of):
+    """The linked rows, as pairs of places."""
+    sets = [shingles(t, k) for _, t in rows]
+    pairs = ((n, m) for m in range(len(sets)) for n in range(m) if sets[n] and sets[m])
+    return {(n, m) for n, m in pairs if of * len(sets[n] & sets[m]) >= least * len(sets[n] | sets[m])}
+
+
+@pytest.mark.parametrize("block", [1024, 5])
+def test_all_links_are_found(spark, near_rows, monkeypatch, block):
+    """Also inside a component, however many classes of a key a task compares at once."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rng = random.Random(4)
+    base = [f"b{rng.randrange(500)}" for _ in range(150)]
+    rows = near_rows + [(10_000 + k, " ".join(edited(rng, base, 1 + k // 50))) for k in range(60)]
+    rows += [(10_000 + k, rows[len(near_rows) + k][1].upper()) for k in range(3)]
+    want = brute_links(rows, 4, 85, 100)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    count = defaultdict(list)
+    for n, (i, _) in enumerate(rows):
+        count[i].append(sum(n in pair for pair in want))
+    got = defaultdict(list)
+    for r in similar_documents(docs).collect():
+        got[r.doc_id].append(r.n_links)
+    assert {i: sorted(c) for i, c in got.items()} == {i: sorted(c) for i, c in count.items()}
+    assert len(want) > 1000
+
+    members, links = similarity(docs)
+    of = defaultdict(list)
+    for r in members.collect():
+        if r.set is not None:
+            of[r.set].append(r.doc_id)
+    links = links.collect()
+    assert all((r.a_id, r.b_id, r.a_members, r.b_members) == (min(of[r.a]), min(of[r.b]), len(of[r.a]), len(of[r.b])) for r in links)
+    told = [tuple(sorted((i, j))) for r in links for i in of[r.a] for j in of[r.b]]
+    told += [tuple(sorted((c[n], c[m]))) for c in of.values() for m in range(len(c)) for n in range(m)]
+    assert sorted(told) == sorted(tuple(sorted((rows[n][0], rows[m][0]))) for n, m in want)
+
+
 def test_odd_texts(spark, odd_docs, odd_rows):
     got = similar_documents(odd_docs).collect()
     assert len(got) == len(odd_rows)

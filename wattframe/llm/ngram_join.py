@@ -1,6 +1,7 @@
 """Similar documents by a parity-sketch join of their word shingles."""
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,14 @@ _PARTS = 1.2
 _REMEMBERED = 1_000_000
 #: Ids (8 bytes) that are sent to all tasks instead of shuffling texts to them.
 MOST_SENT = 1_000_000
+#: Classes of a key that a task compares with as many others.
+BLOCK = 1024
+#: First keys of a class that come along with each of its keys, to tell at which of them a pair was met.
+FIRST_KEYS = 16
+#: Pairs of a cell from which their sets are compared all at once, and elements that are compared at a time.
+_MANY_PAIRS, _COLUMNS = 64, 4096
+#: Classes of a cell up to which those of a batch are compared all at once; else as many rows of pairs at a time.
+_FEW, _PAIR_ROWS = 32, 256
 
 _FEATURES = "doc_id long, n_shingles long, c1 long, c2 long, spare long, " + ", ".join(f"s{k} long" for k in range(SKETCH))
 
@@ -176,28 +185,158 @@ def _part_keys(
 def _sets(words: int):
     def find(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
-            done = 0
-            for sets, at in shingle_sets(frame.column(1), words):
+            for sets, at in shingle_sets(frame.column(0), words):
                 data = sets.astype("<u8").tobytes()
                 bounds = (at * 8).tolist()
                 binary = [data[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
-                names = frame.column(0).slice(done, len(binary))
-                yield pa.RecordBatch.from_arrays([names, pa.array(binary, pa.binary())], ["id", "elements"])
-                done += len(binary)
+                c1, _ = _class_hashes(sets, at)
+                yield pa.RecordBatch.from_arrays([pa.array(c1.view(np.int64)), pa.array(binary, pa.binary())], ["c1", "elements"])
+
+    return find
+
+
+def _common(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many elements pairs of sets, given by their places, have in common."""
+    if len(a) < _MANY_PAIRS:
+        pairs = ((sets[i], sets[j]) for i, j in zip(a.tolist(), b.tolist(), strict=True))
+        return np.array([len(x) + len(y) - len(np.union1d(x, y)) for x, y in pairs], np.int64)
+    of = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, element, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # elements of one set only are in no other
+    number = np.cumsum(times > 1) - 1
+    shared = times[element] > 1
+    if not shared.any():
+        return np.zeros(len(a), np.int64)
+    of, element = of[shared], number[element[shared]]
+    order = np.argsort(element, kind="stable")
+    of, element = of[order], element[order]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for first in range(0, int(number[-1]) + 1, _COLUMNS):
+        low, high = np.searchsorted(element, [first, first + _COLUMNS])
+        has = np.zeros((len(sets), _COLUMNS), np.float32)
+        has[of[low:high], element[low:high] - first] = 1
+        both += has @ has.T
+    return both[a, b].astype(np.int64)
+
+
+_MET = "key long, p long, q long, a long, b long"
+
+
+def _met(least: int, of: int):
+    """The pairs of each cell that sizes and sketches allow, unless they share one of the first keys before this one."""
+
+    def allowed(n: np.ndarray, sketch: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        both, x, y = n[i] + n[j], n[i], n[j]
+        fits = (x * of >= y * least) & (y * of >= x * least)
+        apart = sum(np.bitwise_count(sketch[i, k] ^ sketch[j, k]).astype(np.int64) for k in range(SKETCH))
+        return fits & (apart * (of + least) <= both * (of - least))
+
+    def pairs(rows: pa.Table) -> pa.RecordBatch:
+        key, p, q, block, c1, n = (rows.column(k).to_numpy() for k in range(6))
+        sketch = np.stack([rows.column(6 + k).to_numpy().view(np.uint64) for k in range(SKETCH)], axis=1)
+        before = rows.column(6 + SKETCH).combine_chunks()
+        keys, at = before.values.to_numpy(), before.offsets.to_numpy()
+        earlier = lambda k: keys[at[k] : at[k + 1]]
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])
+        first = np.flatnonzero(new)
+        size = np.diff(np.append(first, len(key)))
+        cell = np.cumsum(new) - 1
+        few = (size <= _FEW)[cell]
+        found = []
+        for d in range(1, min(_FEW, int(size.max(initial=1)))):
+            i = np.flatnonzero((cell[d:] == cell[:-d]) & few[d:])
+            i = i[(p[i] == q[i]) | (block[i] != block[i + d])]
+            i = i[allowed(n, sketch, i, i + d)]
+            own = [k for k in i.tolist() if not len(np.intersect1d(earlier(k), earlier(k + d), assume_unique=True))]
+            found.append((np.array(own, np.int64), np.array(own, np.int64) + d))
+        for start, m in zip(first[size > _FEW].tolist(), size[size > _FEW].tolist(), strict=True):
+            sets = [earlier(k) for k in range(start, start + m)]
+            for low in range(0, m, _PAIR_ROWS):
+                i, j = np.meshgrid(np.arange(low, min(m, low + _PAIR_ROWS)), np.arange(low, m), indexing="ij")
+                i, j = i[i < j], j[i < j]
+                if p[start] != q[start]:
+                    across = block[start + i] != block[start + j]
+                    i, j = i[across], j[across]
+                ok = allowed(n, sketch, start + i, start + j)
+                i, j = i[ok], j[ok]
+                ok = _common(sets, i, j) == 0
+                found.append((start + i[ok], start + j[ok]))
+        i, j = (np.concatenate([np.zeros(0, np.int64), *(f[k] for f in found)]) for k in (0, 1))
+        columns = [key[i], p[i], q[i], np.minimum(c1[i], c1[j]), np.maximum(c1[i], c1[j])]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "p", "q", "a", "b"])
+
+    def find(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for frame in frames:
+            if not len(frame):
+                continue
+            # the last cell may go on in the next batch
+            key, p, q = (frame.column(k).to_numpy() for k in range(3))
+            other = np.flatnonzero((key != key[-1]) | (p != p[-1]) | (q != q[-1]))
+            if held and (len(other) or [held[-1].column(k)[-1] for k in range(3)] != [frame.column(k)[-1] for k in range(3)]):
+                cut = int(other[-1]) + 1 if len(other) else 0
+                yield pairs(pa.Table.from_batches([*held, frame.slice(0, cut)]))
+                held = [frame.slice(cut)]
+            else:
+                held.append(frame)
+        if held:
+            yield pairs(pa.Table.from_batches(held))
 
     return find
 
 
+class _Cell:
+    """Sets and pairs of classes that were sent to one place."""
+
+    def __init__(self, name: tuple) -> None:
+        self.name = name
+        self.place: dict[int, int] = {}
+        self.sets: list[np.ndarray] = []
+        self.pairs: list[tuple[int, int]] = []
+
+    def links(self, least: int, of: int) -> Iterator[tuple[int, int, bool]]:
+        """The similar pairs, and whether each leads to classes that those before it don't."""
+        if not self.pairs:
+            return
+        a, b = np.array([[self.place[x], self.place[y]] for x, y in self.pairs], np.int64).T
+        size = np.array([len(x) for x in self.sets], np.int64)
+        common = _common(self.sets, a, b)
+        up = list(range(len(self.sets)))
+        for k in np.flatnonzero(of * common >= least * (size[a] + size[b] - common)).tolist():
+            i, j = int(a[k]), int(b[k])
+            while up[i] != i:
+                up[i] = i = up[up[i]]
+            while up[j] != j:
+                up[j] = j = up[up[j]]
+            up[j] = i
+            yield (*self.pairs[k], i != j)
+
+
 def _verified(least: int, of: int):
     def check(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, links = _Cell(()), []
+
+        def batch() -> pa.RecordBatch:
+            columns = zip(*links, strict=True) if links else ((), (), ())
+            kinds = (pa.int64(), pa.int64(), pa.bool_())
+            out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["a", "b", "tree"])
+            links.clear()
+            return out
+
         for frame in frames:
-            a, b, one, other = frame.columns
-            kept = []
-            for x, y in zip(one, other, strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), "<u8") for v in (x, y))
-                common = len(x) + len(y) - len(np.union1d(x, y))
-                kept.append(of * common >= least * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(kept, pa.bool_()))
+            for *name, a, b, elements in zip(*(c.to_pylist() for c in frame.columns), strict=True):
+                if (name := tuple(name)) != cell.name:
+                    links += cell.links(least, of)
+                    cell = _Cell(name)
+                if elements is None:
+                    cell.pairs.append((a, b))
+                else:
+                    cell.place[a] = len(cell.sets)
+                    cell.sets.append(np.frombuffer(elements, "<u8"))
+            yield batch()
+        links += cell.links(least, of)
+        yield batch()
 
     return check
 
@@ -211,31 +350,21 @@ def _can_link(least: int, of: int) -> Column:
     return fits & (apart * (of + least) <= both * (of - least))
 
 
-def similar_documents(docs: DataFrame, words: int = 4, least: int = 85, of: int = 100) -> DataFrame:
-    """The group of similar documents that each row of ``docs`` (doc_id, text) is in.
+class _Classes(NamedTuple):
+    """Rows with equal sets as one, and the keys by which classes meet.
 
-    A document's set are its distinct shingles of ``words`` words (anything but
-    blanks, A-Z in lower case), the whole text if it has fewer; NULL counts as
-    empty. Documents are linked if their sets have ``of`` * common >= ``least`` *
-    all elements; empty sets have no links. component_id is the smallest doc_id
-    that links lead to. Rows without doc_id are grouped with equal sets only, and
-    have no component_id if none of these has a doc_id. Rows that share a doc_id
-    share its links. Other columns are ignored; an empty table gives an
-    empty result. Elements are compared by 64-bit hashes.
+    ``features`` has a row for each document, ``classes`` one for each set that
+    isn't empty, with its smallest doc_id (id). A class is named by its c1.
+    ``keys`` has the keys that a class is left with, and how many have them.
+    """
 
-    Equal sets form a class first, so copies take no further part. Classes meet
-    in a pigeonhole join on the parity of parts of their sets, per size band
-    (:class:`SizeBands`). A set shares several parts with a similar one, and can
-    leave out as many of the commonest but one, so passages that many documents
-    have bring few together. In each group that meets, all are compared with one
-    and with a neighbour in a mixed order; then those that are still in different
-    components with each other. Sizes and parity sketches, whose distance is at
-    most that of the sets, rule out more pairs; the others are verified on their
-    sets. Only classes that are left to verify are read again.
+    rows: DataFrame
+    features: DataFrame
+    classes: DataFrame
+    keys: DataFrame
 
-    Returns doc_id, n_shingles and component_id.
-    """
-    spark = docs.sparkSession
+
+def _classes(docs: DataFrame, words: int, least: int, of: int) -> _Classes:
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     features = written(rows.mapInArrow(_features(words, least, of), _FEATURES), "set-features")
     sketch = [F.first(f"s{k}").alias(f"s{k}") for k in range(SKETCH)]
@@ -256,54 +385,167 @@ def similar_documents(docs: DataFrame, words: int = 4, least: int = 85, of: int
     spare = classes.groupBy("c1").agg(F.min("spare").alias("spare"))
     common = Window.partitionBy("c1").orderBy(F.desc("classes"), "key")
     keys = keys.join(spare, "c1").withColumn("rank", F.row_number().over(common)).where("rank > spare")
+    return _Classes(rows, features, classes, keys.select("key", "c1"))
+
+
+def _sketched(name: str) -> Column:
+    return F.struct("n", *(f"s{k}" for k in range(SKETCH))).alias(name)
+
+
+def _components(found: _Classes, words: int, least: int, of: int) -> DataFrame:
+    """The component (node, component; names of classes) of each class that has links, without looking for all links.
+
+    In each group that meets, all are compared with one and with a neighbour in
+    a mixed order; then those that are still in different components with each
+    other.
+    """
+    rows, _, classes, keys = found
+    group = Window.partitionBy("key")
     mixed_up = group.orderBy(F.xxhash64("c1", "key"), "c1")
     meets = keys.select("key", "c1", F.min("c1").over(group).alias("lead"), F.lag("c1").over(mixed_up).alias("beside"))
     meets = written(meets.where("lead <> c1"), "set-groups")
 
-    linkable = classes.where("id IS NOT NULL")
-    sketches = [f"s{k}" for k in range(SKETCH)]
     # each member with the first, and with the one before it in an order that differs from group to group
     pairs = meets.select("lead", F.col("c1").alias("other"))
     beside = F.least("beside", "c1").alias("lead"), F.greatest("beside", "c1").alias("other")
     pairs = pairs.union(meets.where("beside IS NOT NULL").select(*beside)).distinct()
-    leads = linkable.select(F.col("c1").alias("lead"), F.struct("id", "n", *sketches).alias("x"))
-    others = linkable.select(F.col("c1").alias("other"), F.struct("id", "n", *sketches).alias("y"))
+    leads = classes.select(F.col("c1").alias("lead"), _sketched("x"))
+    others = classes.select(F.col("c1").alias("other"), _sketched("y"))
     pairs = pairs.join(leads, "lead").join(others, "other").where(_can_link(least, of))
-    links = _verify(rows, pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), words, least, of)
-    found = components(links)
+    links = _verify(found, pairs.select(F.col("lead").alias("a"), F.col("other").alias("b"), *_cell_of("lead")), words, least, of)
+    links = links.select("a", "b")
+    component = components(links)
 
     # groups whose members are not all in one component yet
-    member = linkable.join(found, F.col("id") == F.col("node"), "left")
-    member = member.select("c1", F.coalesce("component", "id").alias("component"), "id", "n", *sketches)
+    sketches = [f"s{k}" for k in range(SKETCH)]
+    member = classes.join(component, F.col("c1") == F.col("node"), "left")
+    member = member.select("c1", F.coalesce("component", "c1").alias("component"), "n", *sketches)
     every = meets.select("key", "c1").union(meets.select("key", "lead").distinct())
     every = every.join(member.select("c1", "component"), "c1")
     open_ = every.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_ = open_.where("low <> high").select("key")
     open_ = written(every.select("key", "c1").join(open_, "key").join(member, "c1"), "open-groups")
-    x, y = (open_.select("key", F.struct("component", "id", "n", *sketches).alias(n)) for n in "xy")
+    x, y = (open_.select("key", F.struct("component", "c1", "n", *sketches).alias(n)) for n in "xy")
     apart = F.col("x.component") < F.col("y.component")
     pairs = x.withColumnRenamed("key", "k").join(y, (F.col("k") == F.col("key")) & apart & _can_link(least, of))
-    pairs = written(pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "open-pairs")
+    pairs = pairs.select(F.col("x.c1").alias("a"), F.col("y.c1").alias("b")).distinct()
+    pairs = written(pairs.select("a", "b", *_cell_of("a")), "open-pairs")
     if not pairs.isEmpty():
-        links = written(links.unionByName(_verify(rows, pairs, words, least, of)), "links")
-        found = components(links)
+        links = written(links.unionByName(_verify(found, pairs, words, least, of).select("a", "b")), "links")
+        component = components(links)
+    return component
+
+
+def _all_links(found: _Classes, words: int, least: int, of: int) -> DataFrame:
+    """All links between classes (a < b), and which of them suffice to lead to all that are linked (tree).
+
+    All classes of a key are compared, in blocks if there are many; a pair that
+    shares one of its first keys is not taken again at later ones.
+    """
+    group, own = Window.partitionBy("key"), Window.partitionBy("c1").orderBy("key")
+    keys = found.keys.withColumn("left", F.count("*").over(group)).where(F.col("left") > 1)
+    early = F.when(F.row_number().over(own) <= FIRST_KEYS, F.col("key"))
+    keys = keys.withColumn("early", early)
+    keys = keys.withColumn("before", F.collect_list("early").over(own.rowsBetween(Window.unboundedPreceding, -1))).drop("early")
+    blocks = F.ceil(F.col("left") / BLOCK)
+    keys = keys.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("c1"), "blocks"))
+    sketches = [f"s{k}" for k in range(SKETCH)]
+    keys = keys.join(found.classes.select("c1", "n", *sketches), "c1")
+    # the cell of each two blocks
+    keys = keys.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    p, q = F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q")
+    keys = keys.select("key", p, q, "block", "c1", "n", *sketches, "before")
+    keys = keys.repartition(shuffle_partitions(keys.sparkSession), "key", "p", "q").sortWithinPartitions("key", "p", "q")
+    pairs = keys.mapInArrow(_met(least, of), _MET).groupBy("a", "b").agg(F.min(F.struct("key", "p", "q")).alias("cell"))
+    return _verify(found, pairs.select("a", "b", "cell.*"), words, least, of)
+
+
+class Similarity(NamedTuple):
+    """Links of documents, by classes of documents with equal sets.
+
+    ``members`` (doc_id, n_shingles, set): a row for each document, with the
+    class it is in (NULL for empty sets). ``links`` (a, b, a_id, b_id, a_members,
+    b_members): a row for each two linked classes, with their smallest doc_ids
+    and how many documents they have. Documents of one class are all linked.
+    """
+
+    members: DataFrame
+    links: DataFrame
+
+
+def similarity(docs: DataFrame, words: int = 4, least: int = 85, of: int = 100) -> Similarity:
+    """All links between the documents of ``docs`` (doc_id, text); see :func:`similar_documents`."""
+    found = _classes(docs, words, least, of)
+    links = _all_links(found, words, least, of)
+    for side in "ab":
+        names = F.col("c1").alias(side), F.col("id").alias(f"{side}_id"), F.col("members").alias(f"{side}_members")
+        links = links.join(found.classes.select(*names), side)
+    members = found.features.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("c1")).alias("set"))
+    return Similarity(members, links.select("a", "b", "a_id", "b_id", "a_members", "b_members"))
+
+
+def similar_documents(docs: DataFrame, words: int = 4, least: int = 85, of: int = 100) -> DataFrame:
+    """The group of similar documents that each row of ``docs`` (doc_id, text) is in, and its number of links.
 
-    ids = classes.join(found, F.col("id") == F.col("node"), "left")
-    ids = written(ids.select("c1", "c2", "members", F.coalesce("component", "id").alias("component_id")), "set-ids")
+    A document's set are its distinct shingles of ``words`` words (anything but
+    blanks, A-Z in lower case), the whole text if it has fewer; NULL counts as
+    empty. Documents are linked if their sets have ``of`` * common >= ``least`` *
+    all elements; empty sets have no links. component_id is the smallest doc_id
+    that links lead to, NULL if none of these rows has one. n_links counts the
+    other rows that a row is linked to; rows that share a doc_id, or have none,
+    are documents of their own. Other columns are ignored; an empty table gives
+    an empty result. Elements are compared by 64-bit hashes.
+
+    Equal sets form a class first, so copies take no further part. Classes meet
+    in a pigeonhole join on the parity of parts of their sets, per size band
+    (:class:`SizeBands`). A set shares several parts with a similar one, and can
+    leave out as many of the commonest but one, so passages that many documents
+    have bring few together. Sizes and parity sketches, whose distance is at
+    most that of the sets, rule out pairs that meet; all others are verified on
+    their sets. Only classes that are left to verify are read again.
+
+    Returns doc_id, n_shingles, component_id and n_links.
+    """
+    found = _classes(docs, words, least, of)
+    links = _all_links(found, words, least, of)
+    component = components(links.where("tree").select("a", "b"))
+    both = links.select("a", "b").union(links.select("b", "a"))
+    beyond = both.join(found.classes.select(F.col("c1").alias("b"), "members"), "b")
+    beyond = beyond.groupBy(F.col("a").alias("c1")).agg(F.sum("members").alias("beyond"))
+    classes = found.classes.select("c1", "c2", "members", "id").join(beyond, "c1", "left")
+    classes = classes.withColumn("n_links", F.col("members") - 1 + F.coalesce("beyond", F.lit(0)))
+    return _by_row(found, _with_component(classes, component), ("component_id", "n_links"))
+
+
+def _with_component(classes: DataFrame, component: DataFrame) -> DataFrame:
+    """The classes (c1, id, ...) with the smallest id of their component, component_id."""
+    classes = classes.join(component, F.col("c1") == F.col("node"), "left")
+    classes = written(classes.withColumn("component", F.coalesce("component", "c1")).drop("node"), "set-components")
+    least = classes.groupBy("component").agg(F.min("id").alias("component_id"))
+    return classes.join(least, "component")
+
+
+def _by_row(found: _Classes, classes: DataFrame, values: tuple[str, ...]) -> DataFrame:
+    """doc_id, n_shingles and what is known of its class for each document; of empty sets the doc_id and 0."""
+    features = found.features
+    ids = written(classes.select("c1", "c2", "members", *values), "set-ids")
     # classes with many members go to all tasks; there are at most four to a partition
-    most = max(1000, features.count() // (4 * shuffle_partitions(spark)))
+    most = max(1000, features.count() // (4 * shuffle_partitions(features.sparkSession)))
     many = F.broadcast(ids.where(F.col("members") > most).drop("members"))
     few = ids.where(F.col("members") <= most).drop("members")
-    full, out = features.where("n_shingles > 0"), ("doc_id", "n_shingles", "component_id")
+    full, out = features.where("n_shingles > 0"), ("doc_id", "n_shingles", *values)
     result = full.join(many, ["c1", "c2"]).select(*out)
     rest = full.join(many, ["c1", "c2"], "left_anti").join(few, ["c1", "c2"]).select(*out)
-    none = features.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    alone = [F.col("doc_id").alias(v) if v == "component_id" else F.lit(0).cast("long").alias(v) for v in values]
+    none = features.where("n_shingles = 0").select("doc_id", "n_shingles", *alone)
     return result.unionByName(rest).unionByName(none)
 
 
 def drop_similar(docs: DataFrame, words: int = 5, least: int = 80, of: int = 100) -> DataFrame:
     """The rows of ``docs``, with all their columns, without those of a group of similar documents but its smallest doc_id."""
-    groups = similar_documents(docs, words, least, of)
+    found = _classes(docs, words, least, of)
+    component = _components(found, words, least, of)
+    groups = _by_row(found, _with_component(found.classes.select("c1", "c2", "members", "id"), component), ("component_id",))
     gone = written(groups.where("doc_id <> component_id").select("doc_id").distinct(), "similar")
     return docs.join(_few(gone), "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
@@ -313,13 +555,31 @@ def _few(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= MOST_SENT else ids
 
 
-def _verify(rows: DataFrame, pairs: DataFrame, words: int, least: int, of: int) -> DataFrame:
-    """The pairs (a, b) of doc_ids whose documents are similar."""
+def _cell_of(name: str) -> tuple[Column, Column, Column]:
+    """Cells by a class: the pairs of a few classes, of which this is one, are verified in one place."""
+    return F.col(name).alias("key"), F.lit(0).cast("long").alias("p"), F.lit(0).cast("long").alias("q")
+
+
+def _verify(found: _Classes, pairs: DataFrame, words: int, least: int, of: int) -> DataFrame:
+    """The pairs (a, b; classes) whose sets are similar, of those given with a cell (key, p, q) to verify them in.
+
+    A set goes once to each cell that has a pair with it. Returns a, b and tree,
+    the pairs that suffice to link what the pairs of a cell link.
+    """
+    cell = ["key", "p", "q"]
     pairs = written(pairs, "candidates")
-    wanted = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "wanted")
-    texts = rows.join(_few(wanted), "doc_id", "left_semi")
-    # rows that share a doc_id have a set each; a pair is verified on any of them
-    sets = written(texts.mapInArrow(_sets(words), "id long, elements binary"), "sets")
-    one, other = (sets.select(F.col("id").alias(n), F.col("elements").alias(f"of_{n}")) for n in ("a", "b"))
-    both = pairs.join(one, "a").join(other, "b").select("a", "b", "of_a", "of_b")
-    return written(both.mapInArrow(_verified(least, of), "a long, b long"), "verified")
+    ends = pairs.select(*cell, F.col("a").alias("c1")).union(pairs.select(*cell, "b")).distinct()
+    wanted = found.classes.join(ends.select("c1").distinct(), "c1", "left_semi").select("c1", "id")
+    wanted = written(wanted, "wanted")
+    ids = wanted.where("id IS NOT NULL").select(F.col("id").alias("doc_id")).distinct()
+    texts = found.rows.join(_few(ids), "doc_id", "left_semi").select("text")
+    if not wanted.where("id IS NULL").isEmpty():
+        texts = texts.union(found.rows.where("doc_id IS NULL").select("text"))
+    # rows that share a doc_id have a set each, and rows without one are all read
+    sets = texts.mapInArrow(_sets(words), "c1 long, elements binary").join(_few(wanted.select("c1")), "c1", "left_semi")
+    sets = written(sets.dropDuplicates(["c1"]), "sets")
+    sent = ends.join(sets, "c1").select(*cell, F.col("c1").alias("a"), F.lit(None).cast("long").alias("b"), "elements")
+    sent = sent.unionByName(pairs.select(*cell, "a", "b", F.lit(None).cast("binary").alias("elements")))
+    sent = sent.repartition(shuffle_partitions(pairs.sparkSession), *cell)
+    sent = sent.sortWithinPartitions(*cell, F.col("elements").isNull())
+    return written(sent.mapInArrow(_verified(least, of), "a long, b long, tree boolean"), "verified")
