@@ -43,6 +43,19 @@ def test_likeness_follows_the_share_in_common():
     assert likeness(fingerprint(""), fingerprint(None)) == 1 and likeness(fingerprint(""), fingerprint("a")) == 0
 
 
+def test_likeness_of_short_texts():
+    rng = random.Random(6)
+    for size in [*range(4, 31), 45, 70, 99, 130]:
+        text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(size))
+        other = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(size))
+        edited = text[: size - size // 4] + other[: size // 4]
+        assert likeness(fingerprint(text), fingerprint(edited)) > 0.35, size
+        assert likeness(fingerprint(text), fingerprint(other)) < 0.1
+    # either text is short
+    assert likeness(fingerprint(text[:90]), fingerprint(text[:110])) > 0.7
+    assert likeness(fingerprint("Breaking news today"), fingerprint("Breaking news today!")) > 0.8
+
+
 def want(rows):
     rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     out = []

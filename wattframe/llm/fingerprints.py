@@ -17,6 +17,8 @@ BASES = (1000003919, 1299709951)
 #: Code points of the spans that fingerprints compare, and spans that a fingerprint keeps.
 SPAN = 24
 KEPT = 64
+#: Code points of the spans of short texts; texts below which these are compared, and below which they are kept.
+SHORT_SPAN, SHORT, SHORT_KEPT = 4, 100, 400
 _BUCKETS_PER_PARTITION = 4
 
 
@@ -124,6 +126,7 @@ class _Text:
         self.hashes = PrefixHashes(codes)
         self.values = _mixed(self.hashes.windows(0, SPAN)) if len(codes) >= SPAN else None
         self.sketch = self._sketch()
+        self.short = self._short()
 
     def _sketch(self) -> np.ndarray:
         if self.values is not None:
@@ -131,6 +134,16 @@ class _Text:
         size = self.hashes.size
         return _mixed(self.hashes.spans(np.array([0]), np.array([size]))) if size else np.zeros(0, np.uint64)
 
+    def _short(self) -> np.ndarray | None:
+        """The smallest hashes of short spans, those that begin before the text or end behind it included."""
+        size = self.hashes.size
+        if size >= SHORT_KEPT:
+            return None
+        ends = np.arange(1, min(SHORT_SPAN, size + 1))
+        begin = self.hashes.spans(np.zeros_like(ends), ends) ^ np.uint64(1 << 62)
+        end = self.hashes.spans(size - ends, np.full_like(ends, size)) ^ np.uint64(1 << 63)
+        return _smallest(_mixed(np.concatenate([self.hashes.windows(0, SHORT_SPAN), begin, end])))
+
     def edited(self, following: "_Text") -> "_Text":
         """The last quarter replaced by as much of the beginning of the following text."""
         size = self.hashes.size
@@ -146,12 +159,17 @@ class _Text:
                 [self.values[:same] if same else np.zeros(0, np.uint64), _mixed(new.hashes.windows(same, SPAN))]
             )
         new.sketch = new._sketch()
+        new.short = new._short()
         return new
 
     def fingerprint(self) -> str:
         size = self.hashes.size
         kept = "".join(f"{v:08x}" for v in self.sketch.tolist())
-        return f"{size:x}.{self.hashes.span(0, size):016x}.{kept}"
+        short = "" if self.short is None else "." + "".join(f"{v:08x}" for v in self.short.tolist())
+        return f"{size:x}.{self.hashes.span(0, size):016x}.{kept}{short}"
+
+    def likeness(self, other: "_Text") -> float:
+        return _likeness(self.hashes.size, self.sketch, self.short, other.hashes.size, other.sketch, other.short)
 
 
 def fingerprint(text: str | None) -> str:
@@ -163,8 +181,22 @@ def likeness(one: str, other: str) -> float:
     """How alike two texts are by their fingerprints: an estimate of the share of spans that they have in common."""
     if one == other:
         return 1.0
-    sketches = [np.array([int(f[i : i + 8], 16) for i in range(0, len(f), 8)], np.uint64) for f in (one.split(".")[2], other.split(".")[2])]
-    return _alike(*sketches)
+    return _likeness(*_read(one), *_read(other))
+
+
+def _read(kept: str) -> tuple[int, np.ndarray, np.ndarray | None]:
+    size, _, *sketches = kept.split(".")
+    values = [np.array([int(f[i : i + 8], 16) for i in range(0, len(f), 8)], np.uint64) for f in sketches]
+    return int(size, 16), values[0], values[1] if len(values) > 1 else None
+
+
+def _likeness(
+    size: int, sketch: np.ndarray, short: np.ndarray | None, other_size: int, other: np.ndarray, other_short: np.ndarray | None
+) -> float:
+    """By short spans if either text is short; one that is too long to have these is no near copy of a short one."""
+    if min(size, other_size) < SHORT and short is not None and other_short is not None:
+        return _alike(short, other_short)
+    return _alike(sketch, other)
 
 
 def _alike(one: np.ndarray, other: np.ndarray) -> float:
@@ -198,7 +230,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     Fingerprints are made from the modular hashes of all prefixes, which give
     the hash of any span: kept are the size, the hash of the whole, and the
-    smallest hashes of all spans of ``SPAN`` code points. same_as_edited and
+    smallest hashes of all spans of ``SPAN`` code points; of texts under
+    ``SHORT_KEPT`` also those of spans of ``SHORT_SPAN``, by which texts are
+    compared if either is under ``SHORT``. same_as_edited and
     same_as_next are the code points that the texts have in common from their
     beginning, by binary search over span hashes.
 
@@ -258,8 +292,8 @@ def _row(doc_id: int | None, one: _Text, following: _Text) -> tuple:
         hashlib.sha256(edited.text.encode()).hexdigest(),
         one.fingerprint(),
         edited.fingerprint(),
-        _alike(one.sketch, edited.sketch),
-        _alike(one.sketch, following.sketch),
+        one.likeness(edited),
+        one.likeness(following),
         one.hashes.common_extension(0, edited.hashes, 0),
         one.hashes.common_extension(0, following.hashes, 0),
     )
