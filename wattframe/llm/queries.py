@@ -4,14 +4,19 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, written
+from .conversation_repair import damage, repair
+from .conversation_sql import REPAIR, TRIE
 from .exact_dedup import exact_groups
 from .fingerprints import fingerprints
 from .html_text import main_texts
+from .line_dedup import dedup_lines
 from .mixing import mix, training_order
 from .ngram_join import similar_documents
 from .packing import pack_documents
+from .prefix_trie import in_order, prefix_trie, with_shared_beginnings
 from .quality import classify
 from .token_counts import token_counts
 from .token_files import read_back, write_ids
@@ -68,6 +73,23 @@ def _mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_order(mix(table(spark, sf_dir, "documents"), CURRICULUM)).drop("source", "nth", "start")
 
 
+def _line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(table(spark, sf_dir, "documents"), min_chars=20, min_docs=3)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def _conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = damage(table(spark, sf_dir, "conversations"))
+    lines = F.transform("repaired", lambda turn: F.concat(turn["role"], F.lit(":"), turn["text"]))
+    repaired = repair(damaged, dropped=F.col("dropped"))
+    return repaired.withColumn("repaired_sha256", F.sha2(F.array_join(lines, "\n"), 256)).drop("repaired")
+
+
+def _prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = written(in_order(table(spark, sf_dir, "conversations")), "placed-turns")
+    return prefix_trie(with_shared_beginnings(placed))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_prefix_fingerprints": _fingerprints,
@@ -80,6 +102,9 @@ def queries() -> dict[str, Query]:
         "op8_best_fit_packing": _packing,
         "op9_html_text": _main_texts,
         "op10_mix_sources": _mix,
+        "op11_line_dedup": _line_dedup,
+        "op12_conversation_repair": _conversation_repair,
+        "op13_prefix_trie": _prefix_trie,
     }
 
 
@@ -134,5 +159,26 @@ FROM p
 """
 
 
+_LINE_DEDUP = """
+WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM s),
+k AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM l),
+c AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+d AS (SELECT k.*, last IS NOT NULL AND last <> doc_id AS gone FROM k LEFT JOIN c USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM d GROUP BY doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": _EXACT_DEDUP, "op10_mix_sources": _MIX}
+    return {
+        "op5_exact_dedup": _EXACT_DEDUP,
+        "op10_mix_sources": _MIX,
+        "op11_line_dedup": _LINE_DEDUP,
+        "op12_conversation_repair": REPAIR,
+        "op13_prefix_trie": TRIE,
+    }
