@@ -5,7 +5,7 @@ all rounding is integer arithmetic, half away from zero on amounts that are
 never negative.
 """
 
-from .registry import CONCELHO, DEAR, DENSE, DISTRITO, MODEL, POINT, STATION, TOPIC, USER
+from .registry import CONCELHO, DEAR, DENSE, DISTRITO, MODEL, OF_DAYS, POINT, STATION, TOPIC, USER
 
 _SES = """ses AS (
   SELECT l_orderkey*10 + l_linenumber AS id, concat('U', o_custkey) AS user_id, o_orderpriority AS vehicle_model,
@@ -285,7 +285,7 @@ FROM ses JOIN sta ON charging_station_id = station_id WHERE distrito IS NOT NULL
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    found = {
         "daily_trends": _ses(f"SELECT day AS date, {VOLUME}, {USERS}, {STATIONS_USED} FROM ses GROUP BY ALL"),
         "weekly_trends": _ses(
             f"""SELECT {YEAR} AS year, {WEEK} AS week_number, {WEEK_LABEL} AS year_week, min(day) AS week_start,
@@ -578,3 +578,5 @@ FROM lines WHERE reject_reason IS NOT NULL GROUP BY ALL""",
 FROM ses WHERE vehicle_model = '{MODEL}' AND cost_c >= {DEAR * 100} GROUP BY ALL"""
         ),
     }
+    # reports from the stored summary give what the reports from all sessions give
+    return found | {name: found[name.removesuffix("_of_days")] for name in OF_DAYS}

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from wattframe import fixed_values as fixed
 from wattframe import operators as op
 from wattframe import streaming as st
+from wattframe.operators import days
 from wattframe.plans.staging import new_folder
 from wattframe.sources import (
     create_tables,
@@ -23,6 +24,8 @@ from wattframe.sources import (
     read_stations,
 )
 
+from wattframe.sources.day_summary import open_days, refresh_days
+
 from . import files, views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +39,7 @@ DENSE = 4
 TOPIC = "topic/click"
 MODEL = "1-URGENT"
 DEAR = 50000
+OF_DAYS = [f"{report.__name__}_of_days" for report in days.REPORTS] + ["daily_overview_of_days"]
 
 
 def _sessions(report, **arguments) -> Query:
@@ -230,6 +234,28 @@ def _rejected_lines(spark: SparkSession, d: str) -> DataFrame:
     return _stored(spark, d, work)
 
 
+# --- the stored summary of days --------------------------------------------------------------
+
+_SUMMARIES: dict[tuple[str, str], str] = {}
+
+
+def _summary(spark: SparkSession, d: str) -> DataFrame:
+    """The summary of all sessions, stored once per application; its last months are refreshed a second time."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _SUMMARIES:
+        folder = new_folder(spark, "day-summary")
+        sessions = views.sessions(spark, d)
+        refresh_days(sessions, folder)
+        months = open_days(spark, folder).select("start_month").distinct().orderBy(F.desc("start_month")).limit(2)
+        refresh_days(sessions, folder, [row[0] for row in months.collect()])
+        _SUMMARIES[key] = folder
+    return open_days(spark, _SUMMARIES[key])
+
+
+def _from_days(report) -> Query:
+    return lambda spark, d: report(_summary(spark, d))
+
+
 # --- SQL text with bound values ----------------------------------------------------------------
 
 
@@ -346,6 +372,9 @@ def queries() -> dict[str, Query]:
         "replaced_tables": _replaced_tables,
         "recreated_tables": _recreated_tables,
         "rejected_lines": _rejected_lines,
+        # from the stored summary of days
+        **{f"{report.__name__}_of_days": _from_days(report) for report in days.REPORTS},
+        "daily_overview_of_days": _from_days(lambda summary: days.daily_overview(summary, fixed.OVERVIEW_DAYS)),
         # SQL text
         "bound_query": _bound_query,
     }

@@ -4,12 +4,14 @@ from .ingest import Parsed, first_per_station, read_sessions, read_stations
 from .tables import (
     create_tables,
     drop_tables,
+    keep_summary,
     load_all,
     load_sessions,
     load_stations,
     open_rejects,
     open_sessions,
     open_stations,
+    open_summary,
     query,
 )
 
@@ -18,12 +20,14 @@ __all__ = [
     "create_tables",
     "drop_tables",
     "first_per_station",
+    "keep_summary",
     "load_all",
     "load_sessions",
     "load_stations",
     "open_rejects",
     "open_sessions",
     "open_stations",
+    "open_summary",
     "query",
     "read_sessions",
     "read_stations",

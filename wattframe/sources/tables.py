@@ -2,13 +2,14 @@
 
 from collections.abc import Mapping, Sequence
 from dataclasses import replace as replaced
-from datetime import datetime
+from datetime import date, datetime
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
+from .day_summary import open_days, refresh_days, stale_months
 from .ingest import REASON, Parsed, first_per_station, read_sessions, read_stations
 from .schema import MONTH, REJECT_DDL, SESSION_DDL, STATION_DDL
 
@@ -16,6 +17,8 @@ from .schema import MONTH, REJECT_DDL, SESSION_DDL, STATION_DDL
 NEXT_ID = "wattframe.next_id"
 # beside the folder of the sessions: a replacement in the making, and what it takes the place of
 REPLACEMENT, PREVIOUS = "_replacement", "_previous"
+# beside the tables, once it is asked for: the summary of days
+SUMMARY = "ev_day_summary"
 
 
 def create_tables(spark: SparkSession, location: str | None = None) -> None:
@@ -81,6 +84,8 @@ def drop_tables(spark: SparkSession) -> None:
             spark.sql(f"DROP TABLE {table}")
             for end in ("", REPLACEMENT, PREVIOUS):
                 _files(spark, folder).delete(_path(spark, folder + end), True)
+            if table == fixed.SESSIONS_TABLE:
+                _files(spark, folder).delete(_path(spark, _beside(folder)), True)
 
 
 def _folder(spark: SparkSession, table: str) -> str:
@@ -110,6 +115,37 @@ def open_sessions(spark: SparkSession, since: datetime | None = None, until: dat
     return stored.drop(MONTH)
 
 
+def _beside(folder: str) -> str:
+    return f"{folder.rstrip('/').rsplit('/', 1)[0]}/{SUMMARY}"
+
+
+def keep_summary(spark: SparkSession, months: Sequence[date | None] | None = None) -> list[date | None]:
+    """Stores the summary of days, or brings it up to date; from then on every load keeps it up.
+
+    Without ``months`` the months are found whose sessions changed since they
+    were summarised, for instance by a load that broke off in between; that reads
+    one narrow column of the table. Returns the months that were read anew; only
+    their folders are read and rewritten.
+    """
+    folder = _beside(_folder(spark, fixed.SESSIONS_TABLE))
+    stored = spark.table(fixed.SESSIONS_TABLE)
+    if not _files(spark, folder).exists(_path(spark, f"{folder}/days/_SUCCESS")):
+        refresh_days(stored.drop(MONTH), folder)
+        return [row[0] for row in open_days(spark, folder).select(MONTH).distinct().collect()]
+    if months is None:
+        months = stale_months(stored, open_days(spark, folder))
+    if months:
+        known = [month for month in months if month is not None]
+        wanted = F.col(MONTH).isin(known) if known else F.lit(False)
+        refresh_days(stored.where(wanted | F.col(MONTH).isNull() if None in months else wanted).drop(MONTH), folder, months)
+    return list(months)
+
+
+def open_summary(spark: SparkSession) -> DataFrame:
+    """The summary of days of the stored sessions, for the reports in ``operators.days``."""
+    return open_days(spark, _beside(_folder(spark, fixed.SESSIONS_TABLE)))
+
+
 def open_stations(spark: SparkSession) -> DataFrame:
     return spark.table(fixed.STATIONS_TABLE)
 
@@ -160,6 +196,8 @@ def load_sessions(
         F.count_if(F.col(REASON).isNull()).alias("imported"),
         F.count_if(F.col(REASON).isNotNull()).alias("skipped"),
         F.coalesce(F.max("id"), F.lit(first_id - 1)).alias("last_id"),
+        F.collect_set(F.when(F.col(REASON).isNull(), F.col(MONTH))).alias("months"),
+        F.count_if(F.col(REASON).isNull() & F.col(MONTH).isNull()).alias("untimed"),
         *[F.count_if(F.col(REASON) == F.lit(reason)).alias(key) for key, reason in reasons.items()],
     )
     good = counted.where(F.col(REASON).isNull()).drop(REASON)
@@ -177,6 +215,13 @@ def load_sessions(
     counts = dict(seen.get)
     _note_next_id(spark, counts.pop("last_id") + 1)
     by_reason = {reason: n for key, reason in reasons.items() if (n := counts.pop(key))}
+    months, untimed = list(counts.pop("months")), counts.pop("untimed")
+    summary = _beside(_folder(spark, fixed.SESSIONS_TABLE))
+    if _files(spark, summary).exists(_path(spark, f"{summary}/days")):
+        if replace:
+            refresh_days(spark.table(fixed.SESSIONS_TABLE).drop(MONTH), summary)
+        else:
+            keep_summary(spark, months + [None] * bool(untimed))
     return counts, replaced(parsed, refused=by_reason)
 
 
