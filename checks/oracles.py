@@ -544,6 +544,7 @@ FROM ses"""
 SELECT 'Sessions' AS series, date AS label, CAST(sessions AS DOUBLE) AS value FROM days
 UNION ALL SELECT 'Avg Cost', date, avg_cost FROM days""",
         "daily_overview_streamed": _ses(_OVERVIEW),
+        "daily_overview_stored": _ses(_OVERVIEW),
         "daily_windows_streamed": _evt(f"SELECT day AS date, {VOLUME} FROM closed GROUP BY ALL"),
         "daily_users_streamed": _evt(
             "SELECT day AS date, count(DISTINCT user_id) AS unique_users FROM closed GROUP BY ALL"
@@ -570,6 +571,7 @@ FROM sta"""
         "loaded_tables": _LOADED,
         "replaced_tables": _LOADED,
         "recreated_tables": _LOADED,
+        "files_taken_once": _LOADED,
         "rejected_lines": f"""WITH {_SES}, {_SESSION_LINES}
 SELECT 'ev_charging_data' AS for_table, reject_reason, count(*) AS lines
 FROM lines WHERE reject_reason IS NOT NULL GROUP BY ALL""",

@@ -16,6 +16,7 @@ from wattframe.sources import (
     drop_tables,
     first_per_station,
     load_all,
+    load_new_files,
     open_rejects,
     open_sessions,
     open_stations,
@@ -89,6 +90,18 @@ def _streamed_overview(spark: SparkSession, d: str) -> DataFrame:
     return spark.table(name)
 
 
+def _stored_overview(spark: SparkSession, d: str) -> DataFrame:
+    """Sessions come in the order of time, as two batches of one query and two of its restart; the table is read afterwards."""
+    folder = new_folder(spark, "stored-overview")
+    sessions = views.sessions(spark, d).select("id", "charging_start_time", "energy_consumed_kwh", "charging_cost_eur")
+    late = F.year("charging_start_time") >= 1996
+    for part in (F.coalesce(~late, F.lit(True)), late):
+        sessions.where(part).repartitionByRange(2, "charging_start_time").write.mode("append").parquet(f"{folder}/feed")
+        feed = spark.readStream.schema(sessions.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/feed")
+        st.start_stored_overview(feed, f"{folder}/days", f"{folder}/state", interval=None).awaitTermination()
+    return st.stored_overview(spark, f"{folder}/days")
+
+
 def _appended(spark: SparkSession, result: DataFrame) -> DataFrame:
     folder = new_folder(spark, "stream")
     writer = result.writeStream.outputMode("append").format("parquet").trigger(availableNow=True)
@@ -224,6 +237,25 @@ def _recreated_tables(spark: SparkSession, d: str) -> DataFrame:
     return _stored(spark, d, work)
 
 
+def _files_taken_once(spark: SparkSession, d: str) -> DataFrame:
+    """All files but one, the same folder again, and once more with the file that was missing."""
+
+    def work(sessions, stations):
+        context = spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path
+        store = path(sessions).getFileSystem(context._jsc.hadoopConfiguration())
+        names = [s.getPath() for s in store.listStatus(path(sessions)) if s.getPath().getName().endswith(".csv")]
+        late, ledger = path(f"{sessions}-late.csv"), f"{sessions}-ledger"
+        store.rename(names[0], late)
+        for _ in range(2):
+            load_new_files(spark, sessions, stations, ledger)
+        store.rename(late, names[0])
+        load_new_files(spark, sessions, stations, ledger)
+        return op.table_profile(open_sessions(spark), open_stations(spark))
+
+    return _stored(spark, d, work)
+
+
 def _rejected_lines(spark: SparkSession, d: str) -> DataFrame:
     """The refused lines that a load has kept, by reason."""
 
@@ -357,6 +389,7 @@ def queries() -> dict[str, Query]:
         "daily_overview_chart": _chart,
         # streams
         "daily_overview_streamed": _streamed_overview,
+        "daily_overview_stored": _stored_overview,
         "daily_windows_streamed": _on_events(st.daily_windows),
         "daily_users_streamed": _on_events(st.daily_users),
         "daily_users_estimate_streamed": _on_events(st.daily_users_estimate),
@@ -372,6 +405,7 @@ def queries() -> dict[str, Query]:
         "replaced_tables": _replaced_tables,
         "recreated_tables": _recreated_tables,
         "rejected_lines": _rejected_lines,
+        "files_taken_once": _files_taken_once,
         # from the stored summary of days
         **{f"{report.__name__}_of_days": _from_days(report) for report in days.REPORTS},
         "daily_overview_of_days": _from_days(lambda summary: days.daily_overview(summary, fixed.OVERVIEW_DAYS)),

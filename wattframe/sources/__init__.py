@@ -1,6 +1,7 @@
 """Files and tables."""
 
 from .ingest import Parsed, first_per_station, read_sessions, read_stations
+from .ledger import load_new_files
 from .tables import (
     create_tables,
     drop_tables,
@@ -22,6 +23,7 @@ __all__ = [
     "first_per_station",
     "keep_summary",
     "load_all",
+    "load_new_files",
     "load_sessions",
     "load_stations",
     "open_rejects",

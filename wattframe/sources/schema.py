@@ -4,6 +4,8 @@ from .. import fixed_values as fixed
 
 # month of the start time; sessions are stored in one folder per month
 MONTH = "start_month"
+# the load that stored a row; its folders hold nothing else, so a repeated load can take their place
+BATCH = "load_batch"
 
 
 def text_length(declared: str) -> int | None:

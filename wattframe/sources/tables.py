@@ -1,5 +1,6 @@
 """The two stored tables: create, fill, open and drop."""
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import replace as replaced
 from datetime import date, datetime
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fixed
 from .day_summary import open_days, refresh_days, stale_months
 from .ingest import REASON, Parsed, first_per_station, read_sessions, read_stations
-from .schema import MONTH, REJECT_DDL, SESSION_DDL, STATION_DDL
+from .schema import BATCH, MONTH, REJECT_DDL, SESSION_DDL, STATION_DDL
 
 # table property: the first session id that is not used yet
 NEXT_ID = "wattframe.next_id"
@@ -21,12 +22,15 @@ REPLACEMENT, PREVIOUS = "_replacement", "_previous"
 SUMMARY = "ev_day_summary"
 
 
+_SESSIONS = f"{SESSION_DDL}, {MONTH} date, {BATCH} string"
+
+
 def create_tables(spark: SparkSession, location: str | None = None) -> None:
     """Creates the tables if absent, or adopts what is stored in their folders.
 
     Tables live in folders below ``location``, by default that of the current
     database, and outlast the session; another process finds them there.
-    Sessions are kept in one folder per start month. A replacement that broke
+    Sessions are kept in one folder per start month and load. A replacement that broke
     off is finished or undone first.
     """
     base = (location or spark.catalog.getDatabase(spark.catalog.currentDatabase()).locationUri).rstrip("/")
@@ -34,9 +38,10 @@ def create_tables(spark: SparkSession, location: str | None = None) -> None:
     if spark.catalog.tableExists(fixed.SESSIONS_TABLE):
         sessions = _folder(spark, fixed.SESSIONS_TABLE)
     settle(spark, sessions)
-    _declare(spark, fixed.SESSIONS_TABLE, f"{SESSION_DDL}, {MONTH} date", sessions, f"PARTITIONED BY ({MONTH})")
+    _declare(spark, fixed.SESSIONS_TABLE, _SESSIONS, sessions, f"PARTITIONED BY ({MONTH}, {BATCH})")
     _declare(spark, fixed.STATIONS_TABLE, STATION_DDL, f"{base}/{fixed.STATIONS_TABLE}")
-    _declare(spark, fixed.REJECTS_TABLE, REJECT_DDL, f"{base}/{fixed.REJECTS_TABLE}")
+    rejects = f"{base}/{fixed.REJECTS_TABLE}"
+    _declare(spark, fixed.REJECTS_TABLE, f"{REJECT_DDL}, {BATCH} string", rejects, f"PARTITIONED BY ({BATCH})")
 
 
 def _declare(spark: SparkSession, name: str, columns: str, folder: str, partitioned: str = "") -> None:
@@ -44,7 +49,9 @@ def _declare(spark: SparkSession, name: str, columns: str, folder: str, partitio
         return
     _files(spark, folder).mkdirs(_path(spark, folder))
     place = folder.replace("'", "\\'")
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {partitioned} LOCATION '{place}'")
+    # an overwrite replaces the folders it writes to, not all
+    options = "OPTIONS ('partitionOverwriteMode' 'dynamic')" if partitioned else ""
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {options} {partitioned} LOCATION '{place}'")
     if partitioned:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
@@ -112,7 +119,7 @@ def open_sessions(spark: SparkSession, since: datetime | None = None, until: dat
         stored = stored.where((start >= _clock(since)) & (month >= F.lit(since.date().replace(day=1))))
     if until is not None:
         stored = stored.where((start < _clock(until)) & (month <= F.lit(until.date())))
-    return stored.drop(MONTH)
+    return stored.drop(MONTH, BATCH)
 
 
 def _beside(folder: str) -> str:
@@ -161,12 +168,18 @@ def query(
 
 
 def load_sessions(
-    spark: SparkSession, paths: str | Sequence[str], replace: bool = False, multiline: bool = False
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    replace: bool = False,
+    multiline: bool = False,
+    batch: str | None = None,
 ) -> tuple[dict[str, int], Parsed]:
     """Adds the session files to the table, or puts them in place of its rows.
 
     There is no key to recognise a session by: adding a file twice stores it
-    twice. Added rows become visible month by month when the write commits; a
+    twice, unless both loads bear the same name of a ``batch``: rows of the
+    second then take the place of those of the first, also where the first broke
+    off. ``load_new_files`` remembers which files it took. Added rows become visible month by month when the write commits; a
     write that fails before that adds none. A replacement is written to a folder
     of its own, which takes the place of the other once it is complete; whenever
     it breaks, the next call finds all old or all new rows. One load at a time:
@@ -182,6 +195,7 @@ def load_sessions(
         *[name for _, name, _ in fixed.SESSION_COLUMNS],
         F.current_timestamp().alias("created_at"),
         F.trunc(F.to_date("charging_start_time"), "month").alias(MONTH),
+        F.lit(batch or _own_batch()).alias(BATCH),
         REASON,
     )
     # balances the write by month: large months are split, small ones share a task; the hint needs adaptive execution
@@ -204,14 +218,13 @@ def load_sessions(
     if replace:
         folder = _folder(spark, fixed.SESSIONS_TABLE)
         settle(spark, folder)
-        good.write.partitionBy(MONTH).parquet(folder + REPLACEMENT)
+        good.write.partitionBy(MONTH, BATCH).parquet(folder + REPLACEMENT)
         _swap(spark, folder)
         # the table knows its months anew
         spark.sql(f"DROP TABLE {fixed.SESSIONS_TABLE}")
-        columns = f"{SESSION_DDL}, {MONTH} date"
-        _declare(spark, fixed.SESSIONS_TABLE, columns, folder, f"PARTITIONED BY ({MONTH})")
+        _declare(spark, fixed.SESSIONS_TABLE, _SESSIONS, folder, f"PARTITIONED BY ({MONTH}, {BATCH})")
     else:
-        good.write.insertInto(fixed.SESSIONS_TABLE)
+        good.write.insertInto(fixed.SESSIONS_TABLE, overwrite=True)
     counts = dict(seen.get)
     _note_next_id(spark, counts.pop("last_id") + 1)
     by_reason = {reason: n for key, reason in reasons.items() if (n := counts.pop(key))}
@@ -225,6 +238,10 @@ def load_sessions(
     return counts, replaced(parsed, refused=by_reason)
 
 
+def _own_batch() -> str:
+    return f"load-{uuid.uuid4().hex}"
+
+
 def load_stations(
     spark: SparkSession, paths: str | Sequence[str], multiline: bool = False
 ) -> tuple[dict[str, int], Parsed]:
@@ -261,21 +278,22 @@ def load_all(
     return {fixed.SESSIONS_TABLE: session_counts, fixed.STATIONS_TABLE: station_counts}
 
 
-def keep_rejects(spark: SparkSession, table: str, parsed: Parsed) -> None:
+def keep_rejects(spark: SparkSession, table: str, parsed: Parsed, batch: str | None = None) -> None:
     """Adds the refused lines of a read to the table of rejects: why, from where, and what the line held.
 
     Files with refused lines are read once more for that; loads without any
-    don't come here.
+    don't come here. Those of a named batch take the place of earlier ones of it.
     """
     fields = F.to_json("fields", {"ignoreNullFields": "false"})
     rows = parsed.rejects.select(
-        F.lit(table).alias("for_table"), REASON, "file", "start", "_line", fields.alias("fields"), F.current_timestamp()
+        F.lit(table).alias("for_table"), REASON, "file", "start", "_line", fields.alias("fields"), F.current_timestamp(),
+        F.lit(f"{table}-{batch or _own_batch()}"),
     )
-    rows.write.insertInto(fixed.REJECTS_TABLE)
+    rows.write.insertInto(fixed.REJECTS_TABLE, overwrite=True)
 
 
 def open_rejects(spark: SparkSession) -> DataFrame:
-    return spark.table(fixed.REJECTS_TABLE)
+    return spark.table(fixed.REJECTS_TABLE).drop(BATCH)
 
 
 def _clock(moment: datetime) -> Column:

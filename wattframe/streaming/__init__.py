@@ -2,6 +2,7 @@
 
 from .daily import daily_users, daily_users_estimate, daily_windows, start_daily_overview
 from .messages import messages_of
+from .overview import start_stored_overview, stored_days, stored_overview
 from .series import chart_series
 
 __all__ = [
@@ -11,4 +12,7 @@ __all__ = [
     "daily_windows",
     "messages_of",
     "start_daily_overview",
+    "start_stored_overview",
+    "stored_days",
+    "stored_overview",
 ]
