@@ -36,6 +36,16 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def own_folder(spark: SparkSession, purpose: str) -> str:
+    """A new, empty folder in the shared one, which goes with its files when the application ends."""
+    folder = new_folder(spark, purpose)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    # what doesn't exist yet can't be marked
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    drop_at_end(spark, folder)
+    return folder
+
+
 def drop_at_end(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)

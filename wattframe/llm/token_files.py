@@ -18,10 +18,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattframe.plans.staging import new_folder
 
 from . import simple8b
-from .common import drop_at_end, shuffle_partitions, written
+from .common import own_folder, shuffle_partitions, written
 from .tokens import worker_encoder
 
 MAGIC = b"WFIDS8B1"
@@ -142,8 +141,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int = 0, folder: str | No
     n_bytes, and start, the ids in all earlier files.
     """
     spark = docs.sparkSession
-    folder = folder or new_folder(spark, "token-files")
-    drop_at_end(spark, folder)
+    folder = folder or own_folder(spark, "token-files")
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     files = written(rows.mapInArrow(_writer(folder, tokenizer, end_id), _MANIFEST), "token-manifest")

@@ -11,9 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattframe.plans.staging import new_folder
-
-from .common import drop_at_end, shuffle_partitions, written
+from .common import own_folder, shuffle_partitions, written
 from .token_files import open_file
 
 #: Bytes of a record's block beyond which it goes on in continuation records.
@@ -123,8 +121,7 @@ def write_archives(
     returned table has those of the attempts that counted.
     """
     spark = pages.sparkSession
-    folder = folder or new_folder(spark, "archives")
-    drop_at_end(spark, folder)
+    folder = folder or own_folder(spark, "archives")
     rows = pages.select(F.col("page_id").cast("long"), "url", F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("sha1", F.sha1("html"))
     copies = rows.select("sha1", "page_id", F.octet_length("html").alias("size")).where(F.col("size") >= revisit_from)
