@@ -96,6 +96,7 @@ def brute_links(rows, k, least, of):
 def test_all_links_are_found(spark, near_rows, monkeypatch, block):
     """Also inside a component, however many classes of a key a task compares at once."""
     monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "COUNTED", block)
     rng = random.Random(4)
     base = [f"b{rng.randrange(500)}" for _ in range(150)]
     rows = near_rows + [(10_000 + k, " ".join(edited(rng, base, 1 + k // 50))) for k in range(60)]

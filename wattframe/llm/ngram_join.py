@@ -24,6 +24,8 @@ _REMEMBERED = 1_000_000
 MOST_SENT = 1_000_000
 #: Classes of a key that a task compares with as many others.
 BLOCK = 1024
+#: Classes of a component, and elements of their sets, that a task compares with as many others to count their links.
+COUNTED, COUNTED_ELEMENTS = 512, 1_000_000
 #: First keys of a class that come along with each of its keys, to tell at which of them a pair was met.
 FIRST_KEYS = 16
 #: Pairs of a cell from which their sets are compared all at once, and elements that are compared at a time.
@@ -341,6 +343,41 @@ def _verified(least: int, of: int):
     return check
 
 
+def _counted(least: int, of: int):
+    """How many documents each class of a cell is linked to by others there; a row per class that has links."""
+
+    def counts(blocks: list[int], classes: list[int], members: list[int], sets: list[np.ndarray], across: bool):
+        i, j = np.triu_indices(len(sets), 1)
+        size, block = np.array([len(x) for x in sets], np.int64), np.array(blocks)
+        fits = np.minimum(size[i], size[j]) * of >= np.maximum(size[i], size[j]) * least
+        if across:
+            fits &= block[i] != block[j]
+        i, j = i[fits], j[fits]
+        common = _common(sets, i, j)
+        linked = of * common >= least * (size[i] + size[j] - common)
+        i, j, many = i[linked], j[linked], np.array(members, np.int64)
+        beyond = np.zeros(len(sets), np.int64)
+        np.add.at(beyond, i, many[j])
+        np.add.at(beyond, j, many[i])
+        some = np.flatnonzero(beyond)
+        return pa.RecordBatch.from_arrays([pa.array(np.array(classes, np.int64)[some]), pa.array(beyond[some])], ["c1", "beyond"])
+
+    def find(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, held = None, ([], [], [], [])
+        for frame in frames:
+            for key, p, q, *row, elements in zip(*(c.to_pylist() for c in frame.columns), strict=True):
+                if name != (key, p, q):
+                    if len(held[0]) > 1:
+                        yield counts(*held, name[1] != name[2])
+                    name, held = (key, p, q), ([], [], [], [])
+                for values, value in zip(held, (*row, np.frombuffer(elements, "<u8")), strict=True):
+                    values.append(value)
+        if len(held[0]) > 1:
+            yield counts(*held, name[1] != name[2])
+
+    return find
+
+
 def _can_link(least: int, of: int) -> Column:
     """What sizes and parity sketches of two sets allow; every similar pair passes."""
     both = F.col("x.n") + F.col("y.n")
@@ -392,10 +429,10 @@ def _sketched(name: str) -> Column:
     return F.struct("n", *(f"s{k}" for k in range(SKETCH))).alias(name)
 
 
-def _components(found: _Classes, words: int, least: int, of: int) -> DataFrame:
+def _components(found: _Classes, words: int, least: int, of: int) -> tuple[DataFrame, DataFrame]:
     """The component (node, component; names of classes) of each class that has links, without looking for all links.
 
-    In each group that meets, all are compared with one and with a neighbour in
+    Also returns the sets (c1, elements) of these classes, and of others. In each group that meets, all are compared with one and with a neighbour in
     a mixed order; then those that are still in different components with each
     other.
     """
@@ -412,7 +449,8 @@ def _components(found: _Classes, words: int, least: int, of: int) -> DataFrame:
     leads = classes.select(F.col("c1").alias("lead"), _sketched("x"))
     others = classes.select(F.col("c1").alias("other"), _sketched("y"))
     pairs = pairs.join(leads, "lead").join(others, "other").where(_can_link(least, of))
-    links = _verify(found, pairs.select(F.col("lead").alias("a"), F.col("other").alias("b"), *_cell_of("lead")), words, least, of)
+    pairs = pairs.select(F.col("lead").alias("a"), F.col("other").alias("b"), *_cell_of("lead"))
+    links, sets = _verify(found, pairs, words, least, of)
     links = links.select("a", "b")
     component = components(links)
 
@@ -431,9 +469,34 @@ def _components(found: _Classes, words: int, least: int, of: int) -> DataFrame:
     pairs = pairs.select(F.col("x.c1").alias("a"), F.col("y.c1").alias("b")).distinct()
     pairs = written(pairs.select("a", "b", *_cell_of("a")), "open-pairs")
     if not pairs.isEmpty():
-        links = written(links.unionByName(_verify(found, pairs, words, least, of).select("a", "b")), "links")
+        more, more_sets = _verify(found, pairs, words, least, of)
+        links = written(links.unionByName(more.select("a", "b")), "links")
         component = components(links)
-    return component
+        sets = sets.unionByName(more_sets.join(sets.select("c1"), "c1", "left_anti"))
+    return component, sets
+
+
+def _link_counts(found: _Classes, component: DataFrame, sets: DataFrame, least: int, of: int) -> DataFrame:
+    """How many documents of other classes each class (c1) is linked to (beyond); classes without links are left out.
+
+    All links lie inside a component. The classes of a large one are dealt over
+    blocks, and a cell for each two blocks counts what is linked there: a set
+    goes to as many cells as its component has blocks, and a cell gives a number
+    for each of its classes, not its pairs.
+    """
+    member = found.classes.join(component, F.col("c1") == F.col("node")).select("component", "c1", "members", "n")
+    member = written(member, "linked-classes")
+    blocks = F.greatest(F.ceil(F.count("*") / COUNTED), F.ceil(F.sum("n") / COUNTED_ELEMENTS)).alias("blocks")
+    large = member.groupBy("component").agg(blocks).where("blocks > 1")
+    member = member.join(large, "component", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    block = F.pmod(F.xxhash64("c1"), "blocks").alias("block")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    cells = member.select("component", block, other, "c1", "members")
+    p, q = F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q")
+    cells = cells.select(F.col("component").alias("key"), p, q, "block", "c1", "members").join(sets, "c1")
+    cells = cells.select("key", "p", "q", "block", "c1", "members", "elements")
+    cells = cells.repartition(shuffle_partitions(cells.sparkSession), "key", "p", "q").sortWithinPartitions("key", "p", "q")
+    return cells.mapInArrow(_counted(least, of), "c1 long, beyond long").groupBy("c1").agg(F.sum("beyond").alias("beyond"))
 
 
 def _all_links(found: _Classes, words: int, least: int, of: int) -> DataFrame:
@@ -457,7 +520,7 @@ def _all_links(found: _Classes, words: int, least: int, of: int) -> DataFrame:
     keys = keys.select("key", p, q, "block", "c1", "n", *sketches, "before")
     keys = keys.repartition(shuffle_partitions(keys.sparkSession), "key", "p", "q").sortWithinPartitions("key", "p", "q")
     pairs = keys.mapInArrow(_met(least, of), _MET).groupBy("a", "b").agg(F.min(F.struct("key", "p", "q")).alias("cell"))
-    return _verify(found, pairs.select("a", "b", "cell.*"), words, least, of)
+    return _verify(found, pairs.select("a", "b", "cell.*"), words, least, of)[0]
 
 
 class Similarity(NamedTuple):
@@ -501,17 +564,16 @@ def similar_documents(docs: DataFrame, words: int = 4, least: int = 85, of: int
     (:class:`SizeBands`). A set shares several parts with a similar one, and can
     leave out as many of the commonest but one, so passages that many documents
     have bring few together. Sizes and parity sketches, whose distance is at
-    most that of the sets, rule out pairs that meet; all others are verified on
-    their sets. Only classes that are left to verify are read again.
+    most that of the sets, rule out pairs that meet; enough of the others to find
+    all components are verified on their sets. Links are then counted inside the
+    components, block by block, without a list of them. Only classes that are
+    left to verify are read again.
 
     Returns doc_id, n_shingles, component_id and n_links.
     """
     found = _classes(docs, words, least, of)
-    links = _all_links(found, words, least, of)
-    component = components(links.where("tree").select("a", "b"))
-    both = links.select("a", "b").union(links.select("b", "a"))
-    beyond = both.join(found.classes.select(F.col("c1").alias("b"), "members"), "b")
-    beyond = beyond.groupBy(F.col("a").alias("c1")).agg(F.sum("members").alias("beyond"))
+    component, sets = _components(found, words, least, of)
+    beyond = _link_counts(found, component, sets, least, of)
     classes = found.classes.select("c1", "c2", "members", "id").join(beyond, "c1", "left")
     classes = classes.withColumn("n_links", F.col("members") - 1 + F.coalesce("beyond", F.lit(0)))
     return _by_row(found, _with_component(classes, component), ("component_id", "n_links"))
@@ -542,9 +604,15 @@ def _by_row(found: _Classes, classes: DataFrame, values: tuple[str, ...]) -> Dat
 
 
 def drop_similar(docs: DataFrame, words: int = 5, least: int = 80, of: int = 100) -> DataFrame:
-    """The rows of ``docs``, with all their columns, without those of a group of similar documents but its smallest doc_id."""
+    """The rows of ``docs``, with all their columns, without those of a group of similar documents but its smallest doc_id.
+
+    Groups are those of :func:`similar_documents`; NULL texts are empty, and
+    empty sets are in no group. Rows are told apart by doc_id: rows that share
+    one stay or go together, and rows without one stay. An empty table stays
+    empty; all columns are kept under their names.
+    """
     found = _classes(docs, words, least, of)
-    component = _components(found, words, least, of)
+    component, _ = _components(found, words, least, of)
     groups = _by_row(found, _with_component(found.classes.select("c1", "c2", "members", "id"), component), ("component_id",))
     gone = written(groups.where("doc_id <> component_id").select("doc_id").distinct(), "similar")
     return docs.join(_few(gone), "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
@@ -560,11 +628,12 @@ def _cell_of(name: str) -> tuple[Column, Column, Column]:
     return F.col(name).alias("key"), F.lit(0).cast("long").alias("p"), F.lit(0).cast("long").alias("q")
 
 
-def _verify(found: _Classes, pairs: DataFrame, words: int, least: int, of: int) -> DataFrame:
+def _verify(found: _Classes, pairs: DataFrame, words: int, least: int, of: int) -> tuple[DataFrame, DataFrame]:
     """The pairs (a, b; classes) whose sets are similar, of those given with a cell (key, p, q) to verify them in.
 
     A set goes once to each cell that has a pair with it. Returns a, b and tree,
-    the pairs that suffice to link what the pairs of a cell link.
+    the pairs that suffice to link what the pairs of a cell link; and the sets
+    (c1, elements) of all classes that were compared.
     """
     cell = ["key", "p", "q"]
     pairs = written(pairs, "candidates")
@@ -582,4 +651,4 @@ def _verify(found: _Classes, pairs: DataFrame, words: int, least: int, of: int)
     sent = sent.unionByName(pairs.select(*cell, "a", "b", F.lit(None).cast("binary").alias("elements")))
     sent = sent.repartition(shuffle_partitions(pairs.sparkSession), *cell)
     sent = sent.sortWithinPartitions(*cell, F.col("elements").isNull())
-    return written(sent.mapInArrow(_verified(least, of), "a long, b long, tree boolean"), "verified")
+    return written(sent.mapInArrow(_verified(least, of), "a long, b long, tree boolean"), "verified"), sets
