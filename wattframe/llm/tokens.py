@@ -4,8 +4,10 @@ A byte-level tokenizer always splits a text before a lone blank or line break:
 one without other white space on either side. It also splits between a letter
 and a punctuation mark behind it. The ids of a text are therefore those of its
 parts in a row, and most parts come again and again. An encoder keeps the parts
-it has seen in a table of bounded size and looks up all parts of a batch at
-once; the library encodes the others, many at a time.
+it has seen in two tables of bounded size and looks up all parts of a batch at
+once; the library encodes the others, many at a time. When the younger table is
+full it takes the place of the older one, and parts that are met there move to
+the new one: rare parts are forgotten, common ones stay.
 """
 
 import json
@@ -134,21 +136,47 @@ class PartTable:
         return (key_hash(keys) >> self._shift).astype(np.int64)
 
 
+class _Parts:
+    """Parts and their ids: short ones by a table, long ones by a dictionary."""
+
+    def __init__(self) -> None:
+        self.table, self.long = PartTable(), {}
+        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.uint32)
+
+    def used(self) -> int:
+        return self.table.used + len(self.long)
+
+    def add(self, ids: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Keeps the ids of parts, all in a row; returns their places."""
+        places = len(self.first) + np.arange(len(count))
+        self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(count) - count])
+        self.count = np.concatenate([self.count, count])
+        self.pool = np.concatenate([self.pool, ids])
+        return places
+
+    def ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the parts at places, all in a row, and how many each has."""
+        count = self.count[places]
+        ends = np.concatenate([[0], np.cumsum(count)])
+        return self.pool[np.repeat(self.first[places] - ends[:-1], count) + np.arange(ends[-1])], count
+
+
 class Encoder:
     """Ids of texts from a tokenizer file of the tokenizers library; without added special tokens."""
 
-    def __init__(self, path: str, most_parts: int = 400_000) -> None:
+    def __init__(self, path: str, most_parts: int = 600_000) -> None:
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
         self.by_parts = cuts_at_blanks(path)
-        self._most = most_parts
+        self._most = most_parts // 2
         if self.by_parts:
             blank = self._library.encode(" ", add_special_tokens=False).tokens[0]
             vocabulary = self._library.get_vocab()
             self._begins = np.zeros(max(vocabulary.values()) + 1, bool)
             self._begins[[i for token, i in vocabulary.items() if token.startswith(blank)]] = True
-        self._forget()
+        self._young, self._old = _Parts(), _Parts()
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         """Each text given to the library as it is."""
@@ -165,24 +193,24 @@ class Encoder:
         for padded, bounds in text_slices(texts):
             starts = part_starts(padded, bounds)
             place = self.places(padded, starts, np.diff(starts, append=bounds[-1]))
-            count = self._count[place]
+            ids, count = self._young.ids(place)
             ends = np.concatenate([[0], np.cumsum(count)])
-            from_pool = np.repeat(self._first[place] - ends[:-1], count) + np.arange(ends[-1])
-            yield self._pool[from_pool], np.diff(ends[np.searchsorted(starts, bounds)])
+            yield ids, np.diff(ends[np.searchsorted(starts, bounds)])
 
     def lengths(self, padded: np.ndarray, starts: np.ndarray, length: np.ndarray) -> np.ndarray:
         """The number of ids of each part."""
         place = self.places(padded, starts, length)
-        return self._count[place]
+        return self._young.count[place]
 
     def places(self, padded: np.ndarray, starts: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """Where the ids of each part are; new parts are learned, and if there are too many, old ones forgotten."""
-        if self._table.used + len(self._long) > self._most:
-            self._forget()
+        """Where the ids of each part are among the younger parts; the others are fetched from the older ones or learned."""
+        if self._young.used() > self._most:
+            self._young, self._old = _Parts(), self._young
+        young = self._young
         place = np.full(len(starts), -1, np.int64)
         short = np.flatnonzero(length <= PART_BYTES)
         keys = part_keys(padded, starts[short], length[short])
-        place[short] = self._table.find(keys)
+        place[short] = young.table.find(keys)
         data = padded.tobytes()
         missing = short[place[short] < 0]
         if len(missing):
@@ -190,25 +218,27 @@ class Encoder:
             order = np.lexsort(own)
             new = np.concatenate([[True], (own[:, order[1:]] != own[:, order[:-1]]).any(axis=0)])
             first = order[new]
-            at, size = starts[missing[first]].tolist(), length[missing[first]].tolist()
-            learned = self._learn([data[a : a + n] for a, n in zip(at, size, strict=True)])
-            self._table.insert(own[:, first], learned)
-            place[missing[order]] = learned[np.cumsum(new) - 1]
+            found = self._old.table.find(own[:, first])
+            known = found >= 0
+            put = np.empty(len(first), np.int64)
+            put[known] = young.add(*self._old.ids(found[known]))
+            at, size = starts[missing[first[~known]]].tolist(), length[missing[first[~known]]].tolist()
+            put[~known] = self._learn([data[a : a + n] for a, n in zip(at, size, strict=True)])
+            young.table.insert(own[:, first], put)
+            place[missing[order]] = put[np.cumsum(new) - 1]
         long = np.flatnonzero(length > PART_BYTES)
         if len(long):
             at, size = starts[long].tolist(), length[long].tolist()
             texts = [data[a : a + n] for a, n in zip(at, size, strict=True)]
-            unknown = list({t for t in texts if t not in self._long})
-            self._long.update(zip(unknown, self._learn(unknown).tolist(), strict=True))
-            place[long] = [self._long[t] for t in texts]
+            absent = {t for t in texts if t not in young.long}
+            kept = [t for t in absent if t in self._old.long]
+            moved = young.add(*self._old.ids(np.array([self._old.long[t] for t in kept], np.int64)))
+            young.long.update(zip(kept, moved.tolist(), strict=True))
+            unknown = list(absent.difference(kept))
+            young.long.update(zip(unknown, self._learn(unknown).tolist(), strict=True))
+            place[long] = [young.long[t] for t in texts]
         return place
 
-    def _forget(self) -> None:
-        self._table = PartTable()
-        self._long: dict[bytes, int] = {}
-        self._first, self._count = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self._pool = np.zeros(0, np.uint32)
-
     def _learn(self, parts: list[bytes]) -> np.ndarray:
         """Encodes parts by the library and keeps their ids; returns their places."""
         if not parts:
@@ -232,13 +262,7 @@ class Encoder:
         alone = list({*odd, *(marks for _, marks in split if marks)})
         known.update(zip(alone, self.whole(alone), strict=True))
         ids = [np.concatenate([known[stem], known[marks]]) if marks else known[stem] for stem, marks in split]
-        count = np.array([len(x) for x in ids], np.int64)
-        first = len(self._pool) + np.cumsum(count) - count
-        places = len(self._first) + np.arange(len(ids))
-        self._pool = np.concatenate([self._pool, *ids])
-        self._first = np.concatenate([self._first, first])
-        self._count = np.concatenate([self._count, count])
-        return places
+        return self._young.add(np.concatenate(ids), np.array([len(x) for x in ids], np.int64))
 
     def _joined(self, groups: list[list[str]]) -> Iterator[list[np.ndarray]]:
         """Encodes each group as one text; a part begins where the characters of an id begin with a blank."""
