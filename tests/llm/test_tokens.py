@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -175,3 +176,47 @@ def test_no_packing_beats_the_bound(lengths):
 def test_packing_nothing(no_docs):
     df = packing.pack_documents(no_docs, TOKENIZER)
     assert df.collect() == []
+
+
+def test_common_parts_survive_full_tables():
+    rng = random.Random(9)
+    common = [f" common{k}," for k in range(50)] + [" " + "long" * 12 + str(k) for k in range(5)]
+    texts = []
+    for k in range(400):
+        words = [rng.choice(common) for _ in range(30)] + [f" rare{k}x{j}" for j in range(30)]
+        rng.shuffle(words)
+        texts.append("".join(words))
+    small, library = Encoder(TOKENIZER, most_parts=2000), Encoder(TOKENIZER)
+    asked = []
+    whole = small.whole
+    small.whole = lambda parts: asked.extend(parts) or whole(parts)
+    for at in range(0, len(texts), 5):
+        if at == 50:
+            asked.clear()
+        some = texts[at : at + 5]
+        (ids, count), = small.encode(pa.array(some))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])] == [x.tolist() for x in library.whole(some)]
+    # common parts were asked for in the first batches only, though the tables were full again and again
+    assert asked and not any("common" in part or "longlong" in part for part in asked)
+
+
+def test_folders_of_the_caller_stay(spark, no_docs, tmp_path):
+    system = spark._jvm.org.apache.hadoop.fs.Path(str(tmp_path)).getFileSystem(spark._jsc.hadoopConfiguration())
+    docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
+    mine = tmp_path / "mine"
+    mine.mkdir()
+    (mine / "precious.txt").write_text("kept")
+    token_files.write_ids(docs, TOKENIZER, folder=str(mine)).collect()
+    own = token_files.write_ids(docs, TOKENIZER).first().path.rpartition("/")[0]
+    marked = {str(p) for p in _marked(system)}
+    assert any(p.endswith(own.rpartition("/")[2]) for p in marked) and not any(str(mine) in p for p in marked)
+
+
+def _marked(system):
+    """The paths that go when the application ends."""
+    kind = system.getClass()
+    while kind.getSimpleName() != "FileSystem":
+        kind = kind.getSuperclass()
+    field = kind.getDeclaredField("deleteOnExit")
+    field.setAccessible(True)
+    return [p.toString() for p in field.get(system).toArray()]

@@ -18,7 +18,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
 from . import simple8b
 from .common import own_folder, shuffle_partitions, written
 from .tokens import worker_encoder
