@@ -57,3 +57,20 @@ def test_station_ranks_with_ties(spark, limit):
     # S0 and S1 have five sessions, S2 and S3 four
     expected = [("S0", 5, 1), ("S1", 5, 1), ("S2", 4, 3), ("S3", 4, 3)][:limit]
     assert [(r["charging_station_id"], r["sessions"], r["rank_by_usage"]) for r in got] == expected
+
+
+def test_ranks_and_places_with_very_many_partitions(spark):
+    """One expression per slice edge, or a station row per slice, would not come to an end here."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    key = F.col("id")
+    groups = staged(spark.range(30000).select(key, (F.hash(key) % 20011).alias("v"), F.when(key % 3 > 0, key).alias("w")))
+    rows = [{"charging_station_id": f"S{i % 7}", "user_id": f"U{i % 11}"} for i in range(60)]
+    places = [{"station_id": f"S{i}", "distrito": f"D{i % 2}"} for i in range(7)]
+    usage = frames.dicts(op.usage_by_distrito(frames.sessions(spark, *rows), frames.stations(spark, *places)))
+    spark.conf.set("spark.sql.shuffle.partitions", "5000")
+    try:
+        _check(groups, ["v", "w"])
+        again = op.usage_by_distrito(frames.sessions(spark, *rows), frames.stations(spark, *places))
+        assert frames.dicts(again) == usage
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -205,7 +205,7 @@ def usage_by_distrito(sessions: DataFrame, stations: DataFrame, collation: str |
     """
     places = collated(stations, collation).where(F.col("distrito").isNotNull()).select("station_id", "distrito")
     pairs = sessions.groupBy(m.STATION, m.USER).agg(*m.parts(m.ENERGY, m.COST))
-    areas = locate_spread(pairs, places, m.USER).groupBy("distrito").agg(
+    areas = locate_spread(pairs, places, m.USER, sessions.count()).groupBy("distrito").agg(
         m.distinct(m.STATION, "stations_used"),
         m.rows_of_parts("total_sessions"),
         m.distinct(m.USER, "unique_users"),

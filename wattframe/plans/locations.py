@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from . import measures as m
 
+
 def per_station(sessions: DataFrame, *aggregates: Column) -> DataFrame:
     return sessions.groupBy(m.STATION).agg(*aggregates)
 
@@ -20,14 +21,18 @@ def locate(by_station: DataFrame, stations: DataFrame, how: str = "inner") -> Da
     return by_station.join(stations, by_station[m.STATION] == stations["station_id"], how)
 
 
-def locate_spread(pairs: DataFrame, stations: DataFrame, spread_by: str) -> DataFrame:
+def locate_spread(pairs: DataFrame, stations: DataFrame, spread_by: str, rows: int | None = None) -> DataFrame:
     """Joins many rows per station with few station columns.
 
     Rows of one station are spread over slices by a second key and the station
     row is repeated per slice, so a busy station is not one task's work. There
-    are four slices to a shuffle partition of the session, so that each gets some.
+    are four slices to a shuffle partition of the session, so that each gets
+    some, but only as many that all repeated station rows together are no more
+    than ``rows``, about the number of pairs (by default they are counted).
     """
+    rows = pairs.count() if rows is None else rows
     number = 4 * int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    number = max(1, min(number, rows // max(1, stations.count())))
     slices = F.sequence(F.lit(0), F.lit(number - 1))
     sliced_stations = stations.withColumn("_slice", F.explode(slices))
     sliced_pairs = pairs.withColumn("_slice", F.pmod(F.hash(spread_by), F.lit(number)))

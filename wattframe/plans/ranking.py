@@ -2,6 +2,7 @@
 
 from collections.abc import Mapping
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,8 +39,8 @@ def _as_rows(names: list[str]) -> Column:
 def _edges(groups: DataFrame, metrics: list[str]) -> list[list[float]]:
     """Slice edges per metric, as plain numbers.
 
-    Any edges give right ranks, they only balance the slices. Being literals
-    they put a value into the same slice in every run of a task.
+    Any edges give right ranks, they only balance the slices. Being plain
+    numbers they put a value into the same slice in every run of a task.
     """
     slices = max(2, int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     points = [i / slices for i in range(1, slices)]
@@ -55,11 +56,7 @@ def _ranks(values: DataFrame, edges: list[list[float]]) -> DataFrame:
     rows of all higher slices. Missing values form the last slice.
     """
     ties = values.groupBy("_metric", "_value").agg(F.count(F.lit(1)).alias("_ties"))
-    number = F.coalesce(
-        *(F.when(F.col("_metric") == k, _slice_of(F.col("_value").cast("double"), e)) for k, e in enumerate(edges)),
-        F.lit(-1),
-    )
-    sliced = ties.withColumn("_slice", number)
+    sliced = _sliced(ties, edges)
 
     # one row per metric and slice from here on, as many slices as the session has shuffle partitions
     heights = sliced.groupBy("_metric", "_slice").agg(F.sum("_ties").alias("_rows"))
@@ -74,15 +71,17 @@ def _ranks(values: DataFrame, edges: list[list[float]]) -> DataFrame:
     return ranked.select(F.col("_metric").alias("_of"), F.col("_value").alias("_ranked"), rank.alias("_rank"))
 
 
-def _slice_of(value: Column, edges: list[float]) -> Column:
-    """Number of edges below the value, found by halving."""
-    if not edges:
-        return F.when(value.isNotNull(), F.lit(0))
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value > F.lit(edges[middle]), search(middle + 1, high)).otherwise(search(low, middle))
-
-    return F.when(value.isNotNull(), search(0, len(edges)))
+def _sliced(ties: DataFrame, edges: list[list[float]]) -> DataFrame:
+    """Adds the slice of each value, found by binary search among the edges of its metric; -1 for missing values."""
+    out, slices = ties, []
+    for k, found in enumerate(edges):
+        own = F.when(F.col("_metric") == k, F.col("_value").cast("double"))
+        if not found:
+            slices.append(F.when(own.isNotNull(), F.lit(0)))
+            continue
+        splits = [float("-inf"), *found, float("inf")]
+        search = Bucketizer(splits=splits, inputCol=f"_own{k}", outputCol=f"_slice{k}", handleInvalid="keep")
+        out = search.transform(out.withColumn(f"_own{k}", own))
+        # a missing value has no slice of its metric
+        slices.append(F.when(own.isNotNull(), F.col(f"_slice{k}").cast("int")))
+    return out.select(*ties.columns, F.coalesce(*slices, F.lit(-1)).alias("_slice"))
