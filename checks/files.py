@@ -14,6 +14,15 @@ def write(lines: DataFrame, folder: str) -> None:
     headed.write.options(sep=fixed.FIELD_SEPARATOR, header=True, quote='"', escape='"', emptyValue="").csv(folder)
 
 
+def write_ragged(lines: DataFrame, folder: str, short: Column, long: Column) -> None:
+    """As above without quotes; the short lines lack their last two fields, the long ones have one too many."""
+    names = [name for name in lines.columns if name in _HEADERS]
+    joined = lambda columns: F.concat_ws(fixed.FIELD_SEPARATOR, *(F.coalesce(c, F.lit("")) for c in columns))
+    line = F.when(long, F.concat(joined(names), F.lit(fixed.FIELD_SEPARATOR + "more"))).when(short, joined(names[:-2]))
+    line = line.otherwise(joined(names)).alias(fixed.FIELD_SEPARATOR.join(_HEADERS[name] for name in names))
+    lines.select(line).write.options(sep="\x01", header=True, quote="\x00").csv(folder)
+
+
 def _comma(number: Column) -> Column:
     return F.replace(number.cast("string"), F.lit("."), F.lit(fixed.DECIMAL_MARK))
 
@@ -24,8 +33,8 @@ def _moment(clock: Column) -> Column:
     return F.concat(day, F.lit(" "), F.hour(clock), F.lit(":"), F.lpad(F.minute(clock).cast("string"), 2, "0"))
 
 
-def session_lines(sessions: DataFrame) -> DataFrame:
-    """All session columns as text. Some end times and costs are unreadable."""
+def session_lines(sessions: DataFrame, *more: str) -> DataFrame:
+    """All session columns as text, and columns to go along. Some end times and costs are unreadable."""
     key = F.col("id")
     start = F.col("charging_start_time")
     end = F.timestamp_add("MINUTE", F.lit(45), start)
@@ -45,6 +54,7 @@ def session_lines(sessions: DataFrame) -> DataFrame:
         F.concat(key % 1000, F.lit(",125")).alias("distance_driven_km"),
         F.concat(key % 55 - 20, F.lit(",0")).alias("temperature_c"),
         F.when(key % 13 == 0, "n/a").otherwise((key % 12).cast("string")).alias("vehicle_age_years"),
+        *more,
     )
 
 

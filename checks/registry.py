@@ -164,6 +164,18 @@ def _ingest_outcome(spark: SparkSession, d: str) -> DataFrame:
     return _read_session_files(spark, d).counts()
 
 
+def _ragged_outcome(spark: SparkSession, d: str) -> DataFrame:
+    """Lines that end early and lines with a field too many: what is loaded, what is refused, and which ages are missing."""
+    folder = new_folder(spark, "ragged-files")
+    sessions = views.sessions(spark, d)
+    key = F.col("_key")
+    lines = files.session_lines(sessions.withColumn("_key", F.col("id")), "_key")
+    files.write_ragged(lines, folder, short=key % 37 == 7, long=key % 41 == 9)
+    lines = read_sessions(spark, folder).lines
+    missing = F.count_if(F.col("vehicle_age_years").isNull()).alias("without_age")
+    return lines.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("lines"), missing)
+
+
 def _ingested_stations(spark: SparkSession, d: str) -> DataFrame:
     folder = new_folder(spark, "station-files")
     stations = views.stations(spark, d)
@@ -399,6 +411,7 @@ def queries() -> dict[str, Query]:
         # files
         "ingested_sessions": _ingested_sessions,
         "ingest_outcome": _ingest_outcome,
+        "ingest_outcome_ragged": _ragged_outcome,
         "ingested_stations": _ingested_stations,
         "ingested_sessions_padded": _padded_sessions,
         "loaded_tables": _loaded_tables,
