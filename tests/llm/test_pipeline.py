@@ -19,7 +19,7 @@ def test_queries_agree_with_sql(spark, name):
 
 def test_one_query_per_operator():
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 14)]
 
 
 def test_stages_against_plain_ones(spark):
