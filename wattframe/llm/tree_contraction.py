@@ -34,7 +34,7 @@ def subtree_sums(nodes: DataFrame, amounts: Sequence[str]) -> DataFrame:
     tree = nodes.select(
         "key", "parent", *(F.col(c).alias(o) for c, o in zip(amounts, own, strict=True)), *(F.lit(0).cast("long").alias(o) for o in owed)
     )
-    known: list[DataFrame] = []
+    known: list[list[DataFrame]] = []  # sums by the step in which their nodes went
     taken: list[DataFrame] = []
     before = -1
     for step in range(_MOST_ROUNDS):
@@ -42,7 +42,7 @@ def subtree_sums(nodes: DataFrame, amounts: Sequence[str]) -> DataFrame:
         counted = tree.join(below, "key", "left").withColumn("children", F.coalesce("children", F.lit(0)))
         counted = written(counted, "contracted")
         leaves, live = counted.where("children = 0"), counted.where("children > 0")
-        known.append(leaves.select("key", *own))
+        known.append([leaves.select("key", *own)])
         left = live.count()
         if left == 0:
             break
@@ -76,18 +76,23 @@ def subtree_sums(nodes: DataFrame, amounts: Sequence[str]) -> DataFrame:
     else:
         raise RuntimeError("the tree did not contract")
 
-    for out in reversed(taken):
-        sums = known[0]
-        for more in known[1:]:
-            sums = sums.unionByName(more)
+    for step in reversed(range(len(taken))):
+        # a child went later than its parent, and with every step fewer nodes are left
+        sums = _union([part for parts in known[step + 1 :] for part in parts])
         sums = sums.select(F.col("key").alias("child"), *(F.col(o).alias(f"{o}_child") for o in own))
-        back = out.join(sums, "child").select("key", *((F.col(o) + F.col(f"{o}_child")).alias(o) for o in own))
-        known.append(written(back, "expanded"))
-    sums = known[0]
-    for more in known[1:]:
-        sums = sums.unionByName(more)
+        back = taken[step].join(sums, "child")
+        back = back.select("key", *((F.col(o) + F.col(f"{o}_child")).alias(o) for o in own))
+        known[step].append(written(back, "expanded"))
+    sums = _union([part for parts in known for part in parts])
     return sums.select("key", *(F.col(o).alias(c) for c, o in zip(amounts, own, strict=True)))
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    whole = parts[0]
+    for more in parts[1:]:
+        whole = whole.unionByName(more)
+    return whole
+
+
 def _coin(key: Column, step: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(step)), F.lit(2)) == 0
