@@ -561,7 +561,7 @@ FROM events WHERE concat('topic/', event_type) = '{TOPIC}'""",
         "ingested_sessions_padded": _INGESTED,
         "ingest_outcome": f"""WITH {_SES}, {_SESSION_LINES}
 SELECT reject_reason, count(*) AS lines FROM lines GROUP BY ALL""",
-        "ingest_outcome_ragged": f"""WITH {_SES}, {_SESSION_LINES}
+        "ragged_lines_outcome": f"""WITH {_SES}, {_SESSION_LINES}
 SELECT CASE WHEN id % 41 = 9 THEN 'too many fields' ELSE reject_reason END AS reject_reason, count(*) AS lines,
   count(*) FILTER (id % 13 = 0 OR (id % 37 = 7 AND id % 41 <> 9)) AS without_age
 FROM lines GROUP BY 1""",

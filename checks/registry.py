@@ -411,7 +411,7 @@ def queries() -> dict[str, Query]:
         # files
         "ingested_sessions": _ingested_sessions,
         "ingest_outcome": _ingest_outcome,
-        "ingest_outcome_ragged": _ragged_outcome,
+        "ragged_lines_outcome": _ragged_outcome,
         "ingested_stations": _ingested_stations,
         "ingested_sessions_padded": _padded_sessions,
         "loaded_tables": _loaded_tables,
