@@ -108,3 +108,18 @@ def test_a_summary_left_behind_is_found(spark, stored, tmp_path, monkeypatch):
     assert stale_months(spark.table("ev_charging_data"), open_summary(spark)) == [dt.date(2024, 2, 1)]
     assert keep_summary(spark) == [dt.date(2024, 2, 1)]
     same_reports(open_summary(spark), open_sessions(spark))
+
+
+def test_deviation_is_the_same_however_rows_are_spread(spark):
+    """Exact sums: the double at the end has the same bits for any order, and equals one computed with fractions."""
+    from fractions import Fraction
+
+    costs = [(7919 * k * k % 999_983) / 100 for k in range(3000)] + [999_999.99] * 5 + [-0.01, 0]
+    rows = sessions(spark, *({"charging_cost_eur": f"{c:.2f}"} for c in costs), {"charging_cost_eur": None})
+    exact = [Fraction(f"{c:.2f}") for c in costs]
+    mean = sum(exact) / len(exact)
+    wanted = round(float(sum((x - mean) ** 2 for x in exact) / len(exact)) ** 0.5, 2)
+    found = {op.cost_statistics(rows.repartition(n)).first().cost_std_dev for n in (1, 8, 50)}
+    assert found == {wanted}
+    same = sessions(spark, *[{"charging_cost_eur": "999999.99"}] * 7)
+    assert op.cost_statistics(same).first().cost_std_dev == 0.0

@@ -26,6 +26,28 @@ def count_as_decimal(count: Column) -> Column:
     return count.cast("decimal(20,0)")
 
 
+def squared_units(value: Column, scale: int) -> Column:
+    """The square of a decimal measure, counted in units of its last digit: a whole number, so sums of it are exact."""
+    units = (value * 10**scale).cast("decimal(14,0)")
+    return (units * units).cast("decimal(28,0)")
+
+
+def deviation_of_parts(total: Column, squares: Column, count: Column, scale: int) -> Column:
+    """Population standard deviation from the sum, the sum of :func:`squared_units` and the count.
+
+    The squared distance from the mean's whole part is exact; only then do
+    doubles come in, so rows may be added up in any order and over any periods.
+    """
+    n = F.nullif(count_as_decimal(count), F.lit(0).cast("decimal(20,0)"))
+    units = (total.cast(f"decimal({_SUM_DIGITS + scale},{scale})") * 10**scale).cast("decimal(28,0)")
+    whole = F.call_function("div", units, n).cast("decimal(19,0)")
+    rest = (units - (whole * n).cast("decimal(38,0)")).cast("decimal(20,0)")
+    around = squares - (whole * units).cast("decimal(38,0)") - (whole * rest).cast("decimal(38,0)")
+    count_ = n.cast("double")
+    variance = around.cast("double") / count_ - F.pow(rest.cast("double") / count_, F.lit(2))
+    return F.round(F.sqrt(F.greatest(variance, F.lit(0.0))) / 10**scale, 2)
+
+
 def mean_of_parts(total: Column, count: Column, scale: int) -> Column:
     """Average from a summed total and a summed count.
 

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
-from ..functions.rounding import mean_of_parts, published, ratio
+from ..functions.rounding import deviation_of_parts, mean_of_parts, published, ratio
 from ..plans import measures as m
 from ..sources.day_summary import merged
 
@@ -29,6 +29,33 @@ def _volume() -> list[Column]:
     ]
 
 
+def _whole(summary: DataFrame, measure: str, scale: int, *names: str) -> DataFrame:
+    """One row over all days: number of values, mean, extremes, total and deviation under the given names, and the exact mean."""
+    n, total = F.coalesce(f"{measure}_n", F.lit(0)), F.col(f"{measure}_sum")
+    mean = mean_of_parts(total, n, scale)
+    found = n, published(mean), *(published(F.col(f"{measure}_{end}")) for end in ("min", "max")), published(total)
+    deviation = deviation_of_parts(total, F.col(f"{measure}_squares"), n, scale)
+    values = (value.alias(name) for value, name in zip((*found, deviation), names, strict=True))
+    return merged(summary).select(*values, mean.alias("_mean"))
+
+
+def total_energy_delivered(summary: DataFrame) -> DataFrame:
+    names = "total_sessions", "avg_energy_per_session", "min_energy_kwh", "max_energy_kwh", "total_energy_delivered_kwh"
+    found = _whole(summary, "energy", 2, *names, "energy_std_dev")
+    return found.select("total_sessions", "total_energy_delivered_kwh", *names[1:4], "energy_std_dev")
+
+
+def duration_statistics(summary: DataFrame) -> DataFrame:
+    names = "total_sessions", "avg_duration_hours", "min_duration_hours", "max_duration_hours"
+    found = _whole(summary, "hours", 3, *names, "_total", "duration_std_dev")
+    return found.select(*names, "duration_std_dev", published(F.col("_mean") * 60).alias("avg_duration_minutes"))
+
+
+def cost_statistics(summary: DataFrame) -> DataFrame:
+    names = "total_sessions", "avg_cost", "min_cost", "max_cost", "total_revenue", "cost_std_dev"
+    return _whole(summary, "cost", 2, *names).select(*names)
+
+
 def _span(first: str, last: str) -> list[Column]:
     return [F.col("first_day").alias(first), F.col("last_day").alias(last)]
 
@@ -131,5 +158,8 @@ REPORTS = (
     weekly_cost_trends,
     monthly_cost_trends,
     daily_energy_delivered,
+    total_energy_delivered,
+    duration_statistics,
+    cost_statistics,
 )
 __all__ = ["REPORTS", "daily_overview", *(report.__name__ for report in REPORTS)]

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rounding import mean_of_parts, published
+from ..functions.rounding import deviation_of_parts, mean_of_parts, published, squared_units
 
 ENERGY = "energy_consumed_kwh"
 COST = "charging_cost_eur"
@@ -16,6 +16,8 @@ MODEL = "vehicle_model"
 STATION = "charging_station_id"
 POWER = "potencia_maxima_kw"
 POINTS = "pontos_ligacao"
+#: Digits after the point.
+SCALES = {ENERGY: 2, COST: 2, HOURS: 3, RATE: 2, POWER: 2}
 
 
 def rows(name: str) -> Column:
@@ -44,8 +46,10 @@ def highest(column: str, name: str) -> Column:
 
 
 def spread(column: str, name: str) -> Column:
-    """Population standard deviation."""
-    return F.round(F.stddev_pop(column), 2).alias(name)
+    """Population standard deviation, from exact sums of the values and of their squares."""
+    scale = SCALES[column]
+    squares = F.sum(squared_units(F.col(column), scale))
+    return deviation_of_parts(F.sum(column), squares, F.count(column), scale).alias(name)
 
 
 def distinct(column: str | Column, name: str) -> Column:
@@ -68,8 +72,6 @@ def ranked_by(df: DataFrame, metric: str, *keys: str, limit: int | None = None)
 
 # --- parts: sums and counts that can be added up again after a join --------------------
 
-_SCALES = {ENERGY: 2, COST: 2, HOURS: 3, RATE: 2, POWER: 2}
-
 
 def parts(*columns: str) -> list[Column]:
     """Row count plus, for each column, its sum and the number of its values."""
@@ -84,7 +86,7 @@ def total_of_parts(column: str, name: str) -> Column:
 
 
 def mean_of_summed_parts(column: str, name: str) -> Column:
-    exact = mean_of_parts(F.sum(f"{column}_sum"), F.sum(f"{column}_n"), _SCALES[column])
+    exact = mean_of_parts(F.sum(f"{column}_sum"), F.sum(f"{column}_n"), SCALES[column])
     return published(exact).alias(name)
 
 

@@ -10,6 +10,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.rounding import squared_units
 from ..plans import measures as m
 from ..plans.staging import staged
 from .schema import MONTH
@@ -29,12 +30,15 @@ _SUMS = {
     "timed_hours": f"CASE WHEN {m.HOURS} > 0 AND {m.ENERGY} IS NOT NULL THEN {m.HOURS} END",
 }
 COUNTS = {name.removesuffix("_sum") + "_n": value for name, value in _SUMS.items() if name not in ("charged_energy", "timed_hours")}
-SUMS, EXTREMES = list(_SUMS), ["cost_min", "cost_max"]
-_COLUMNS = [*SUMS, *COUNTS, *EXTREMES]
+#: Sums of squares, in units of the last digit.
+_SQUARES = {"energy_squares": m.ENERGY, "cost_squares": m.COST, "hours_squares": m.HOURS}
+_MEASURES = {"energy": m.ENERGY, "cost": m.COST, "hours": m.HOURS}
+SUMS, SQUARES, EXTREMES = list(_SUMS), list(_SQUARES), [f"{c}_{end}" for c in _MEASURES for end in ("min", "max")]
 #: kind tells a day's parts from the words of its bitmaps; as_of is when its newest session was stored.
 SUMMARY_DDL = ", ".join(
     ["date date", "kind string", "word bigint", "bits bigint", "n bigint", "as_of timestamp"]
     + [f"{c} {_AMOUNT}" for c in SUMS]
+    + [f"{c} decimal(38,0)" for c in SQUARES]
     + [f"{c} bigint" for c in COUNTS]
     + [f"{c} {_AMOUNT}" for c in EXTREMES]
     + [f"{MONTH} date"]
@@ -69,8 +73,9 @@ def refresh_days(sessions: DataFrame, folder: str, months: Sequence[date | None]
         stored.cast("timestamp").alias("as_of"),
         *(F.sum(F.expr(value)).cast(_AMOUNT).alias(name) for name, value in _SUMS.items()),
         *(F.count(F.expr(value)).alias(name) for name, value in COUNTS.items()),
-        F.min(m.COST).cast(_AMOUNT).alias("cost_min"),
-        F.max(m.COST).cast(_AMOUNT).alias("cost_max"),
+        *(F.sum(squared_units(F.col(c), m.SCALES[c])).alias(name) for name, c in _SQUARES.items()),
+        *(F.min(c).cast(_AMOUNT).alias(f"{name}_min") for name, c in _MEASURES.items()),
+        *(F.max(c).cast(_AMOUNT).alias(f"{name}_max") for name, c in _MEASURES.items()),
     )
     rows = parts.withColumn("kind", F.lit(PARTS))
     for kind, column in ((USER_BITS, m.USER), (STATION_BITS, m.STATION)):
@@ -130,8 +135,8 @@ def merged(summary: DataFrame, **period: Column) -> DataFrame:
     rows are few by then: words and days, not sessions.
     """
     keys = list(period)
-    kept = [F.sum(c).alias(c) for c in ("n", *SUMS, *COUNTS)]
-    kept += [F.min("cost_min").alias("cost_min"), F.max("cost_max").alias("cost_max")]
+    kept = [F.sum(c).alias(c) for c in ("n", *SUMS, *SQUARES, *COUNTS)]
+    kept += [(F.min if c.endswith("_min") else F.max)(c).alias(c) for c in EXTREMES]
     words = summary.select(*(value.alias(name) for name, value in period.items()), *summary.columns)
     words = words.groupBy(*keys, "kind", "word").agg(
         F.bit_or("bits").alias("bits"),
