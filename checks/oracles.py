@@ -546,6 +546,12 @@ UNION ALL SELECT 'Avg Cost', date, avg_cost FROM days""",
         "daily_overview_streamed": _ses(_OVERVIEW),
         "daily_overview_stored": _ses(_OVERVIEW),
         "daily_windows_streamed": _evt(f"SELECT day AS date, {VOLUME} FROM closed GROUP BY ALL"),
+        "closed_days_with_late_sessions": f"""WITH {_EVT}, told AS (
+  SELECT *, hours_m % 10 = 3 AND day + INTERVAL 25 HOUR <= (SELECT max(ts) FROM evt WHERE hours_m % 10 <> 3) AS late
+  FROM closed),
+counted AS (SELECT day AS date, {VOLUME} FROM told WHERE NOT late GROUP BY ALL),
+kept AS (SELECT day AS date, count(*) AS late FROM told WHERE late GROUP BY ALL)
+SELECT counted.*, coalesce(kept.late, 0) AS late FROM counted LEFT JOIN kept USING (date)""",
         "daily_users_streamed": _evt(
             "SELECT day AS date, count(DISTINCT user_id) AS unique_users FROM closed GROUP BY ALL"
         ),

@@ -116,6 +116,30 @@ def _on_events(report, **arguments) -> Query:
     return run
 
 
+def _late_kept(spark: SparkSession, d: str) -> DataFrame:
+    """Every tenth event comes when all others are through, most of them after their day was closed; the stream restarts twice."""
+    folder = new_folder(spark, "closed-days")
+    database = "checks_" + folder.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/tables'")
+    before = spark.catalog.currentDatabase()
+    spark.catalog.setCurrentDatabase(database)
+    try:
+        create_tables(spark)
+        events, held = views.table(spark, d, "events"), F.col("event_id") % 10 == 3
+        early = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+        for part in (~held & early, ~held & ~early, held):
+            events.where(part).write.mode("append").parquet(f"{folder}/feed")
+            feed = spark.readStream.schema(events.schema).parquet(f"{folder}/feed")
+            sessions = views.sessions_from_events(feed)
+            st.start_closed_days(sessions, f"{folder}/days", f"{folder}/state", interval=None).awaitTermination()
+        start = F.get_json_object("fields", "$.charging_start_time")
+        late = open_rejects(spark).groupBy(F.to_date(F.substring(start, 1, 10)).alias("date"))
+        found = st.closed_days(spark, f"{folder}/days").join(late.agg(F.count(F.lit(1)).alias("late")), "date", "left")
+        return found.withColumn("late", F.coalesce("late", F.lit(0)))
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
 def _messages(spark: SparkSession, d: str) -> DataFrame:
     decoded = st.messages_of(views.messages_from_events(views.streamed(spark, d, "events")), TOPIC).drop("undecoded")
     # an instant is compared as local time
@@ -403,6 +427,7 @@ def queries() -> dict[str, Query]:
         "daily_overview_streamed": _streamed_overview,
         "daily_overview_stored": _stored_overview,
         "daily_windows_streamed": _on_events(st.daily_windows),
+        "closed_days_with_late_sessions": _late_kept,
         "daily_users_streamed": _on_events(st.daily_users),
         "daily_users_estimate_streamed": _on_events(st.daily_users_estimate),
         "daily_users_estimate_checked": _estimate_checked,
