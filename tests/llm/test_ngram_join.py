@@ -153,6 +153,26 @@ def test_one_of_each_group_stays(odd_docs, odd_rows):
     assert sum(r.doc_id is None for r in kept) == 2
 
 
+def test_rows_without_an_id_of_their_own(spark):
+    """Null, repeated and shared ids: one row of each group stays, and clean rows all do."""
+    rng = random.Random(8)
+    text = lambda n: " ".join(edited(rng, base, n))
+    base = [f"a{rng.randrange(400)}" for _ in range(200)]
+    nameless = [(None, text(1), f"n{k}") for k in range(3)]
+    clean = [(7, " ".join(f"clean{k}" for k in range(40)), "c"), (None, " ".join(f"other{k}" for k in range(40)), "c")]
+    base = [f"b{rng.randrange(400)}" for _ in range(200)]
+    near = [(9, text(1), "s"), (7, text(1), "s"), (None, text(1), "s"), (12, text(0), "s")]
+    twice = [(5, "five words that come twice", "x"), (5, "five words that come twice", "y"), (None, "", "e"), (None, "", "e")]
+    rows = nameless + clean + near + twice
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _ROW string").repartition(4)
+    kept = drop_similar(docs)
+    assert kept.columns == docs.columns
+    got = [tuple(r) for r in kept.collect()]
+    assert len(got) == 1 + 2 + 1 + 1 + 2 and set(got) <= set(rows)
+    assert sum(r in nameless for r in got) == 1 and set(clean) <= set(got) and near[1] in got
+    assert sum(r[2] in "xy" for r in got) == 1 and got.count((None, "", "e")) == 2
+
+
 def test_shingles_of_texts_are_apart():
     texts = ["a b c d e", "b c d e", "A  B\tC\nD E", "a", "", "x" * 50 + " b c d", "a b", "ab", None]
     sets = []

@@ -604,18 +604,35 @@ def _by_row(found: _Classes, classes: DataFrame, values: tuple[str, ...]) -> Dat
 
 
 def drop_similar(docs: DataFrame, words: int = 5, least: int = 80, of: int = 100) -> DataFrame:
-    """The rows of ``docs``, with all their columns, without those of a group of similar documents but its smallest doc_id.
+    """The rows of ``docs``, with all their columns, without those of a group of similar documents but one, of the smallest doc_id.
 
     Groups are those of :func:`similar_documents`; NULL texts are empty, and
-    empty sets are in no group. Rows are told apart by doc_id: rows that share
-    one stay or go together, and rows without one stay. An empty table stays
-    empty; all columns are kept under their names.
+    empty sets are in no group: such rows all stay. Of each group one row stays,
+    rows without doc_id come last, and of rows with the same doc_id any one is
+    taken. Rows are told apart by a 64-bit hash of doc_id and text, so rows that
+    share a doc_id but not the text stay or go each for itself. An empty table
+    stays empty; all columns are kept under their names, whatever these are.
     """
-    found = _classes(docs, words, least, of)
+    key = "_row"
+    while key in (c.lower() for c in docs.columns):
+        key += "_"
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    found = _classes(keyed.select(F.col(key).alias("doc_id"), "text"), words, least, of)
     component, _ = _components(found, words, least, of)
     groups = _by_row(found, _with_component(found.classes.select("c1", "c2", "members", "id"), component), ("component_id",))
-    gone = written(groups.where("doc_id <> component_id").select("doc_id").distinct(), "similar")
-    return docs.join(_few(gone), "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    groups = groups.where("n_shingles > 0").select(F.col("doc_id").alias(key), "component_id").distinct()
+    rows = keyed.groupBy(key).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    groups = written(groups.join(rows, key), "similar")
+    first = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(key))
+    stays = groups.groupBy("component_id").agg(F.min_by(key, first).alias(key)).select(key)
+    # taken away by row, not by group: a group may hold a third of all rows
+    gone = written(groups.select(key).join(stays, key, "left_anti"), "similar-gone")
+    repeated = written(groups.where("n > 1").select(key).join(gone, key, "left_anti").distinct(), "similar-repeated")
+    left = keyed.join(_few(gone), key, "left_anti").select(key, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    if not repeated.isEmpty():
+        once = left.join(_few(repeated), key, "left_semi").groupBy(key).agg(F.first("row").alias("row"))
+        left = left.join(_few(repeated), key, "left_anti").unionByName(once)
+    return left.select("row.*")
 
 
 def _few(ids: DataFrame) -> DataFrame:
