@@ -39,6 +39,12 @@ closed AS (
   SELECT * FROM evt WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR)"""
 
 
+# sessions of closed days; every tenth came when the others were through
+_TOLD = """told AS (
+  SELECT *, hours_m % 10 = 3 AND day + INTERVAL 25 HOUR <= (SELECT max(ts) FROM evt WHERE hours_m % 10 <> 3) AS late
+  FROM closed)"""
+
+
 def _ses(body: str) -> str:
     return f"WITH {_SES}\n{body}"
 
@@ -546,12 +552,15 @@ UNION ALL SELECT 'Avg Cost', date, avg_cost FROM days""",
         "daily_overview_streamed": _ses(_OVERVIEW),
         "daily_overview_stored": _ses(_OVERVIEW),
         "daily_windows_streamed": _evt(f"SELECT day AS date, {VOLUME} FROM closed GROUP BY ALL"),
-        "closed_days_with_late_sessions": f"""WITH {_EVT}, told AS (
-  SELECT *, hours_m % 10 = 3 AND day + INTERVAL 25 HOUR <= (SELECT max(ts) FROM evt WHERE hours_m % 10 <> 3) AS late
-  FROM closed),
+        "closed_days_with_late_sessions": f"""WITH {_EVT}, {_TOLD},
 counted AS (SELECT day AS date, {VOLUME} FROM told WHERE NOT late GROUP BY ALL),
 kept AS (SELECT day AS date, count(*) AS late FROM told WHERE late GROUP BY ALL)
 SELECT counted.*, coalesce(kept.late, 0) AS late FROM counted LEFT JOIN kept USING (date)""",
+        "closed_users_by_period": f"""WITH {_EVT}, {_TOLD},
+counted AS (SELECT day, user_id, unnest(['day', 'week', 'month']) AS period FROM told WHERE NOT late)
+SELECT period, CAST(date_trunc(period, day) AS DATE) AS first_day, count(DISTINCT day) AS days,
+  count(DISTINCT user_id) AS unique_users, 1 AS estimate_is_near
+FROM counted GROUP BY 1, 2""",
         "daily_users_streamed": _evt(
             "SELECT day AS date, count(DISTINCT user_id) AS unique_users FROM closed GROUP BY ALL"
         ),

@@ -116,7 +116,7 @@ def _on_events(report, **arguments) -> Query:
     return run
 
 
-def _late_kept(spark: SparkSession, d: str) -> DataFrame:
+def _with_closed_days(spark: SparkSession, d: str, read: Callable[[str], DataFrame]) -> DataFrame:
     """Every tenth event comes when all others are through, most of them after their day was closed; the stream restarts twice."""
     folder = new_folder(spark, "closed-days")
     database = "checks_" + folder.rsplit("-", 1)[1]
@@ -132,12 +132,43 @@ def _late_kept(spark: SparkSession, d: str) -> DataFrame:
             feed = spark.readStream.schema(events.schema).parquet(f"{folder}/feed")
             sessions = views.sessions_from_events(feed)
             st.start_closed_days(sessions, f"{folder}/days", f"{folder}/state", interval=None).awaitTermination()
+        return read(f"{folder}/days")
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
+def _late_kept(spark: SparkSession, d: str) -> DataFrame:
+    def read(folder: str) -> DataFrame:
         start = F.get_json_object("fields", "$.charging_start_time")
         late = open_rejects(spark).groupBy(F.to_date(F.substring(start, 1, 10)).alias("date"))
-        found = st.closed_days(spark, f"{folder}/days").join(late.agg(F.count(F.lit(1)).alias("late")), "date", "left")
+        found = st.closed_days(spark, folder).join(late.agg(F.count(F.lit(1)).alias("late")), "date", "left")
         return found.withColumn("late", F.coalesce("late", F.lit(0)))
-    finally:
-        spark.catalog.setCurrentDatabase(before)
+
+    return _with_closed_days(spark, d, read)
+
+
+def _users_of_closed_days(spark: SparkSession, d: str) -> DataFrame:
+    """Per day, week and month the exact users on closed days, and whether the stored sketches tell them within three times their error."""
+    events, held = views.table(spark, d, "events"), F.col("event_id") % 10 == 3
+    last, in_time = events.agg(F.max("ts"), F.max(F.when(~held, F.col("ts")))).first()
+    over = F.date_add(F.to_date("ts"), 1).cast("timestamp_ntz") + F.expr("INTERVAL 1 hour")
+    counted = events.where((over <= F.lit(last)) & ~(held & (over <= F.lit(in_time))))
+    days = counted.select(F.to_date("ts").alias("date"), "user_id").distinct()
+
+    def period(folder: str, by: str) -> DataFrame:
+        first = F.col("date") if by == "day" else F.trunc("date", by)
+        exact = days.groupBy(first.alias("first_day")).agg(
+            F.count_distinct("date").alias("days"), F.count_distinct("user_id").alias("unique_users")
+        )
+        guess = st.closed_users(spark, folder, by).withColumnRenamed("unique_users", "estimate")
+        near = F.abs(F.col("estimate") - F.col("unique_users")) <= F.col("unique_users") * (3 * st.users_error())
+        both = guess.join(exact, ["first_day", "days"], "full")
+        return both.select(F.lit(by).alias("period"), "first_day", "days", "unique_users", near.cast("int").alias("estimate_is_near"))
+
+    def read(folder: str) -> DataFrame:
+        return period(folder, "day").union(period(folder, "week")).union(period(folder, "month"))
+
+    return _with_closed_days(spark, d, read)
 
 
 def _messages(spark: SparkSession, d: str) -> DataFrame:
@@ -428,6 +459,7 @@ def queries() -> dict[str, Query]:
         "daily_overview_stored": _stored_overview,
         "daily_windows_streamed": _on_events(st.daily_windows),
         "closed_days_with_late_sessions": _late_kept,
+        "closed_users_by_period": _users_of_closed_days,
         "daily_users_streamed": _on_events(st.daily_users),
         "daily_users_estimate_streamed": _on_events(st.daily_users_estimate),
         "daily_users_estimate_checked": _estimate_checked,

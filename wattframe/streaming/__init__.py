@@ -1,6 +1,6 @@
 """Streaming forms of the daily report, message decoding and chart arrays."""
 
-from .closing import closed_days, start_closed_days
+from .closing import closed_days, closed_users, start_closed_days, users_error
 from .daily import daily_users, daily_users_estimate, daily_windows, start_daily_overview
 from .messages import messages_of
 from .overview import start_stored_overview, stored_days, stored_overview
@@ -9,6 +9,7 @@ from .series import chart_series
 __all__ = [
     "chart_series",
     "closed_days",
+    "closed_users",
     "daily_users",
     "daily_users_estimate",
     "daily_windows",
@@ -18,4 +19,5 @@ __all__ = [
     "start_stored_overview",
     "stored_days",
     "stored_overview",
+    "users_error",
 ]
