@@ -599,5 +599,9 @@ FROM lines WHERE reject_reason IS NOT NULL GROUP BY ALL""",
 FROM ses WHERE vehicle_model = '{MODEL}' AND cost_c >= {DEAR * 100} GROUP BY ALL"""
         ),
     }
+    # a copy laid out otherwise holds the same sessions
+    found["user_daily_usage_clustered"] = found["user_daily_usage_of_one"]
+    found["station_daily_usage_clustered"] = found["station_daily_usage_of_one"]
+    found["station_peak_hours_clustered"] = found["station_peak_hours"]
     # reports from the stored summary give what the reports from all sessions give
     return found | {name: found[name.removesuffix("_of_days")] for name in OF_DAYS}

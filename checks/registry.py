@@ -25,6 +25,7 @@ from wattframe.sources import (
     read_stations,
 )
 
+from wattframe.sources.clustered import open_clustered_folder, refresh_clustered
 from wattframe.sources.day_summary import open_days, refresh_days
 
 from . import files, views
@@ -358,6 +359,27 @@ def _from_days(report) -> Query:
 # --- SQL text with bound values ----------------------------------------------------------------
 
 
+_COPIES: dict[tuple[str, str], str] = {}
+
+
+def _clustered(spark: SparkSession, d: str) -> DataFrame:
+    """A copy of all sessions laid out by user and station, stored once per application; every February is laid out a second time."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _COPIES:
+        folder = new_folder(spark, "clustered")
+        sessions = views.sessions(spark, d)
+        refresh_clustered(sessions, folder)
+        month = F.trunc(F.to_date("charging_start_time"), "month")
+        months = sessions.where(F.month(month) == 2).select(month).distinct()
+        refresh_clustered(sessions, folder, [row[0] for row in months.collect()])
+        _COPIES[key] = folder
+    return open_clustered_folder(spark, _COPIES[key])
+
+
+def _from_clustered(report, **arguments) -> Query:
+    return lambda spark, d: report(_clustered(spark, d), **arguments)
+
+
 def _bound_query(spark: SparkSession, d: str) -> DataFrame:
     text = """
         SELECT charging_station_id, count(*) AS sessions, CAST(max(charging_cost_eur) AS DOUBLE) AS dearest
@@ -480,5 +502,8 @@ def queries() -> dict[str, Query]:
         **{f"{report.__name__}_of_days": _from_days(report) for report in days.REPORTS},
         "daily_overview_of_days": _from_days(lambda summary: days.daily_overview(summary, fixed.OVERVIEW_DAYS)),
         # SQL text
+        "user_daily_usage_clustered": _from_clustered(op.user_daily_usage, user_id=USER),
+        "station_daily_usage_clustered": _from_clustered(op.station_daily_usage, station_id=STATION),
+        "station_peak_hours_clustered": _from_clustered(op.station_peak_hours, station_id=STATION),
         "bound_query": _bound_query,
     }

@@ -5,10 +5,12 @@ from .ledger import load_new_files
 from .tables import (
     create_tables,
     drop_tables,
+    keep_clustered,
     keep_summary,
     load_all,
     load_sessions,
     load_stations,
+    open_clustered,
     open_rejects,
     open_sessions,
     open_stations,
@@ -21,11 +23,13 @@ __all__ = [
     "create_tables",
     "drop_tables",
     "first_per_station",
+    "keep_clustered",
     "keep_summary",
     "load_all",
     "load_new_files",
     "load_sessions",
     "load_stations",
+    "open_clustered",
     "open_rejects",
     "open_sessions",
     "open_stations",

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
+from .clustered import open_clustered_folder, refresh_clustered, stored_parts
 from .day_summary import open_days, refresh_days, stale_months
 from .ingest import REASON, Parsed, first_per_station, read_sessions, read_stations
 from .schema import BATCH, MONTH, REJECT_DDL, SESSION_DDL, STATION_DDL
@@ -20,6 +21,8 @@ NEXT_ID = "wattframe.next_id"
 REPLACEMENT, PREVIOUS = "_replacement", "_previous"
 # beside the tables, once it is asked for: the summary of days
 SUMMARY = "ev_day_summary"
+# likewise: the sessions laid out by user and station
+CLUSTERED = "ev_clustered_sessions"
 
 
 _SESSIONS = f"{SESSION_DDL}, {MONTH} date, {BATCH} string"
@@ -92,7 +95,8 @@ def drop_tables(spark: SparkSession) -> None:
             for end in ("", REPLACEMENT, PREVIOUS):
                 _files(spark, folder).delete(_path(spark, folder + end), True)
             if table == fixed.SESSIONS_TABLE:
-                _files(spark, folder).delete(_path(spark, _beside(folder)), True)
+                for kept in (SUMMARY, CLUSTERED):
+                    _files(spark, folder).delete(_path(spark, _beside(folder, kept)), True)
 
 
 def _folder(spark: SparkSession, table: str) -> str:
@@ -122,8 +126,8 @@ def open_sessions(spark: SparkSession, since: datetime | None = None, until: dat
     return stored.drop(MONTH, BATCH)
 
 
-def _beside(folder: str) -> str:
-    return f"{folder.rstrip('/').rsplit('/', 1)[0]}/{SUMMARY}"
+def _beside(folder: str, name: str = SUMMARY) -> str:
+    return f"{folder.rstrip('/').rsplit('/', 1)[0]}/{name}"
 
 
 def keep_summary(spark: SparkSession, months: Sequence[date | None] | None = None) -> list[date | None]:
@@ -148,6 +152,33 @@ def keep_summary(spark: SparkSession, months: Sequence[date | None] | None = Non
     return list(months)
 
 
+def keep_clustered(spark: SparkSession, months: Sequence[date | None] | None = None) -> list[date | None]:
+    """Stores a copy of the sessions laid out for reports on one user or station, or brings it up to date.
+
+    From then on every load keeps it up, as with :func:`keep_summary`: the months
+    a load touched are laid out anew. Without ``months`` those are found that
+    differ from the stored sessions. Returns the months that were written.
+    """
+    folder = _beside(_folder(spark, fixed.SESSIONS_TABLE), CLUSTERED)
+    stored = spark.table(fixed.SESSIONS_TABLE)
+    if not _files(spark, folder).exists(_path(spark, f"{folder}/_SUCCESS")):
+        refresh_clustered(stored.drop(MONTH), folder)
+        return [row[0] for row in stored.select(MONTH).distinct().collect()]
+    if months is None:
+        months = stale_months(stored, stored_parts(open_clustered_folder(spark, folder)))
+    if months:
+        known = [month for month in months if month is not None]
+        wanted = F.col(MONTH).isin(known) if known else F.lit(False)
+        rows = stored.where(wanted | F.col(MONTH).isNull() if None in months else wanted)
+        refresh_clustered(rows.drop(MONTH), folder, months)
+    return list(months)
+
+
+def open_clustered(spark: SparkSession) -> DataFrame:
+    """The stored sessions from the copy of :func:`keep_clustered`: the same rows, for reports on one user or station."""
+    return open_clustered_folder(spark, _beside(_folder(spark, fixed.SESSIONS_TABLE), CLUSTERED)).drop(MONTH)
+
+
 def open_summary(spark: SparkSession) -> DataFrame:
     """The summary of days of the stored sessions, for the reports in ``operators.days``."""
     return open_days(spark, _beside(_folder(spark, fixed.SESSIONS_TABLE)))
@@ -235,6 +266,12 @@ def load_sessions(
             refresh_days(spark.table(fixed.SESSIONS_TABLE).drop(MONTH), summary)
         else:
             keep_summary(spark, months + [None] * bool(untimed))
+    copy = _beside(_folder(spark, fixed.SESSIONS_TABLE), CLUSTERED)
+    if _files(spark, copy).exists(_path(spark, copy)):
+        if replace:
+            refresh_clustered(spark.table(fixed.SESSIONS_TABLE).drop(MONTH), copy)
+        else:
+            keep_clustered(spark, months + [None] * bool(untimed))
     return counts, replaced(parsed, refused=by_reason)
 
 
