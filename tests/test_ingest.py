@@ -269,3 +269,13 @@ def test_first_row_across_files_and_blocks(spark, tmp_path):
 def test_surplus_field_refuses_a_station(spark, tmp_path):
     parsed = _stations(spark, tmp_path / "a.csv", STATION + ["x"], STATION)
     assert {r["reject_reason"]: r["lines"] for r in parsed.counts().collect()} == {None: 1, "too many fields": 1}
+
+
+def test_values_are_computed_once(spark, tmp_path):
+    """Also where the order of the lines is dropped: no condition on the values moves below them and repeats them."""
+    parsed = read_sessions(spark, _file(tmp_path / "s.csv", [_line(), _line(**{"Charging End Time": "soon"})]))
+    loaded = parsed.loaded.drop("_order")
+    plan = loaded._jdf.queryExecution().optimizedPlan().toString()
+    times = sum(kind == "timestamp_ntz" for _, _, kind in fixed.SESSION_COLUMNS)
+    assert plan.count("regexp_replace") == times + 1  # and one that counts fields
+    assert loaded.count() == 1

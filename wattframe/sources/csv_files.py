@@ -11,6 +11,7 @@ from .. import fixed_values as fixed
 LINE = "_line"
 FIELDS = "_fields"
 BLOCK = "_block"
+_ONE_BYTE = "".join(c for c in fixed.WHITE_SPACE if c.isascii())
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], multiline: bool = False) -> DataFrame:
@@ -51,13 +52,19 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], multiline: bool
     counted = F.greatest(_count_fields(F.col(LINE)), at_least)
     fields = F.when(F.col(LINE).isNull(), width).otherwise(counted)
     return lines.select(
-        *[F.btrim(F.col(f"`{name}`"), F.lit(fixed.WHITE_SPACE)).alias(name.strip()) for name in header],
+        *[_trimmed(F.col(f"`{name}`")).alias(name.strip()) for name in header],
         LINE,
         fields.alias(FIELDS),
         block.alias(BLOCK),
     )
 
 
+def _trimmed(text: Column) -> Column:
+    """Without white space at both ends; text of single bytes can only have the few kinds that are one."""
+    kinds = F.when(F.length(text) == F.octet_length(text), F.lit(_ONE_BYTE)).otherwise(F.lit(fixed.WHITE_SPACE))
+    return F.btrim(text, kinds)
+
+
 def _count_fields(line: Column) -> Column:
     unquoted = F.regexp_replace(line, r'"(?:[^"]|"")*"', "q")
     return F.size(F.split(unquoted, fixed.FIELD_SEPARATOR))

@@ -159,4 +159,7 @@ def _parsed(typed: DataFrame, columns: Declared, problems: list[Column], *extra:
     reasons = [f"missing column: {missing[0]}"] if missing else ["too many fields"]
     if not missing and len(problems) > 1:
         reasons += [_reason(name, kind) for _, name, kind in columns]
-    return Parsed(typed.withColumn(REASON, F.coalesce(*problems)), [*names, *extra, ORDER], reasons)
+    # no row number is below 0; a reason that names it keeps the projection of the values, below which no condition
+    # moves, also where the order is dropped: else each value is computed again wherever a problem names it
+    reason = F.when(F.col(f"{ORDER}.row") >= 0, F.coalesce(*problems))
+    return Parsed(typed.withColumn(REASON, reason), [*names, *extra, ORDER], reasons)
