@@ -123,3 +123,22 @@ def test_deviation_is_the_same_however_rows_are_spread(spark):
     assert found == {wanted}
     same = sessions(spark, *[{"charging_cost_eur": "999999.99"}] * 7)
     assert op.cost_statistics(same).first().cost_std_dev == 0.0
+
+
+def test_words_are_stored_and_grouped_without_figures(spark, tmp_path):
+    """Words are many: they have no room for the figures of a day, and their groups add up none."""
+    folder = str(tmp_path)
+    refresh_days(sessions(spark, *({"user_id": f"u{k}"} for k in range(200))), folder)
+    stored = spark.read.parquet(f"{folder}/days")
+    assert sorted(stored.columns) == ["bits", "date", "figures_of_days", "kind", "start_month", "word"]
+    assert stored.where("kind <> 'parts' AND figures_of_days IS NOT NULL").isEmpty()
+    plan = merged(open_days(spark, folder), month=F.trunc("date", "month"))._jdf.queryExecution().optimizedPlan().toString()
+    words = [line for line in plan.splitlines() if "Aggregate" in line and "bit_or" in line]
+    assert words and not any("energy_sum" in line for line in words)
+
+
+def test_summary_with_figures_as_columns_is_still_read(spark, tmp_path):
+    refresh_days(sessions(spark, *ODD), f"{tmp_path}/new")
+    new = open_days(spark, f"{tmp_path}/new")
+    new.write.partitionBy("start_month").parquet(f"{tmp_path}/old/days")
+    assert sorted(map(str, open_days(spark, f"{tmp_path}/old").collect())) == sorted(map(str, new.collect()))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..functions.rounding import deviation_of_parts, mean_of_parts, published, ratio
 from ..plans import measures as m
-from ..sources.day_summary import merged
+from ..sources.day_summary import merged, summed
 
 
 def _total(column: str, name: str) -> Column:
@@ -36,7 +36,7 @@ def _whole(summary: DataFrame, measure: str, scale: int, *names: str) -> DataFra
     found = n, published(mean), *(published(F.col(f"{measure}_{end}")) for end in ("min", "max")), published(total)
     deviation = deviation_of_parts(total, F.col(f"{measure}_squares"), n, scale)
     values = (value.alias(name) for value, name in zip((*found, deviation), names, strict=True))
-    return merged(summary).select(*values, mean.alias("_mean"))
+    return summed(summary).select(*values, mean.alias("_mean"))
 
 
 def total_energy_delivered(summary: DataFrame) -> DataFrame:
@@ -92,7 +92,7 @@ def monthly_trends_span(summary: DataFrame) -> DataFrame:
 
 
 def daily_cost_trends(summary: DataFrame) -> DataFrame:
-    days = merged(summary, day=_day()).where("cost_n > 0").select(
+    days = summed(summary, day=_day()).where("cost_n > 0").select(
         F.col("day").alias("date"),
         F.col("cost_n").alias("sessions"),
         _total("cost_sum", "total_cost"),
@@ -104,7 +104,7 @@ def daily_cost_trends(summary: DataFrame) -> DataFrame:
 
 
 def weekly_cost_trends(summary: DataFrame) -> DataFrame:
-    weeks = merged(summary, year=F.year(_day()), week=cal.week_in_calendar_year(_day())).where("cost_n > 0")
+    weeks = summed(summary, year=F.year(_day()), week=cal.week_in_calendar_year(_day())).where("cost_n > 0")
     return weeks.orderBy("year", "week").select(
         cal.week_label(F.col("year"), F.col("week")).alias("year_week"),
         F.col("first_priced").alias("week_start"),
@@ -115,7 +115,7 @@ def weekly_cost_trends(summary: DataFrame) -> DataFrame:
 
 
 def monthly_cost_trends(summary: DataFrame) -> DataFrame:
-    months = merged(summary, year=F.year(_day()), number=F.month(_day())).where("charged_cost_n > 0")
+    months = summed(summary, year=F.year(_day()), number=F.month(_day())).where("charged_cost_n > 0")
     return months.orderBy("year", "number").select(
         cal.month_label(F.col("year"), F.col("number")).alias("month"),
         cal.month_title(F.col("first_charged")).alias("month_name"),
@@ -128,7 +128,7 @@ def monthly_cost_trends(summary: DataFrame) -> DataFrame:
 
 
 def daily_energy_delivered(summary: DataFrame) -> DataFrame:
-    days = merged(summary, day=_day()).where("timed_energy_n > 0").select(
+    days = summed(summary, day=_day()).where("timed_energy_n > 0").select(
         F.col("day").alias("date"),
         F.col("timed_energy_n").alias("sessions"),
         _total("timed_energy", "total_energy_kwh"),
@@ -139,7 +139,7 @@ def daily_energy_delivered(summary: DataFrame) -> DataFrame:
 
 
 def daily_overview(summary: DataFrame, days: int) -> DataFrame:
-    newest = merged(summary, day=_day()).select(
+    newest = summed(summary, day=_day()).select(
         F.col("day").alias("date"),
         F.col("n").alias("sessions"),
         _total("energy_sum", "energy"),

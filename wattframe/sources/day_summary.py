@@ -43,6 +43,9 @@ SUMMARY_DDL = ", ".join(
     + [f"{c} {_AMOUNT}" for c in EXTREMES]
     + [f"{MONTH} date"]
 )
+#: In storage the figures are one column: it is null in the many rows of words, so that sorting them takes little memory.
+_FIGURES = ["n", "as_of", *SUMS, *SQUARES, *COUNTS, *EXTREMES]
+_DAYS = "figures_of_days"
 #: Bits of a word of a bitmap, as a power of two.
 _WORD = 6
 
@@ -77,7 +80,9 @@ def refresh_days(sessions: DataFrame, folder: str, months: Sequence[date | None]
         *(F.min(c).cast(_AMOUNT).alias(f"{name}_min") for name, c in _MEASURES.items()),
         *(F.max(c).cast(_AMOUNT).alias(f"{name}_max") for name, c in _MEASURES.items()),
     )
-    rows = parts.withColumn("kind", F.lit(PARTS))
+    stored_types = {c.split(" ")[0]: c.split(" ")[1] for c in SUMMARY_DDL.split(", ")}
+    figures = F.struct(*(F.col(c).cast(stored_types[c]).alias(c) for c in _FIGURES)).alias(_DAYS)
+    rows = parts.select("date", F.lit(PARTS).alias("kind"), figures)
     for kind, column in ((USER_BITS, m.USER), (STATION_BITS, m.STATION)):
         pairs = sessions.where(F.col(column).isNotNull()).select(day, F.col(column).alias("value")).distinct()
         pairs = staged(pairs)
@@ -86,8 +91,7 @@ def refresh_days(sessions: DataFrame, folder: str, months: Sequence[date | None]
         bits = found.groupBy("date", "word").agg(F.bit_or("bit").alias("bits"))
         rows = rows.unionByName(bits.withColumn("kind", F.lit(kind)), allowMissingColumns=True)
     rows = rows.withColumn(MONTH, F.trunc("date", "month"))
-    names = [c.split(" ")[0] for c in SUMMARY_DDL.split(", ")]
-    writer = rows.select(*names).hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH)
+    writer = rows.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH)
     mode = "static" if months is None else "dynamic"
     writer.option("partitionOverwriteMode", mode).parquet(f"{folder}/days")
     spark.catalog.refreshByPath(folder)
@@ -124,36 +128,44 @@ def _dictionary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def open_days(spark: SparkSession, folder: str) -> DataFrame:
-    """The stored summary, for the reports in ``operators.days``."""
-    return spark.read.schema(SUMMARY_DDL).parquet(f"{folder}/days")
+    """The stored summary, for the reports in ``operators.days``; also one whose figures were stored as columns of their own."""
+    types = dict(c.split(" ") for c in SUMMARY_DDL.split(", "))
+    figures = ", ".join(f"{c}: {types[c]}" for c in _FIGURES)
+    rows = spark.read.schema(f"{SUMMARY_DDL}, {_DAYS} struct<{figures}>").parquet(f"{folder}/days")
+    return rows.select(*(F.coalesce(f"{_DAYS}.{c}", c).alias(c) if c in _FIGURES else F.col(c) for c in types))
+
+
+def _added_up() -> list[Column]:
+    kept = [F.sum(c).alias(c) for c in ("n", *SUMS, *SQUARES, *COUNTS)]
+    kept += [(F.min if c.endswith("_min") else F.max)(c).alias(c) for c in EXTREMES]
+    return [*kept, *(F.min(c).alias(c) for c in ("first_day", "first_priced", "first_charged")), F.max("last_day").alias("last_day")]
+
+
+def summed(summary: DataFrame, **period: Column) -> DataFrame:
+    """One row per period of days: sums, counts, extremes, first_day and last_day. No bitmap is read."""
+    days = summary.where(F.col("kind") == PARTS).withColumns(
+        {
+            **dict.fromkeys(("first_day", "last_day"), F.col("date")),
+            "first_priced": F.when(F.col("cost_n") > 0, F.col("date")),
+            "first_charged": F.when(F.col("charged_cost_n") > 0, F.col("date")),
+        }
+    )
+    return days.groupBy(*(value.alias(name) for name, value in period.items())).agg(*_added_up())
 
 
 def merged(summary: DataFrame, **period: Column) -> DataFrame:
-    """One row per period of days: sums, counts, extremes, first_day, last_day, unique_users and stations_used.
+    """One row per period of days: what :func:`summed` gives, unique_users and stations_used.
 
-    Equal words of the period's days are united before their bits are counted;
-    rows are few by then: words and days, not sessions.
+    Equal words of the period's days are united before their bits are counted.
+    Words are many, so they are grouped without the figures of days.
     """
     keys = list(period)
-    kept = [F.sum(c).alias(c) for c in ("n", *SUMS, *SQUARES, *COUNTS)]
-    kept += [(F.min if c.endswith("_min") else F.max)(c).alias(c) for c in EXTREMES]
-    words = summary.select(*(value.alias(name) for name, value in period.items()), *summary.columns)
-    words = words.groupBy(*keys, "kind", "word").agg(
-        F.bit_or("bits").alias("bits"),
-        *kept,
-        F.min(F.when(F.col("kind") == PARTS, F.col("date"))).alias("first_day"),
-        F.max(F.when(F.col("kind") == PARTS, F.col("date"))).alias("last_day"),
-        F.min(F.when(F.col("cost_n") > 0, F.col("date"))).alias("first_priced"),
-        F.min(F.when(F.col("charged_cost_n") > 0, F.col("date"))).alias("first_charged"),
-    )
-    bits = {kind: F.sum(F.when(F.col("kind") == kind, F.bit_count("bits").cast("long"))) for kind in (USER_BITS, STATION_BITS)}
-    return words.groupBy(*keys).agg(
-        *kept,
-        *(F.min(c).alias(c) for c in ("first_day", "first_priced", "first_charged")),
-        F.max("last_day").alias("last_day"),
-        F.coalesce(bits[USER_BITS], F.lit(0)).alias("unique_users"),
-        F.coalesce(bits[STATION_BITS], F.lit(0)).alias("stations_used"),
-    )
+    words = summary.where(F.col("kind") != PARTS).groupBy(*(v.alias(k) for k, v in period.items()), "kind", "word")
+    united = words.agg(F.bit_count(F.bit_or("bits")).cast("long").alias("seen"))
+    names = {"unique_users": USER_BITS, "stations_used": STATION_BITS}
+    seen = united.groupBy(*keys).agg(*(F.sum(F.when(F.col("kind") == kind, F.col("seen"))).alias(c) for c, kind in names.items()))
+    both = summed(summary, **period).unionByName(seen, allowMissingColumns=True)
+    return both.groupBy(*keys).agg(*_added_up(), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names))
 
 
 def stale_months(sessions: DataFrame, summary: DataFrame) -> list[date | None]:
