@@ -275,3 +275,13 @@ def test_newest_sessions_are_complete(spark, limit):
         s = s.where(F.col("charging_start_time").isNotNull())
     got = [r["id"] for r in dicts(op.newest_sessions(s, limit))]
     assert got == [0, 1, 2, 3][:limit]
+
+
+def test_pairs_are_grouped_by_plain_names_under_a_collation(spark):
+    """Groups of collated text are sorted; users of stations are too many for that. Names that tie are still ordered by the collation."""
+    t = stations(spark, {"station_id": "S1", "distrito": "b"}, {"station_id": "S2", "distrito": "B"}, {"station_id": "S3", "distrito": "Á"})
+    s = sessions(spark, *({"charging_station_id": f"S{k % 3 + 1}", "user_id": f"U{k}"} for k in range(6)), {"charging_station_id": "S3"}, {"charging_station_id": "S3"})
+    report = op.usage_by_distrito(s, t, collation="UNICODE_CI_AI")
+    plan = report._jdf.queryExecution().sparkPlan().toString()
+    assert not [line for line in plan.splitlines() if "SortAggregate" in line and "user_id" in line]
+    assert [(r["distrito"], r["total_sessions"], r["unique_users"]) for r in dicts(report)] == [("Á", 4, 3), ("B", 4, 4)]

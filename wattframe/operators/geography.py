@@ -204,6 +204,8 @@ def usage_by_distrito(sessions: DataFrame, stations: DataFrame, collation: str |
     station and user first; those pairs meet the stations spread over slices.
     """
     places = collated(stations, collation).where(F.col("distrito").isNotNull()).select("station_id", "distrito")
+    # names that are equal have one spelling by now; pairs are grouped by its bytes, since groups of collated text are sorted
+    places = plain(places, collation)
     pairs = sessions.groupBy(m.STATION, m.USER).agg(*m.parts(m.ENERGY, m.COST))
     areas = locate_spread(pairs, places, m.USER, sessions.count()).groupBy("distrito").agg(
         m.distinct(m.STATION, "stations_used"),
@@ -214,6 +216,8 @@ def usage_by_distrito(sessions: DataFrame, stations: DataFrame, collation: str |
         m.total_of_parts(m.COST, "total_revenue"),
         m.mean_of_summed_parts(m.COST, "avg_cost_per_session"),
     )
+    if collation is not None:
+        areas = areas.withColumn("distrito", F.collate("distrito", collation))
     ranked = m.ranked_by(areas, "total_sessions", "distrito")
     return plain(ranked, collation)
 
