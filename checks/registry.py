@@ -92,13 +92,16 @@ def _streamed_overview(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _stored_overview(spark: SparkSession, d: str) -> DataFrame:
-    """Sessions come in the order of time, as two batches of one query and two of its restart; the table is read afterwards."""
+    """Sessions come in about the order of time, as two batches of one query and two of its restart; the table is read afterwards."""
     folder = new_folder(spark, "stored-overview")
     sessions = views.sessions(spark, d).select("id", "charging_start_time", "energy_consumed_kwh", "charging_cost_eur")
     late = F.year("charging_start_time") >= 1996
+    # a batch has as many files as half the shuffle partitions, each written by a task of its own
+    at_once = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
     for part in (F.coalesce(~late, F.lit(True)), late):
-        sessions.where(part).repartitionByRange(2, "charging_start_time").write.mode("append").parquet(f"{folder}/feed")
-        feed = spark.readStream.schema(sessions.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/feed")
+        dealt = sessions.where(part).repartitionByRange(2 * at_once, "charging_start_time")
+        dealt.write.mode("append").parquet(f"{folder}/feed")
+        feed = spark.readStream.schema(sessions.schema).option("maxFilesPerTrigger", at_once).parquet(f"{folder}/feed")
         st.start_stored_overview(feed, f"{folder}/days", f"{folder}/state", interval=None).awaitTermination()
     return st.stored_overview(spark, f"{folder}/days")
 
