@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import datetime
 from decimal import Decimal
 
@@ -279,3 +280,15 @@ def test_values_are_computed_once(spark, tmp_path):
     times = sum(kind == "timestamp_ntz" for _, _, kind in fixed.SESSION_COLUMNS)
     assert plan.count("regexp_replace") == times + 1  # and one that counts fields
     assert loaded.count() == 1
+
+
+def test_rejects_of_a_load_look_for_its_reasons_only(spark, tmp_path):
+    """Refused for the first of several problems as before, but values that no counted reason needs aren't parsed."""
+    odd = [{"Charging Cost (EUR)": "x"}, {"Charging Cost (EUR)": "x", "Vehicle Age (years)": "99999999999"}]
+    parsed = read_sessions(spark, _file(tmp_path / "s.csv", [_line(), *(_line(**changes) for changes in odd)]))
+    counts = {row["reject_reason"]: row["lines"] for row in parsed.counts().collect()}
+    assert counts.pop(None) == 1 and counts == {"bad number: charging_cost_eur": 2}
+    after = replace(parsed, refused=counts).rejects
+    assert sorted(map(str, after.collect())) == sorted(map(str, parsed.rejects.collect()))
+    plan = after._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS charging_cost_eur" in plan and "AS charging_start_time" not in plan

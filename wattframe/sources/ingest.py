@@ -30,6 +30,8 @@ class Parsed:
     # the reasons there can be, and how many lines a load has refused for each
     reasons: Sequence[str] = ()
     refused: Mapping[str, int] = field(default_factory=dict)
+    # what tells each reason, in the order in which they count
+    problems: Mapping[str, Column] = field(default_factory=dict)
 
     @property
     def loaded(self) -> DataFrame:
@@ -37,7 +39,11 @@ class Parsed:
 
     @property
     def rejects(self) -> DataFrame:
-        refused = self.lines.where(F.col(REASON).isNotNull())
+        lines = self.lines
+        if self.refused and all(reason in self.problems for reason in self.refused):
+            # after a load only its reasons are looked for; values that none of them needs aren't parsed again
+            lines = lines.withColumn(REASON, _first([c for reason, c in self.problems.items() if reason in self.refused]))
+        refused = lines.where(F.col(REASON).isNotNull())
         return refused.select(REASON, f"{ORDER}.file", f"{ORDER}.start", LINE, F.col(RAW).alias("fields"))
 
     def counts(self) -> DataFrame:
@@ -159,7 +165,15 @@ def _parsed(typed: DataFrame, columns: Declared, problems: list[Column], *extra:
     reasons = [f"missing column: {missing[0]}"] if missing else ["too many fields"]
     if not missing and len(problems) > 1:
         reasons += [_reason(name, kind) for _, name, kind in columns]
-    # no row number is below 0; a reason that names it keeps the projection of the values, below which no condition
-    # moves, also where the order is dropped: else each value is computed again wherever a problem names it
-    reason = F.when(F.col(f"{ORDER}.row") >= 0, F.coalesce(*problems))
-    return Parsed(typed.withColumn(REASON, reason), [*names, *extra, ORDER], reasons)
+    found = dict(zip(reasons, problems, strict=True))
+    return Parsed(typed.withColumn(REASON, _first(problems)), [*names, *extra, ORDER], reasons, problems=found)
+
+
+def _first(problems: list[Column]) -> Column:
+    """The first problem of a line.
+
+    No row number is below 0; a reason that names it keeps the projection of the
+    values, below which no condition moves, also where the order is dropped: else
+    each value is computed again wherever a problem names it.
+    """
+    return F.when(F.col(f"{ORDER}.row") >= 0, F.coalesce(*problems))
