@@ -120,6 +120,40 @@ def test_runs_add_up_over_the_arrays_of_a_host(spark, monkeypatch):
     assert all(some[0] not in t and some[1] not in t for t in one.values())
 
 
+def articles(seen, of=60, k0=0, host="h.example"):
+    """Pages that mark their article; an unmarked notice is in the article of so many."""
+    notice = "<div>Our readers pay for all of this so join them today</div>"
+    own = lambda k: f"text {k} begins " + " ".join(f"w{k}x{c}" for c in range(40))
+    passage = "a passage that quite a few of these articles share word by word"
+    inner = lambda k: f"<p>{own(k)}</p>{notice if k < seen else ''}<p>{passage if k % 3 == 0 else own(-1 - k)}</p>"
+    rows = [(k0 + k, f"http://{host}/{k}", f"<nav>menu</nav><article>{inner(k)}</article>") for k in range(of)]
+    return rows, {k0 + k: f"{own(k)}\n{passage if k % 3 == 0 else own(-1 - k)}" for k in range(of)}
+
+
+@pytest.mark.parametrize("per_array", [512, 7])
+def test_an_unmarked_notice_in_most_articles_of_a_host_goes(spark, monkeypatch, per_array):
+    """However a host is dealt; copies count once, shared passages and a notice on fewer articles stay."""
+    monkeypatch.setattr(html_text, "PAGES_PER_ARRAY", per_array)
+    rows, want = articles(34)
+    rows += [(100 + k, "http://h.example/copy", rows[59][2]) for k in range(50)]
+    want |= {100 + k: want[59] for k in range(50)}
+    rare, texts = articles(30, k0=1000, host="rare.example")
+    few, more = articles(9, of=9, k0=2000, host="few.example")
+    got = {r.page_id: (r.text, r.n_chars) for r in main_texts(frame(spark, rows + rare + few + [(5000, "http://h.example/", None)])).collect()}
+    assert {k: got[k] for k in want} == {k: (t, len(t)) for k, t in want.items()}
+    notice = "Our readers pay for all of this so join them today"
+    assert all(got[k][0].replace(f"\n{notice}", "") == t for k, t in (texts | more).items())
+    assert sum(notice in got[k][0] for k in texts) == 30 and sum(notice in got[k][0] for k in more) == 9
+    assert got[5000] == ("", 0) and len(got) == len(rows) + 60 + 9 + 1
+
+
+def test_copies_of_an_article_with_small_changes_stay_whole(spark):
+    text = "".join(f"<p>paragraph {c} of a story that goes on like this for long</p>" for c in "abcd")
+    rows = [(k, "http://h/", f"<article><h1>edition {k} of {k} by {k * k}</h1>{text}</article>") for k in range(20)]
+    got = {r.page_id: r.text for r in main_texts(frame(spark, rows)).collect()}
+    assert all(got[k] == page_blocks(rows[k][2])[0] for k in range(20))
+
+
 def test_test_pages(spark):
     """Every article, whole, by a plain reading of these pages."""
     pages = table(spark, "/root/testdata/sf0.01", "pages")

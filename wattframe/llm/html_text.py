@@ -15,7 +15,7 @@ from .shingles import mixed
 
 #: Distinct pages of a host that one suffix array holds, on average.
 PAGES_PER_ARRAY = 512
-#: Hosts, at most, that are sent to all tasks.
+#: Hosts, or runs of hosts, at most, that are sent to all tasks.
 MOST_SENT = 500_000
 #: Tokens that must be the same on several pages for them to be repeated.
 RUN_TOKENS = 6
@@ -23,6 +23,8 @@ RUN_TOKENS = 6
 LONG_RUN = 20
 #: Distinct pages of a host, whatever its size, on which a run must come to be repeated.
 LEAST_PAGES = 3
+#: Distinct articles of a host, besides more than half of them, on which a run must come to be no part of an article.
+MANY_ARTICLES = 10
 
 # Element names and words of class, id and role.
 _UNREAD = "script style template noscript textarea title select svg math iframe object canvas audio video button".split()
@@ -198,6 +200,7 @@ class _Runs:
             rank = rank.reshape(-1)
             reach += step
         self.rank = rank
+        self.pages = len(alike)
         # distinct pages among the neighbours that agree
         pairs = np.unique(rank * len(streams) + np.repeat(page, sizes))
         self.spread = np.bincount(pairs // len(streams), minlength=int(rank.max()) + 1)
@@ -324,9 +327,134 @@ def _texts_by_host(pages: DataFrame) -> DataFrame:
     return both.applyInArrow(_texts_of_array, "host string, page string, text string")
 
 
-def _few(hosts: DataFrame) -> DataFrame:
-    """The hosts, marked to be sent to all tasks if there are few enough: else pages are shuffled by host first."""
-    return F.broadcast(hosts) if hosts.count() <= MOST_SENT else hosts
+def _few(hosts: DataFrame, runs: str | None = None) -> DataFrame:
+    """The hosts, marked to be sent to all tasks if there are few enough: else pages are shuffled by host first.
+
+    Hosts with lists of runs count by these.
+    """
+    number = hosts.agg(F.sum(F.size(runs))).first()[0] or 0 if runs else hosts.count()
+    return F.broadcast(hosts) if number <= MOST_SENT else hosts
+
+
+def article_text(article: str, covered: np.ndarray) -> str:
+    """The blocks of an article without those covered as a whole; an article that is mostly so is a copy and stays."""
+    kept, at, gone = [], 0, 0
+    for block in article.split("\n"):
+        size = block.count(" ") + 1
+        if covered[at : at + size].all():
+            gone += size
+        else:
+            kept.append(block)
+        at += size
+    return "\n".join(kept) if 2 * gone <= at else article
+
+
+def _tokens(article: str) -> list[str]:
+    return article.replace("\n", " ").split(" ")
+
+
+_ARTICLES = "host string, stream long, packed binary"
+_COMMON = "host string, run long"
+_SEEN = "host string, run long, stream long"
+
+
+def _articles(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The articles of pages (url, host, html), packed, equal ones of a task once; of a host's pages without one a NULL."""
+    seen: set[tuple[str, bytes]] = set()
+    schema = pa.schema([("host", pa.string()), ("stream", pa.int64()), ("packed", pa.binary())])
+    for frame in frames:
+        rows = []
+        for host, page in zip(frame.column("host").to_pylist(), frame.column("html"), strict=True):
+            article = page_blocks(page.as_py())[0]
+            text = b"" if article is None else b"\n" + article.encode()
+            key = host, xxhash.xxh3_128_digest(text)
+            if key not in seen:
+                seen.add(key)
+                packed = None if article is None else len(text).to_bytes(8, "little") + pa.compress(text, "zstd", asbytes=True)
+                rows.append((host, _number(text.replace(b"\n", b" ")), packed))
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
+
+
+def _number(text: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
+
+
+def _common_of_array(group: pa.Table) -> pa.Table:
+    """The runs that more than half of an array's distinct articles have; a NULL if the host has pages without one."""
+    packed = group.column("packed").to_pylist()
+    streams = [
+        _tokens(pa.decompress(p[8:], int.from_bytes(p[:8], "little"), "zstd", asbytes=True)[1:].decode()) for p in packed if p is not None
+    ]
+    found = [None] if None in packed else []
+    if streams:
+        runs = _Runs(streams, RUN_TOKENS)
+        # a run of most of a host's articles is one of most of some array's
+        common = 2 * runs.spread > runs.pages
+        if group.column("arrays")[0].as_py() == 1:
+            common &= runs.spread >= MANY_ARTICLES
+        if common.any():
+            hashes, shared = runs.hashes()
+            found += hashes[common & shared].view(np.int64).tolist()
+    return pa.table([pa.repeat(group.column("host")[0], len(found)), pa.array(found, pa.int64())], ["host", "run"])
+
+
+def _known_runs(frame: pa.RecordBatch) -> Iterator[tuple[int, str | None, _Runs | None, np.ndarray | None, np.ndarray | None]]:
+    """Of each page (host, html, runs) its number, its article, the article's runs, their hashes, and which are known."""
+    for nth, (page, known) in enumerate(zip(frame.column("html"), frame.column("runs"), strict=True)):
+        article = page_blocks(page.as_py())[0]
+        if article is None or not known.is_valid:
+            yield nth, article, None, None, None
+            continue
+        runs = _Runs([_tokens(article)], RUN_TOKENS)
+        hashes, shared = runs.hashes()
+        yield nth, article, runs, hashes, shared & np.isin(hashes, known.values.to_numpy().view(np.uint64))
+
+
+def _seen_runs(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Which known runs an article has, and a NULL for each article."""
+    schema = pa.schema([("host", pa.string()), ("run", pa.int64()), ("stream", pa.int64())])
+    for frame in frames:
+        hosts, rows = frame.column("host").to_pylist(), []
+        for nth, article, runs, hashes, known in _known_runs(frame):
+            if runs is not None:
+                stream = _number(b" " + article.replace("\n", " ").encode())
+                rows += [(hosts[nth], run, stream) for run in (None, *hashes[known].view(np.int64).tolist())]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
+
+
+def _article_texts(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of the pages that mark an article, without the blocks in it that consist of known runs."""
+    for frame in frames:
+        at, texts = [], []
+        for nth, article, runs, _, known in _known_runs(frame):
+            if article is not None:
+                at.append(nth)
+                texts.append(article if runs is None else article_text(article, runs.covered(known)[0]))
+        kept = frame.take(pa.array(at, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*kept.columns[:2], pa.array(texts, pa.string())], ["page_id", "url", "text"])
+
+
+def _common_runs(rows: DataFrame) -> DataFrame:
+    """From pages (host, html) the runs that more than half of the articles of one of a host's arrays have.
+
+    A host with pages that mark no article has a NULL, too.
+    """
+    arrays = rows.groupBy("host").agg(F.ceil(F.count("*") / PAGES_PER_ARRAY).alias("arrays"))
+    articles = rows.select("host", "html").mapInArrow(_articles, _ARTICLES)
+    dealt = articles.join(_few(written(arrays, "arrays")), "host")
+    dealt = dealt.select("host", F.pmod("stream", "arrays").alias("array"), "arrays", "packed")
+    return written(dealt.groupBy("host", "array").applyInArrow(_common_of_array, _COMMON), "common-runs")
+
+
+def _boilerplate(rows: DataFrame, common: DataFrame) -> DataFrame:
+    """Of common runs (host, run) those that come on most of a host's distinct articles, as a list per host."""
+    some = common.groupBy("host").agg(F.collect_set("run").alias("runs"))
+    seen = rows.join(_few(written(some, "some-runs"), "runs"), "host").select("host", "html", "runs").mapInArrow(_seen_runs, _SEEN)
+    on = written(seen.groupBy("host", "run").agg(F.count_distinct("stream").alias("on")), "counted-runs")
+    articles = on.where("run IS NULL").select("host", F.col("on").alias("articles"))
+    most = (2 * F.col("on") > F.col("articles")) & (F.col("on") >= MANY_ARTICLES)
+    most = on.where("run IS NOT NULL").join(articles, "host").where(most)
+    return written(most.groupBy("host").agg(F.collect_list("run").alias("runs")), "boilerplate")
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
@@ -334,8 +462,12 @@ def main_texts(pages: DataFrame) -> DataFrame:
 
     Scripts, styles and other unread elements go first. If an element marks the
     article, its blocks are the text, without regions inside it that their
-    element or label marks as menus, adverts, notices, forms or remarks. Pages
-    without such an element are judged by their host: the tokens outside
+    element or label marks as menus, adverts, notices, forms or remarks. The
+    articles of a host are laid end to end in suffix arrays, too: runs of
+    ``RUN_TOKENS`` that more than half of its distinct articles have, and
+    ``MANY_ARTICLES`` at least, are boilerplate, and unmarked blocks that
+    consist of them go, unless they are most of the article, which then is a
+    copy. Pages without such an element are judged by their host: the tokens outside
     articles of all its pages are laid end to end in suffix arrays, and runs of
     ``RUN_TOKENS`` that ``LEAST_PAGES`` distinct pages of the host have are
     repeated. Blocks that consist of repeated runs go, and of other blocks
@@ -352,15 +484,22 @@ def main_texts(pages: DataFrame) -> DataFrame:
     """
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long"), "url", host.alias("host"), F.coalesce("html", F.lit("")).alias("html"))
-    parsed = written(rows.mapInArrow(_parsed, _PARSED), "parsed-pages")
     out = ("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
-    found = parsed.where("main IS NOT NULL").withColumnRenamed("main", "text").select(*out)
-    hosts = written(parsed.where("main IS NULL").select("host").distinct(), "open-hosts")
+    runs = _common_runs(rows)
+    common = runs.where("run IS NOT NULL")
+    if common.isEmpty():
+        marked = rows.withColumn("runs", F.lit(None).cast("array<long>"))
+    else:
+        marked = rows.join(_few(_boilerplate(rows, common), "runs"), "host", "left")
+    marked = marked.select("page_id", "url", "html", "runs")
+    found = marked.mapInArrow(_article_texts, "page_id long, url string, text string").select(*out)
+    hosts = written(runs.where("run IS NULL").select("host").distinct(), "open-hosts")
     if hosts.isEmpty():
         return found
+    parsed = written(rows.join(_few(hosts), "host").select(*rows.columns).mapInArrow(_parsed, _PARSED), "parsed-pages")
     stream = F.md5(F.array_join("blocks", " "))
     page = F.md5(F.concat_ws("\n", F.array_join("blocks", "\n"), F.array_join(F.col("marked").cast("array<string>"), " ")))
-    open_ = parsed.join(_few(hosts), "host").withColumns({"stream": stream, "page": page})
+    open_ = parsed.withColumns({"stream": stream, "page": page})
     texts = _texts_by_host(open_.select("host", "page", "stream", "blocks", "marked"))
     rest = open_.where("main IS NULL").select("page_id", "url", "host", "page").join(texts, ["host", "page"])
     return found.unionByName(rest.select(*out))
