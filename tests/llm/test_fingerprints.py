@@ -4,6 +4,7 @@ import random
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from wattframe.llm.fingerprints import PrefixHashes, fingerprint, fingerprints, likeness
 
@@ -87,6 +88,20 @@ def test_many_buckets(spark):
     assert sorted(tuple(r)[:5] for r in fingerprints(docs).collect()) == sorted(want(rows)[0])
 
 
+def test_documents_are_dealt_evenly(spark):
+    """No partition gets more than its share, as the sort holds its texts."""
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    got = fingerprints(docs).groupBy(F.spark_partition_id().alias("at")).count().collect()
+    share = 6000 / int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(r["count"] for r in got) == 6000 and max(r["count"] for r in got) <= 1.2 * share
+
+
+def test_null_ids_are_a_bucket_before_others(spark):
+    rows = [(k if k >= 40 else None, f"the text of document {k % 170} as it is") for k in range(400)] + [(200, "again")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert sorted(map(repr, (tuple(r)[:5] for r in fingerprints(docs).collect()))) == sorted(map(repr, want(rows)[0]))
+
+
 def test_one_and_none(spark, no_docs):
     assert fingerprints(no_docs).collect() == []
     (only,) = fingerprints(spark.createDataFrame([(1, "abcdefgh")], "doc_id long, text string")).collect()

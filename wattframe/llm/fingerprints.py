@@ -237,7 +237,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     beginning, by binary search over span hashes.
 
     Quantiles of doc_id cut the documents into buckets, so texts are shuffled
-    once. Each bucket also gets the first document of the next one, found by the
+    once; each partition gets as many neighbouring buckets. Each bucket also gets the first document of the next one, found by the
     buckets' smallest ids.
     """
     spark = docs.sparkSession
@@ -251,17 +251,17 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     rows = buckets.transform(rows.withColumn("at", at)).drop("at")
 
     # one row per bucket: its first document goes to the bucket before it, that of the first bucket to the last
-    least = rows.groupBy("bucket").agg(F.min(F.struct("doc_id")).alias("least"))
+    least = rows.groupBy("bucket").agg(F.min("doc_id").alias("first"), F.max(F.isnull("doc_id")).alias("without"))
     around = Window.orderBy("bucket")
     last = F.max("bucket").over(Window.partitionBy())
     to = F.coalesce(F.lag("bucket").over(around), last).alias("to")
-    least = least.select(F.col("bucket").alias("of"), F.col("least.doc_id").alias("first"), to)
+    least = least.select(F.col("bucket").alias("of"), F.when(~F.col("without"), F.col("first")).alias("first"), to)
     same = (F.col("bucket") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("first"))
     ahead = rows.join(F.broadcast(least), same).groupBy("to", "doc_id").agg(F.min("text").alias("text"))
 
     rows = rows.select("bucket", F.lit(False).alias("ahead"), "doc_id", "text")
     rows = rows.unionByName(ahead.select(F.col("to").alias("bucket"), F.lit(True).alias("ahead"), "doc_id", "text"))
-    rows = rows.repartition(shuffle_partitions(spark), "bucket")
+    rows = rows.repartitionById(shuffle_partitions(spark), (F.col("bucket") / _BUCKETS_PER_PARTITION).cast("int"))
     return rows.sortWithinPartitions("bucket", "ahead", "doc_id", "text").mapInArrow(_compared, _RESULT)
 
 
@@ -272,8 +272,8 @@ def _compared(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     before: tuple[int | None, _Text] | None = None
     for frame in frames:
         rows = []
-        for ahead, doc_id, text in zip(*(c.to_pylist() for c in frame.columns[1:]), strict=True):
-            current = _Text(text)
+        for ahead, doc_id, text in zip(*(c.to_pylist() for c in frame.columns[1:3]), frame.column("text"), strict=True):
+            current = _Text(text.as_py())
             if before:
                 rows.append(_row(*before, current))
             before = None if ahead else (doc_id, current)
