@@ -2,6 +2,7 @@ import html as entities
 import random
 import re
 
+import numpy as np
 import pytest
 
 from wattframe.llm import html_text
@@ -147,6 +148,16 @@ def test_an_unmarked_notice_in_most_articles_of_a_host_goes(spark, monkeypatch,
     assert got[5000] == ("", 0) and len(got) == len(rows) + 60 + 9 + 1
 
 
+@pytest.mark.parametrize("size", [0, 1, 5, 6, 7, 40])
+def test_runs_of_one_page_are_those_of_arrays(size):
+    tokens = [random.Random(size).choice("abcd") for _ in range(size)]
+    array = html_text._Runs([tokens, ["x"] * 9, tokens[:3]], 6)
+    hashes, shared = array.hashes()
+    whole = max(0, size - 5) if size >= 6 else size
+    got = html_text._runs_of_page(np.array([html_text._hash(t) for t in tokens], np.uint64), 6)
+    assert got.tolist() == hashes[array.rank[:whole]].tolist() and shared[array.rank[:whole]].all()
+
+
 def test_copies_of_an_article_with_small_changes_stay_whole(spark):
     text = "".join(f"<p>paragraph {c} of a story that goes on like this for long</p>" for c in "abcd")
     rows = [(k, "http://h/", f"<article><h1>edition {k} of {k} by {k * k}</h1>{text}</article>") for k in range(20)]

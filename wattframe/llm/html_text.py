@@ -164,6 +164,24 @@ def page_blocks(page: str) -> tuple[str | None, list[str], list[bool]]:
     return ("\n".join(main) if container_at else None), outside, marked
 
 
+#: In place of a hash for the end of a page with fewer tokens than a run.
+_END = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _hash(token: str) -> int:
+    return xxhash.xxh3_64_intdigest(token.encode("utf-8", "surrogatepass"))
+
+
+class _Hashes(dict):
+    """Hashes of tokens, kept for so many."""
+
+    def __missing__(self, token: str) -> int:
+        found = _hash(token)
+        if len(self) < 200_000:
+            self[token] = found
+        return found
+
+
 class _Runs:
     """The runs of ``length`` tokens of some pages, equal ones with equal numbers.
 
@@ -205,11 +223,15 @@ class _Runs:
         pairs = np.unique(rank * len(streams) + np.repeat(page, sizes))
         self.spread = np.bincount(pairs // len(streams), minlength=int(rank.max()) + 1)
 
-    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
-        """A hash of each run by its number, the same for the same run of other arrays, and which can be on other pages."""
-        tokens = np.array([xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in self.numbers], np.uint64)
-        tokens = np.append(tokens, np.uint64(0x9E3779B97F4A7C15))
-        _, first = np.unique(self.rank, return_index=True)
+    def hashes(self, some: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """A hash of each run by its number, the same for the same run of other arrays, and which can be on other pages.
+
+        ``some``: the numbers of those that are asked for.
+        """
+        tokens = np.append(np.array([_hash(t) for t in self.numbers], np.uint64), _END)
+        first = np.empty(len(self.spread), np.int64)
+        first[self.rank[::-1]] = np.arange(len(self.rank))[::-1]
+        first = first if some is None else first[some]
         out = np.zeros(len(first), np.uint64)
         shared = np.ones(len(first), bool)
         for k in range(self.length):
@@ -393,43 +415,64 @@ def _common_of_array(group: pa.Table) -> pa.Table:
         if group.column("arrays")[0].as_py() == 1:
             common &= runs.spread >= MANY_ARTICLES
         if common.any():
-            hashes, shared = runs.hashes()
-            found += hashes[common & shared].view(np.int64).tolist()
+            hashes, shared = runs.hashes(np.flatnonzero(common))
+            found += hashes[shared].view(np.int64).tolist()
     return pa.table([pa.repeat(group.column("host")[0], len(found)), pa.array(found, pa.int64())], ["host", "run"])
 
 
-def _known_runs(frame: pa.RecordBatch) -> Iterator[tuple[int, str | None, _Runs | None, np.ndarray | None, np.ndarray | None]]:
-    """Of each page (host, html, runs) its number, its article, the article's runs, their hashes, and which are known."""
+def _runs_of_page(tokens: np.ndarray, length: int) -> np.ndarray:
+    """The hash of the run that begins at each token of one page, as ``_Runs`` gives it, from the tokens' hashes.
+
+    A page with fewer tokens than ``length`` has runs up to its end, any other only whole ones.
+    """
+    n = len(tokens)
+    begins = np.arange(n - length + 1 if n >= length else n)
+    ended = np.append(tokens, _END)
+    out = np.zeros(len(begins), np.uint64)
+    for k in range(length):
+        value = np.where(begins + k <= n, ended[np.minimum(begins + k, n)], np.uint64(k))
+        out = mixed(out * np.uint64(3) + value)
+    return out
+
+
+def _known_runs(frame: pa.RecordBatch, hashes: _Hashes) -> Iterator[tuple[int, str | None, np.ndarray, np.ndarray]]:
+    """Of each page (host, html, runs) its number and article, the known runs that this has, and which tokens they cover."""
     for nth, (page, known) in enumerate(zip(frame.column("html"), frame.column("runs"), strict=True)):
         article = page_blocks(page.as_py())[0]
-        if article is None or not known.is_valid:
-            yield nth, article, None, None, None
-            continue
-        runs = _Runs([_tokens(article)], RUN_TOKENS)
-        hashes, shared = runs.hashes()
-        yield nth, article, runs, hashes, shared & np.isin(hashes, known.values.to_numpy().view(np.uint64))
+        covered = np.zeros(0, bool)
+        runs = np.zeros(0, np.uint64)
+        if article is not None and known.is_valid:
+            tokens = _tokens(article)
+            runs = _runs_of_page(np.fromiter(map(hashes.__getitem__, tokens), np.uint64, len(tokens)), RUN_TOKENS)
+            at = np.flatnonzero(np.isin(runs, known.values.to_numpy().view(np.uint64)))
+            covered = np.zeros(len(tokens), bool)
+            covered[np.minimum(at[:, None] + np.arange(RUN_TOKENS), len(tokens) - 1)] = True
+            runs = np.unique(runs[at])
+        yield nth, article, runs, covered
 
 
 def _seen_runs(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Which known runs an article has, and a NULL for each article."""
     schema = pa.schema([("host", pa.string()), ("run", pa.int64()), ("stream", pa.int64())])
+    hashes = _Hashes()
     for frame in frames:
         hosts, rows = frame.column("host").to_pylist(), []
-        for nth, article, runs, hashes, known in _known_runs(frame):
-            if runs is not None:
+        for nth, article, runs, _ in _known_runs(frame, hashes):
+            if article is not None:
                 stream = _number(b" " + article.replace("\n", " ").encode())
-                rows += [(hosts[nth], run, stream) for run in (None, *hashes[known].view(np.int64).tolist())]
+                rows += [(hosts[nth], run, stream) for run in (None, *runs.view(np.int64).tolist())]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
 
 def _article_texts(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The texts of the pages that mark an article, without the blocks in it that consist of known runs."""
+    hashes = _Hashes()
     for frame in frames:
         at, texts = [], []
-        for nth, article, runs, _, known in _known_runs(frame):
+        for nth, article, _, covered in _known_runs(frame, hashes):
             if article is not None:
                 at.append(nth)
-                texts.append(article if runs is None else article_text(article, runs.covered(known)[0]))
+                texts.append(article_text(article, covered) if covered.any() else article)
         kept = frame.take(pa.array(at, pa.int64()))
         yield pa.RecordBatch.from_arrays([*kept.columns[:2], pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
