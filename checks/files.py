@@ -4,14 +4,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattframe import fixed_values as fixed
+from wattframe.plans.staging import shuffles_released
 
 _HEADERS = {name: header for header, name, _ in fixed.SESSION_COLUMNS + fixed.STATION_COLUMNS}
+#: Lines of a compressed file at most; it can't be split, so a task reads whole ones.
+PACKED_LINES = 100_000
 
 
-def write(lines: DataFrame, folder: str) -> None:
-    """Header line, separator and quoting of the format; empty stays empty."""
+def write(lines: DataFrame, folder: str, packed: bool = False) -> None:
+    """Header line, separator and quoting of the format; empty stays empty. ``packed`` files are compressed by gzip."""
     headed = lines.select(*[F.col(name).alias(_HEADERS[name]) for name in lines.columns])
-    headed.write.options(sep=fixed.FIELD_SEPARATOR, header=True, quote='"', escape='"', emptyValue="").csv(folder)
+    writer = headed.write.options(sep=fixed.FIELD_SEPARATOR, header=True, quote='"', escape='"', emptyValue="")
+    if packed:
+        writer = writer.options(compression="gzip", maxRecordsPerFile=PACKED_LINES)
+    with shuffles_released(lines.sparkSession):
+        writer.csv(folder)
 
 
 def write_ragged(lines: DataFrame, folder: str, short: Column, long: Column) -> None:

@@ -256,11 +256,11 @@ def _padded_sessions(spark: SparkSession, d: str) -> DataFrame:
     return _doubles(read_sessions(spark, folder).loaded.drop("_order"))
 
 
-def _stored(spark: SparkSession, d: str, work) -> DataFrame:
+def _stored(spark: SparkSession, d: str, work, packed: bool = False) -> DataFrame:
     """Files for both tables in a database of their own; ``work`` loads them and says what is seen there."""
     folder = new_folder(spark, "load")
-    files.write(files.session_lines(views.sessions(spark, d)), f"{folder}/session-files")
-    files.write(files.station_lines(views.stations(spark, d)), f"{folder}/station-files")
+    files.write(files.session_lines(views.sessions(spark, d)), f"{folder}/session-files", packed)
+    files.write(files.station_lines(views.stations(spark, d)), f"{folder}/station-files", packed)
     database = "checks_" + folder.rsplit("-", 1)[1]
     spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/tables'")
     before = spark.catalog.currentDatabase()
@@ -282,7 +282,7 @@ def _loaded_tables(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _replaced_tables(spark: SparkSession, d: str) -> DataFrame:
-    """Loaded twice, the second time in place of the first, and opened as by another process."""
+    """Loaded twice, the second time in place of the first, and opened as by another process; the files are compressed."""
 
     def work(sessions, stations):
         load_all(spark, sessions, stations)
@@ -292,7 +292,7 @@ def _replaced_tables(spark: SparkSession, d: str) -> DataFrame:
         create_tables(spark)
         return op.table_profile(open_sessions(spark), open_stations(spark))
 
-    return _stored(spark, d, work)
+    return _stored(spark, d, work, packed=True)
 
 
 def _recreated_tables(spark: SparkSession, d: str) -> DataFrame:

@@ -1,8 +1,10 @@
-"""Writing an intermediate result once when several later steps read it."""
+"""Writing an intermediate result once when several later steps read it, and letting go of shuffled rows."""
 
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +30,26 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return os.path.join(shared_folder(spark), f"{purpose}-{uuid.uuid4().hex}")
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside delete their shuffled rows when they end.
+
+    Otherwise these stay on the executors' disks until the driver happens to
+    collect garbage, beside those of the next step. For writes that nothing runs
+    a second time; a frame that is run again has to shuffle its rows again.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Runs the plan once and stores its rows reliably.
 

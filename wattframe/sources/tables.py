@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
+from ..plans.staging import shuffles_released
 from .clustered import open_clustered_folder, refresh_clustered, stored_parts
 from .day_summary import open_days, refresh_days, stale_months
 from .ingest import REASON, Parsed, first_per_station, read_sessions, read_stations
@@ -23,6 +24,8 @@ REPLACEMENT, PREVIOUS = "_replacement", "_previous"
 SUMMARY = "ev_day_summary"
 # likewise: the sessions laid out by user and station
 CLUSTERED = "ev_clustered_sessions"
+# of the stored files; while sessions are replaced, old and new ones are there
+CODEC = "zstd"
 
 
 _SESSIONS = f"{SESSION_DDL}, {MONTH} date, {BATCH} string"
@@ -53,7 +56,7 @@ def _declare(spark: SparkSession, name: str, columns: str, folder: str, partitio
     _files(spark, folder).mkdirs(_path(spark, folder))
     place = folder.replace("'", "\\'")
     # an overwrite replaces the folders it writes to, not all
-    options = "OPTIONS ('partitionOverwriteMode' 'dynamic')" if partitioned else ""
+    options = f"OPTIONS ('partitionOverwriteMode' 'dynamic', 'compression' '{CODEC}')" if partitioned else ""
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {options} {partitioned} LOCATION '{place}'")
     if partitioned:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
@@ -213,8 +216,9 @@ def load_sessions(
     off. ``load_new_files`` remembers which files it took. Added rows become visible month by month when the write commits; a
     write that fails before that adds none. A replacement is written to a folder
     of its own, which takes the place of the other once it is complete; whenever
-    it breaks, the next call finds all old or all new rows. One load at a time:
-    two at once could take the same ids.
+    it breaks, the next call finds all old or all new rows. Shuffled rows are
+    deleted when their write ends. One load at a time: two at once could take the
+    same ids.
 
     Returns the number of imported and skipped lines, and the lines with the
     number refused for each reason; all are counted in the writing pass.
@@ -249,13 +253,15 @@ def load_sessions(
     if replace:
         folder = _folder(spark, fixed.SESSIONS_TABLE)
         settle(spark, folder)
-        good.write.partitionBy(MONTH, BATCH).parquet(folder + REPLACEMENT)
+        with shuffles_released(spark):
+            good.write.partitionBy(MONTH, BATCH).parquet(folder + REPLACEMENT, compression=CODEC)
         _swap(spark, folder)
         # the table knows its months anew
         spark.sql(f"DROP TABLE {fixed.SESSIONS_TABLE}")
         _declare(spark, fixed.SESSIONS_TABLE, _SESSIONS, folder, f"PARTITIONED BY ({MONTH}, {BATCH})")
     else:
-        good.write.insertInto(fixed.SESSIONS_TABLE, overwrite=True)
+        with shuffles_released(spark):
+            good.write.insertInto(fixed.SESSIONS_TABLE, overwrite=True)
     counts = dict(seen.get)
     _note_next_id(spark, counts.pop("last_id") + 1)
     by_reason = {reason: n for key, reason in reasons.items() if (n := counts.pop(key))}
